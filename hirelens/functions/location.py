@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import rules
+from hirelens.functions.matching import string_array, string_map
 from hirelens.functions.text import bind, is_blank, strip
 
 
 def state_lookup(code: Column, states=rules.US_STATES) -> Column:
     """Full name of a state code in any letter case; null when it is none."""
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(states)])
-    return F.try_element_at(table, F.upper(code))
+    return F.try_element_at(string_map(states), F.upper(code))
 
 
 def country_member(name: Column, countries=rules.COUNTRIES) -> Column:
-    return F.lower(name).isin(*countries)
+    return F.array_contains(string_array(countries), F.lower(name))
 
 
 def parse_location(raw: Column, states=rules.US_STATES, countries=rules.COUNTRIES) -> Column:

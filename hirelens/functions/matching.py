@@ -3,12 +3,28 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_string(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def string_array(values: Iterable[str]) -> Column:
+    """Literal ``array<string>``. As one expression: a call per element is slow to build."""
+    return F.expr(f"array({', '.join(map(sql_string, values))})")
+
+
+def string_map(pairs: Iterable[tuple[str, str]]) -> Column:
+    """Literal ``map<string, string>``."""
+    flat = (sql_string(x) for pair in pairs for x in pair)
+    return F.expr(f"map({', '.join(flat)})")
+
+
 def first_match(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """Value of the first rule whose substring occurs in ``text``; null if none does.
 
@@ -22,7 +38,7 @@ def hits(text: Column, needles: Sequence[str]) -> Column:
 
     ``text`` is read once per needle: pass a column or a bound variable, not an expression.
     """
-    return F.filter(F.lit(list(needles)), lambda needle: text.contains(needle))
+    return F.filter(string_array(needles), lambda needle: text.contains(needle))
 
 
 def hit_count(text: Column, needles: Sequence[str]) -> Column:
@@ -33,7 +49,7 @@ def max_rank(text: Column, rules: Sequence[tuple[str, str]], order: Sequence[str
     """Highest rank (position in ``order``) among the rules that occur; null if none does."""
     by_rank = [
         F.when(
-            F.exists(F.lit([n for n, v in rules if v == level]), lambda n: text.contains(n)),
+            F.exists(string_array(n for n, v in rules if v == level), lambda n: text.contains(n)),
             F.lit(rank),
         )
         for rank, level in enumerate(order)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens import rules
 from hirelens.functions.dates import years_bucket
-from hirelens.functions.matching import first_match, hit_count, max_rank
+from hirelens.functions.matching import first_match, hit_count, max_rank, string_array
 from hirelens.functions.text import bind, is_blank, strip
 
 
@@ -51,7 +51,7 @@ def role_scores(
                 + weights["optional"] * hit_count(t["body"]["optional"], keywords)
             )
             if role in role_tools:
-                held = F.size(F.array_intersect(tools, F.lit(role_tools[role])))
+                held = F.size(F.array_intersect(tools, string_array(role_tools[role])))
                 score = score + weights["tool"] * F.coalesce(F.greatest(held, F.lit(0)), F.lit(0))
             entries.append(
                 F.struct(
@@ -84,13 +84,13 @@ def seniority(
     levels=rules.SENIORITY_LEVELS,
 ) -> Column:
     """Most senior level that the title, the years or the description speak of."""
-    from_years = F.array_position(F.lit(list(levels)), years_bucket(years, buckets)) - 1
+    from_years = F.array_position(string_array(levels), years_bucket(years, buckets)) - 1
     rank = F.greatest(
         bind(_lower(title), lambda t: max_rank(t, title_words, levels)),
         bind(_lower(description), lambda d: max_rank(d, verbs, levels)),
         from_years.cast("int"),
     )
-    return F.coalesce(F.get(F.lit(list(levels)), rank), F.lit(rules.UNKNOWN))
+    return F.coalesce(F.get(string_array(levels), rank), F.lit(rules.UNKNOWN))
 
 
 def experience(

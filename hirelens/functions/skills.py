@@ -7,13 +7,11 @@ strings, each searched once.
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import rules
-from hirelens.functions.matching import bounded, bounded_groups, hits
+from hirelens.functions.matching import bounded, bounded_groups, hits, string_array, string_map
 from hirelens.functions.text import bind, is_blank
 
 _REQUIRED, _OPTIONAL = "\x02", "\x03"
@@ -30,7 +28,7 @@ def find_skills(
     Spellings longer than ``bounded_up_to`` count wherever they occur, also inside words;
     ``bounded_only=True`` asks for a non-letter on both sides of every spelling.
     """
-    canonical = F.create_map(*[F.lit(x) for x in chain.from_iterable(skills)])
+    canonical = string_map(skills)
 
     def search(low: Column) -> Column:
         if bounded_only:
@@ -110,7 +108,7 @@ def extract_skills(description: Column, skills=rules.SKILLS, tools=rules.TOOLS,
             .otherwise(F.array_except(optional, required))
             .alias("skills_optional"),
             F.array_sort(
-                F.array_intersect(F.array_union(required, optional), F.lit(list(tools)))
+                F.array_intersect(F.array_union(required, optional), string_array(tools))
             ).alias("tools_frameworks"),
         )
 
