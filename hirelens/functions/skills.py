@@ -38,7 +38,7 @@ def find_skills(
         else:
             short = [v for v, _ in skills if len(v) <= bounded_up_to]
             found = F.concat(
-                hits(low, [v for v, _ in skills if len(v) > bounded_up_to]),
+                hits(low, _needed([(v, c) for v, c in skills if len(v) > bounded_up_to])),
                 *[
                     F.array_distinct(F.regexp_extract_all(low, F.lit(p), F.lit(1)))
                     for p in bounded_groups(short)
@@ -52,19 +52,32 @@ def find_skills(
     )
 
 
+def _needed(plain) -> list[str]:
+    """Spellings without those that contain another spelling of the same skill."""
+    return [
+        v for v, c in plain if not any(c == other and w != v and w in v for w, other in plain)
+    ]
+
+
 def split_paragraphs(text: Column) -> Column:
     """Cut at blank lines and at line breaks before a capital letter or a bullet."""
     return F.split(text, r"\n{2,}|\n(?=[A-Z•●■-])")
 
 
-def section_label(paragraph: Column) -> Column:
-    """``required`` / ``optional`` when the paragraph opens such a section, else null."""
+def _by_label(paragraph: Column, required: str, optional: str, other: str | None) -> Column:
     head = F.substring(paragraph, 1, rules.HEADING_WINDOW)
-    return F.when(head.rlike(f"(?iud)({rules.REQUIRED_HEADING})"), F.lit("required")).when(
-        head.rlike(f"(?iud)({rules.OPTIONAL_HEADING})"), F.lit("optional")
+    return (
+        F.when(head.rlike(f"(?iud)({rules.REQUIRED_HEADING})"), F.lit(required))
+        .when(head.rlike(f"(?iud)({rules.OPTIONAL_HEADING})"), F.lit(optional))
+        .otherwise(F.lit(other))
     )
 
 
+def section_label(paragraph: Column) -> Column:
+    """``required`` / ``optional`` when the paragraph opens such a section, else null."""
+    return _by_label(paragraph, "required", "optional", None)
+
+
 def section_texts(description: Column) -> Column:
     """``struct(required, optional)``: the paragraphs under each kind of heading.
 
@@ -72,11 +85,7 @@ def section_texts(description: Column) -> Column:
     """
 
     def marked(paragraph: Column) -> Column:
-        mark = (
-            F.when(section_label(paragraph) == "required", F.lit(_REQUIRED))
-            .when(section_label(paragraph) == "optional", F.lit(_OPTIONAL))
-            .otherwise(F.lit("\n"))
-        )
+        mark = _by_label(paragraph, _REQUIRED, _OPTIONAL, "\n")
         return F.concat(mark, paragraph)
 
     clean = F.translate(description, _REQUIRED + _OPTIONAL, "\x01\x01")
