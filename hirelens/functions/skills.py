@@ -90,13 +90,16 @@ def section_texts(description: Column) -> Column:
 
     clean = F.translate(description, _REQUIRED + _OPTIONAL, "\x01\x01")
     whole = F.array_join(F.transform(split_paragraphs(clean), marked), "")
+    def without(kind: str, other: str, marked_text: Column) -> Column:
+        """The text minus every run from a mark of one kind to the next of the other."""
+        rest = F.regexp_replace(marked_text, f"{kind}[^{other}]*", "\n")
+        return F.translate(rest, other, "\n")
+
     return bind(
         whole,
         lambda t: F.struct(
-            F.regexp_replace(t, f"{_OPTIONAL}[^{_REQUIRED}]*", "\n").alias("required"),
-            F.regexp_replace(
-                F.concat(F.lit(_REQUIRED), t), f"{_REQUIRED}[^{_OPTIONAL}]*", "\n"
-            ).alias("optional"),
+            without(_OPTIONAL, _REQUIRED, t).alias("required"),
+            without(_REQUIRED, _OPTIONAL, F.concat(F.lit(_REQUIRED), t)).alias("optional"),
         ),
     )
 

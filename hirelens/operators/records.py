@@ -66,7 +66,9 @@ def build_raw_job(
     """Nested raw job records from successfully extracted cards."""
     ddl = schemas.RAW_JOB_DDL
     page_fields = schemas.schema(ddl)["job_page_raw"].dataType.names
-    page = {f: F.col(_PAGE_SOURCE.get(f, f)) for f in page_fields}
+    sources = {f: _PAGE_SOURCE.get(f, f) for f in page_fields}
+    page = {f: F.col(c) for f, c in sources.items() if c in df.columns}
+    hits = F.col("selector_hits") if "selector_hits" in df.columns else F.lit(None)
     job_id = hash_content(F.col("job_url"))
     company_url = F.nullif("company_url", F.lit(""))
     return df.select(
@@ -100,7 +102,7 @@ def build_raw_job(
             extraction_quality=quality_level(
                 F.col("description"), F.col("salary_raw"), F.col("applicant_count_raw")
             ),
-            selector_hits=F.col("selector_hits"),
+            selector_hits=hits,
             status_code_history=F.array(),
             retry_count=F.lit(0),
         ),

@@ -8,36 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-HOT_SHARE = 1000  # a key with more than 1/1000 of all rows is hot, so there are at most 1000
+HOT_KEYS = 1000  # keys outside the 1000 most frequent have less than 1/1000 of all rows each
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
-    """Left join of ``df`` with a ``table`` that has one row per ``key`` and, in ``count``, at
-    least the number of rows ``df`` has for it.
+    """Left join of ``df`` with a ``table`` that has one row per string ``key`` and, in ``count``,
+    how frequent the key is in ``df``.
 
-    Hot keys, of which there can be no more than ``HOT_SHARE``, are looked up in a broadcast. All
-    other rows go to a shuffled join; rows already answered take a random-looking key there, so
-    they spread instead of meeting in one task. ``df`` is read once.
+    The ``HOT_KEYS`` most frequent keys are looked up in a broadcast of exactly that many rows. All
+    other rows go to a shuffled join with the whole table; rows already answered take a hash of
+    themselves as key there, so they spread instead of meeting in one task. ``df`` is read once.
     """
-    total = table.agg(F.sum(count)).scalar()
-    sized = table.withColumn("_hot", F.col(count) * HOT_SHARE > total)
     values = [c for c in table.columns if c != key]
-    hot = sized.filter("_hot").select(
-        F.col(key).alias("_hot_key"), F.struct(*values).alias("_from_hot")
-    )
-    cold = sized.filter("NOT _hot").select(
-        F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_part"), F.struct(*values).alias("_from_cold")
-    )
-    answered = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    spread = F.when(
-        F.col("_hot_key").isNotNull(), F.xxhash64(*df.columns).bitwiseOR(F.lit(1))
-    ).otherwise(F.lit(0))
-    staged = answered.withColumn("_part", spread)
-    joined = staged.join(
-        cold,
-        (F.col(key) == F.col("_cold_key")) & (F.col("_part") == F.col("_cold_part")),
-        "left",
+    hot = table.orderBy(F.desc(count), key).limit(HOT_KEYS)
+    hot = hot.select(F.col(key).alias("_hot"), F.struct(*values).alias("_from_hot"))
+    cold = table.select(F.col(key).alias("_cold"), F.struct(*values).alias("_from_cold"))
+    answered = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    own_hash = F.concat(F.lit("\0"), F.xxhash64(*df.columns).cast("string"))
+    staged = answered.withColumn(
+        "_probe", F.when(F.col("_hot").isNotNull(), own_hash).otherwise(F.col(key))
     )
+    joined = staged.join(cold, F.col("_probe") == F.col("_cold"), "left")
     found = F.coalesce("_from_hot", "_from_cold")
     return joined.select(*df.columns, *[found[v].alias(v) for v in values])
 

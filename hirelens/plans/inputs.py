@@ -11,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelens.functions.text import hash_job_url, strip_query
+from hirelens.operators.extract import extract_company_pages
+from hirelens.operators.postings import parse_postings
+from hirelens.operators.records import build_raw_company, build_raw_job
+
 TITLES = [
     "Senior Data Scientist (Remote)",
     "Machine Learning Engineer L4",
@@ -261,3 +266,42 @@ def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://co.example/c/"), F.col("s_suppkey"), F.lit("?x=1")).alias("url"),
         html.alias("html"),
     )
+
+
+def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing cards with ``page``, ``position`` and the fields that the job page would give."""
+    p = postings(spark, sf_dir)
+    return p.withColumns(
+        {
+            "page": F.expr("doc_id div 25"),
+            "position": F.expr("CAST(doc_id % 25 AS INT)"),
+            "job_url": strip_query(F.col("job_url")),
+            "company_url": strip_query(F.col("company_url")),
+            "date_posted_attr": F.lit(None).cast("string"),
+            "job_id_raw": hash_job_url(strip_query(F.col("job_url"))),
+        }
+    )
+
+
+def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested raw job records, one per posting."""
+    return build_raw_job(
+        cards(spark, sf_dir), F.col("scrape_timestamp"), "Data Scientist/ML", "worldwide"
+    )
+
+
+def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested company records: every company page, seen in three runs."""
+    found = extract_company_pages(company_pages(spark, sf_dir), ["s_suppkey", "s_name", "url"])
+    runs = F.array(*[F.lit(f"2026-02-{day}T20:31:07") for day in (16, 18, 20)])
+    seen = found.filter("success").select(
+        "*", F.explode(runs).alias("run_ts"), strip_query(F.col("url")).alias("company_url")
+    )
+    return build_raw_company(
+        seen.withColumn("company_name", F.col("s_name")), F.col("run_ts")
+    )
+
+
+def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed postings with ``doc_id``."""
+    return parse_postings(postings(spark, sf_dir))
