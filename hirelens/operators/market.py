@@ -96,11 +96,13 @@ def skill_cooccurrence(parsed: DataFrame) -> DataFrame:
     )
 
 
-def skill_motifs(parsed: DataFrame, min_support: float = 0.05, min_size: int = 2) -> DataFrame:
-    """Frequent skill sets: ``items`` (sorted), ``n``."""
+def skill_motifs(parsed: DataFrame, min_support: float = 0.05, sizes=(2, None)) -> DataFrame:
+    """Frequent skill sets within a range of sizes: ``items`` (sorted), ``n``."""
     baskets = with_all_skills(parsed).select("skills")
     found = FPGrowth(itemsCol="skills", minSupport=min_support).fit(baskets).freqItemsets
-    return found.filter(F.size("items") >= min_size).select(
+    low, high = sizes
+    wanted = F.size("items").between(low, high) if high else F.size("items") >= low
+    return found.filter(wanted).select(
         F.array_sort("items").alias("items"), F.col("freq").alias("n")
     )
 

@@ -84,7 +84,7 @@ def parse_postings(df: DataFrame, source: str = rules.DEFAULT_SOURCE) -> DataFra
             "dataset_version": F.lit(rules.DATASET_VERSION),
         }
     )
-    names = schemas.schema(schemas.PARSED_JOB_DDL).names
+    names = schemas.PARSED_JOB.names
     used = {"raw_location", "description", "employment_type_raw"}
     passed = [c for c in df.columns if c not in names and c not in used]
     return parsed.select(*names, *passed)

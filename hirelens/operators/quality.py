@@ -108,12 +108,11 @@ def column_sets(df: DataFrame, expected: T.StructType) -> tuple[list[str], list[
     return missing, extra
 
 
-def schema_report(df: DataFrame, ddl: str = schemas.PARSED_JOB_DDL) -> DataFrame:
+def schema_report(df: DataFrame, expected: T.StructType = schemas.PARSED_JOB) -> DataFrame:
     """One row: missing and extra columns, cells of list columns that are no list, row count.
 
     A list column of another type has every cell wrong; of the right type, its nulls.
     """
-    expected = schemas.schema(ddl)
     missing, extra = column_sets(df, expected)
     lists = [
         f.name for f in expected if isinstance(f.dataType, T.ArrayType) and f.name in df.columns

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens import rules, schemas
 from hirelens.functions.text import hash_content, is_blank
@@ -18,9 +19,9 @@ _PAGE_SOURCE = {
 _COMPANY_SOURCE = {"company_founded_year": "company_founded_raw"}
 
 
-def _section(ddl: str, name: str, **values: Column) -> Column:
+def _section(schema: T.StructType, name: str, **values: Column) -> Column:
     """Struct of a section's declared fields; those without a value are null."""
-    fields = schemas.schema(ddl)[name].dataType.fields
+    fields = schema[name].dataType.fields
     return F.struct(
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
     ).alias(name)
@@ -64,8 +65,8 @@ def build_raw_job(
     user_agent: str | None = None,
 ) -> DataFrame:
     """Nested raw job records from successfully extracted cards."""
-    ddl = schemas.RAW_JOB_DDL
-    page_fields = schemas.schema(ddl)["job_page_raw"].dataType.names
+    schema = schemas.RAW_JOB
+    page_fields = schema["job_page_raw"].dataType.names
     sources = {f: _PAGE_SOURCE.get(f, f) for f in page_fields}
     page = {f: F.col(c) for f, c in sources.items() if c in df.columns}
     hits = F.col("selector_hits") if "selector_hits" in df.columns else F.lit(None)
@@ -75,16 +76,16 @@ def build_raw_job(
         F.lit(rules.SCRAPER_VERSION).alias("scraper_version"),
         F.lit(rules.RAW_VERSION).alias("raw_schema_version"),
         _section(
-            ddl,
+            schema,
             "scrape_metadata",
             search_keyword=F.lit(search_keyword),
             search_location=F.lit(search_location),
             scrape_timestamp=run_ts,
             user_agent_used=F.lit(user_agent),
         ),
-        _section(ddl, "job_identity", job_id_raw=job_id, job_url=F.col("job_url")),
+        _section(schema, "job_identity", job_id_raw=job_id, job_url=F.col("job_url")),
         _section(
-            ddl,
+            schema,
             "job_card_raw",
             title_raw=F.col("raw_title"),
             company_raw=F.col("company"),
@@ -92,12 +93,12 @@ def build_raw_job(
             date_posted_raw=F.col("date_posted_raw"),
             date_posted_attr=F.col("date_posted_attr"),
         ),
-        _section(ddl, "job_page_raw", **page),
+        _section(schema, "job_page_raw", **page),
         _section(
-            ddl, "company_info", company_url=company_url, company_id_hash=hash_content(company_url)
+            schema, "company_info", company_url=company_url, company_id_hash=hash_content(company_url)
         ),
         _section(
-            ddl,
+            schema,
             "quality_tracking",
             extraction_quality=quality_level(
                 F.col("description"), F.col("salary_raw"), F.col("applicant_count_raw")
@@ -107,7 +108,7 @@ def build_raw_job(
             retry_count=F.lit(0),
         ),
         _section(
-            ddl,
+            schema,
             "hashing",
             job_description_content_hash=hash_content(F.col("description")),
             job_post_id_hash=job_id,
@@ -117,8 +118,8 @@ def build_raw_job(
 
 def build_raw_company(df: DataFrame, run_ts: Column) -> DataFrame:
     """Nested raw company records from ``company_url``, ``company_name`` and the page's fields."""
-    ddl = schemas.RAW_COMPANY_DDL
-    page_fields = schemas.schema(ddl)["company_page_raw"].dataType.names
+    schema = schemas.RAW_COMPANY
+    page_fields = schema["company_page_raw"].dataType.names
     sources = {f: _COMPANY_SOURCE.get(f, f) for f in page_fields}
     page = {f: F.col(c) for f, c in sources.items() if c in df.columns}
     company_id = hash_content(F.col("company_url"))
@@ -128,22 +129,22 @@ def build_raw_company(df: DataFrame, run_ts: Column) -> DataFrame:
         F.lit(rules.SCRAPER_VERSION).alias("scraper_version"),
         F.lit(rules.RAW_VERSION).alias("raw_schema_version"),
         _section(
-            ddl,
+            schema,
             "company_identity",
             company_id_hash=company_id,
             company_name_raw=F.col("company_name"),
             company_url=F.col("company_url"),
         ),
-        _section(ddl, "company_page_raw", **page),
+        _section(schema, "company_page_raw", **page),
         _section(
-            ddl,
+            schema,
             "hashing",
             company_content_hash=about_hash,
             company_about_content_hash=about_hash,
             company_id_hash=company_id,
         ),
-        _section(ddl, "timestamps", first_seen=run_ts, last_seen=run_ts),
-        _section(ddl, "quality_tracking", retry_count=F.lit(0), selector_hits=sum(found, F.lit(0))),
+        _section(schema, "timestamps", first_seen=run_ts, last_seen=run_ts),
+        _section(schema, "quality_tracking", retry_count=F.lit(0), selector_hits=sum(found, F.lit(0))),
     )
 
 

@@ -15,6 +15,7 @@ from hirelens.functions.text import hash_job_url, strip_query
 from hirelens.operators.extract import extract_company_pages
 from hirelens.operators.postings import parse_postings
 from hirelens.operators.records import build_raw_company, build_raw_job
+from hirelens.session import new_path
 
 TITLES = [
     "Senior Data Scientist (Remote)",
@@ -305,3 +306,20 @@ def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed postings with ``doc_id``."""
     return parse_postings(postings(spark, sf_dir))
+
+
+_PARSED_TABLES: dict[tuple[str, str], str] = {}
+
+
+def parsed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed postings as a table in the shared folder, written once per application.
+
+    Reports read their input several times; they are meant to run on the written dataset, not to
+    parse anew each time.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PARSED_TABLES:
+        path = new_path(spark, "parsed-postings")
+        parsed(spark, sf_dir).drop("text").write.parquet(path)
+        _PARSED_TABLES[key] = path
+    return spark.read.parquet(_PARSED_TABLES[key])

@@ -337,3 +337,25 @@ CARD_FIELDS = [
 ]
 FETCH_FAILED = "Failed to fetch page"
 DESCRIPTION_FAILED = "Could not extract job description (selectors failed)"
+
+# frequent function words per language, for language detection and token cleaning
+STOP_WORDS = {
+    "en": (
+        "a an and are as at be been but by can for from had has have he her his if in into is it its"
+        " more no not of on or our she so than that the their them then there they this to was we"
+        " were what when which who will with would you your"
+    ).split(),
+    "fr": (
+        "au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous"
+        " on ou par pas plus pour que qui sa se ses son sont sur un une vous"
+    ).split(),
+    "de": (
+        "aber als am an auch auf aus bei das dass dem den der des die durch ein eine einen einer es"
+        " für hat ich im in ist mit nach nicht noch oder sich sie sind so um und von vor war wie wird"
+        " zu zum zur"
+    ).split(),
+    "es": (
+        "al como con de del el en era es esta este fue ha la las lo los más me mi muy no o para pero"
+        " por que se sin sobre son su sus también un una uno y ya"
+    ).split(),
+}

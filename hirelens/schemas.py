@@ -6,80 +6,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_TYPES = {"int": T.IntegerType(), "date": T.DateType(), "string": T.StringType()}
+_TYPES["strings"] = T.ArrayType(T.StringType())
+_TYPES["ints"] = T.ArrayType(T.IntegerType())
 
-# One DDL text per record kind; FIXED VALUES: field names, order and types of the records.
-CARD_DDL = """
-    raw_title string, company string, raw_location string, date_posted_raw string,
-    date_posted_attr string, job_url string, company_url string
-"""
-RAW_JOB_DDL = """
-    scraper_version string,
-    raw_schema_version string,
-    scrape_metadata struct<
-        search_keyword: string, search_location: string, scrape_timestamp: string,
-        user_agent_used: string>,
-    job_identity struct<job_id_raw: string, job_url: string>,
-    job_card_raw struct<
-        title_raw: string, company_raw: string, location_raw: string, date_posted_raw: string,
-        date_posted_attr: string>,
-    job_page_raw struct<
-        job_description_raw_text: string, job_description_raw_html: string,
-        description_extract_method: int,
-        job_insight_section_raw_text: string, job_insight_section_raw_html: string,
-        salary_raw_text: string, salary_status: string,
-        applicant_count_raw: string, applicant_count_status: string,
-        easy_apply_flag_raw: string, easy_apply_flag_status: string,
-        remote_label_raw: string, remote_label_status: string,
-        posted_by_raw: string, posted_by_status: string,
-        location_from_panel_raw: string,
-        employment_type_raw: string, seniority_raw: string, industry_raw: string,
-        job_function_raw: string,
-        embedded_json_ld: string, embedded_job_json: string>,
-    company_info struct<company_url: string, company_id_hash: string>,
-    quality_tracking struct<
-        extraction_quality: string, selector_hits: int, status_code_history: array<int>,
-        retry_count: int>,
-    hashing struct<job_description_content_hash: string, job_post_id_hash: string>
-"""
-RAW_COMPANY_DDL = """
-    scraper_version string,
-    raw_schema_version string,
-    company_identity struct<
-        company_id_hash: string, company_name_raw: string, company_url: string>,
-    company_page_raw struct<
-        company_about_raw_text: string, company_about_raw_html: string,
-        company_industry_raw: string, company_size_raw: string, company_headquarters_raw: string,
-        company_type_raw: string, company_specialties_raw: string, company_founded_year: string,
-        company_website_raw: string, company_employees_count_raw: string>,
-    hashing struct<
-        company_content_hash: string, company_about_content_hash: string,
-        company_id_hash: string>,
-    timestamps struct<first_seen: string, last_seen: string>,
-    quality_tracking struct<extraction_quality: string, retry_count: int, selector_hits: int>
-"""
-PARSED_JOB_DDL = """
-    job_id string, company string,
-    raw_title string, normalized_title string, title_keywords array<string>,
-    role_type string, seniority_level string,
-    skills_required array<string>, skills_optional array<string>, tools_frameworks array<string>,
-    min_years_experience int, experience_text string,
-    employment_type string, work_mode string,
-    city string, region string, country string,
-    date_posted_raw string, date_posted_normalized date,
-    job_description_raw string,
-    source string, job_url string, scrape_timestamp string,
-    schema_version string, dataset_version string
-"""
-REJECT_DDL = "job_url string, raw_title string, company string, reason string, timestamp string"
-PROFILE_DDL = """
-    profile_id string, standardized_role string, candidate_skills array<string>,
-    experience_years int, education_level string, certifications array<string>,
-    seniority_level string, language string, derived_from string
-"""
 
+def record(names: str, **sections: T.StructType) -> T.StructType:
+    """Nullable fields out of ``name`` or ``name:type`` words, strings by default; a name among
+    ``sections`` is that struct."""
+    fields = []
+    for word in names.split():
+        name, _, kind = word.partition(":")
+        fields.append(T.StructField(name, sections.get(name) or _TYPES[kind or "string"]))
+    return T.StructType(fields)
 
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(ddl.split()))
+
+# FIXED VALUES: names, order and types of the fields of every kind of record
+CARD = record(
+    "raw_title company raw_location date_posted_raw date_posted_attr job_url company_url"
+)
+RAW_JOB = record(
+    "scraper_version raw_schema_version scrape_metadata job_identity job_card_raw job_page_raw"
+    " company_info quality_tracking hashing",
+    scrape_metadata=record("search_keyword search_location scrape_timestamp user_agent_used"),
+    job_identity=record("job_id_raw job_url"),
+    job_card_raw=record("title_raw company_raw location_raw date_posted_raw date_posted_attr"),
+    job_page_raw=record(
+        "job_description_raw_text job_description_raw_html description_extract_method:int"
+        " job_insight_section_raw_text job_insight_section_raw_html salary_raw_text salary_status"
+        " applicant_count_raw applicant_count_status easy_apply_flag_raw easy_apply_flag_status"
+        " remote_label_raw remote_label_status posted_by_raw posted_by_status"
+        " location_from_panel_raw employment_type_raw seniority_raw industry_raw job_function_raw"
+        " embedded_json_ld embedded_job_json"
+    ),
+    company_info=record("company_url company_id_hash"),
+    quality_tracking=record(
+        "extraction_quality selector_hits:int status_code_history:ints retry_count:int"
+    ),
+    hashing=record("job_description_content_hash job_post_id_hash"),
+)
+RAW_COMPANY = record(
+    "scraper_version raw_schema_version company_identity company_page_raw hashing timestamps"
+    " quality_tracking",
+    company_identity=record("company_id_hash company_name_raw company_url"),
+    company_page_raw=record(
+        "company_about_raw_text company_about_raw_html company_industry_raw company_size_raw"
+        " company_headquarters_raw company_type_raw company_specialties_raw company_founded_year"
+        " company_website_raw company_employees_count_raw"
+    ),
+    hashing=record("company_content_hash company_about_content_hash company_id_hash"),
+    timestamps=record("first_seen last_seen"),
+    quality_tracking=record("extraction_quality retry_count:int selector_hits:int"),
+)
+PARSED_JOB = record(
+    "job_id company raw_title normalized_title title_keywords:strings role_type seniority_level"
+    " skills_required:strings skills_optional:strings tools_frameworks:strings"
+    " min_years_experience:int experience_text employment_type work_mode city region country"
+    " date_posted_raw date_posted_normalized:date job_description_raw source job_url"
+    " scrape_timestamp schema_version dataset_version"
+)
+REJECT = record("job_url raw_title company reason timestamp")
+PROFILE = record(
+    "profile_id standardized_role candidate_skills:strings experience_years:int education_level"
+    " certifications:strings seniority_level language derived_from"
+)
 
 
 def leaf_paths(struct: T.StructType, prefix: str = "") -> list[str]:
@@ -94,11 +84,11 @@ def leaf_paths(struct: T.StructType, prefix: str = "") -> list[str]:
     return paths
 
 
-def conform(df: DataFrame, ddl: str) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The declared columns in order, missing ones as null, each cast to its declared type."""
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema(ddl)
+            for f in schema
         ]
     )

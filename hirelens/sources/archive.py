@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens import schemas
 
 CORRUPT = "_corrupt_record"
 
 
-def _read(spark: SparkSession, path: str, ddl: str, fmt: str, array_files: bool) -> DataFrame:
-    reader = spark.read.schema(schemas.schema(f"{ddl}, {CORRUPT} string"))
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, array_files: bool) -> DataFrame:
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     if fmt == "json":
         return (
-            reader.option("multiLine", array_files)
+            spark.read.schema(with_corrupt)
+            .option("multiLine", array_files)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("pathGlobFilter", "*.json")
-            .option("recursiveFileLookup", not array_files and "*" in path)
             .json(path)
         )
-    return spark.read.schema(schemas.schema(ddl)).format(fmt).load(path)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def scan_raw_jobs(
@@ -33,27 +34,27 @@ def scan_raw_jobs(
     library's own files have a record per line and split. Records without an identity, and
     what is no JSON, are left out; ``corrupt_rows`` lists the latter.
     """
-    raw = _read(spark, path, schemas.RAW_JOB_DDL, fmt, array_files)
+    raw = _read(spark, path, schemas.RAW_JOB, fmt, array_files)
     return raw.filter(F.col("job_identity.job_id_raw").isNotNull()).drop(CORRUPT)
 
 
 def scan_raw_companies(
     spark: SparkSession, path: str, fmt: str = "json", array_files: bool = False
 ) -> DataFrame:
-    raw = _read(spark, path, schemas.RAW_COMPANY_DDL, fmt, array_files)
+    raw = _read(spark, path, schemas.RAW_COMPANY, fmt, array_files)
     return raw.filter(F.col("company_identity.company_id_hash").isNotNull()).drop(CORRUPT)
 
 
 def corrupt_rows(spark: SparkSession, path: str, array_files: bool = False) -> DataFrame:
     """Text that is no JSON, with the file it stands in."""
-    raw = _read(spark, path, schemas.RAW_JOB_DDL, "json", array_files)
+    raw = _read(spark, path, schemas.RAW_JOB, "json", array_files)
     return raw.filter(F.col(CORRUPT).isNotNull()).select(
         F.input_file_name().alias("file"), CORRUPT, F.col("job_identity").isNull().alias("empty")
     )
 
 
 def scan_listings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.schema(schemas.CARD_DDL)).json(path)
+    return spark.read.schema(schemas.CARD).json(path)
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -63,5 +64,5 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_dataset(spark: SparkSession, path: str) -> DataFrame:
     """All versions and runs of the parsed dataset; filters on these two prune partitions."""
-    ddl = schemas.PARSED_JOB_DDL + ", run_ts string"
-    return spark.read.schema(schemas.schema(ddl)).parquet(path)
+    by_run = T.StructType([*schemas.PARSED_JOB.fields, T.StructField("run_ts", T.StringType())])
+    return spark.read.schema(by_run).parquet(path)

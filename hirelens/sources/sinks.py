@@ -13,7 +13,7 @@ from hirelens.functions.text import keyword_slug
 
 LIST_COLUMNS = [
     f.name
-    for f in schemas.schema(schemas.PARSED_JOB_DDL)
+    for f in schemas.PARSED_JOB
     if f.dataType.typeName() == "array"
 ]
 
@@ -42,7 +42,7 @@ def write_raw_companies(df: DataFrame, path: str, keywords: str, fmt: str = "jso
 
 def write_raw_listings(cards: DataFrame, path: str) -> None:
     """Listing cards before their pages are looked at."""
-    schemas.conform(cards, schemas.CARD_DDL).write.mode("append").json(path)
+    schemas.conform(cards, schemas.CARD).write.mode("append").json(path)
 
 
 def write_parsed(df: DataFrame, path: str) -> None:
