@@ -46,11 +46,17 @@ def _skill_counts(parsed: DataFrame, by: Sequence[str], **extra: Column) -> Data
 
 def _with_totals(counts: DataFrame, by: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Counts per skill beside the totals of their ``by`` group. Null-safe on the group."""
+    named = counts.filter(F.col("skill") != ALL)
+    if not by:
+        whole = counts.filter(F.col("skill") == ALL)
+        return named.withColumns(
+            {t: whole.agg(F.max(c)).scalar() for c, t in columns.items()}
+        )
     totals = counts.filter(F.col("skill") == ALL).select(
         *[F.col(b).alias(f"_{b}") for b in by], *[F.col(c).alias(t) for c, t in columns.items()]
     )
     on = [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]
-    return counts.filter(F.col("skill") != ALL).join(totals, on).drop(*[f"_{b}" for b in by])
+    return named.join(totals, on).drop(*[f"_{b}" for b in by])
 
 
 def skill_frequency(

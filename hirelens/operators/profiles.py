@@ -2,7 +2,8 @@
 
 ``pair_up`` decides which posting meets which profile: those of the same role. Profiles made by
 ``ideal_profiles`` are at most one per role and seniority, so a posting meets five or so. All scores
-are then columns of the pair. Skill weights are one small map, no larger than the vocabulary.
+are then columns of the pair. Skill weights are one small map, no larger than the vocabulary; add
+it to the pairs as a column, since lambdas cannot hold the subquery it comes from.
 """
 
 from __future__ import annotations

@@ -156,14 +156,18 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skills_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     demand = profiles.skill_demand(parsed_table(spark, sf_dir))
-    score = profiles.skills_coverage(c("skills_required"), c("candidate_skills"), demand)
-    return _pairs(spark, sf_dir).select("doc_id", "profile_id", F.round(score, 6).alias("coverage"))
+    pairs = _pairs(spark, sf_dir).withColumn("demand", demand)
+    score = profiles.skills_coverage(c("skills_required"), c("candidate_skills"), c("demand"))
+    return pairs.select("doc_id", "profile_id", F.round(score, 6).alias("coverage"))
+
+
+def _weighted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir).withColumn("idf", profiles.skill_idf(parsed_table(spark, sf_dir)))
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idf = profiles.skill_idf(parsed_table(spark, sf_dir))
-    score = profiles.match_score(c("skills"), c("candidate_skills"), idf)
-    return _pairs(spark, sf_dir).withColumn("score", score)
+    score = profiles.match_score(c("skills"), c("candidate_skills"), c("idf"))
+    return _weighted_pairs(spark, sf_dir).withColumn("score", score)
 
 
 def match_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,9 +175,10 @@ def match_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explain_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idf = profiles.skill_idf(parsed_table(spark, sf_dir))
-    top = profiles.explain_match(c("skills"), c("candidate_skills"), idf, 2)
-    pairs = _pairs(spark, sf_dir).select("doc_id", "profile_id", F.posexplode(top).alias("place", "t"))
+    top = profiles.explain_match(c("skills"), c("candidate_skills"), c("idf"), 2)
+    pairs = _weighted_pairs(spark, sf_dir).select(
+        "doc_id", "profile_id", F.posexplode(top).alias("place", "t")
+    )
     return rounded(pairs.select("doc_id", "profile_id", "place", "t.*"), "weight")
 
 
