@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions.tokens import ngrams, tokenize
+from hirelens.operators.skew import lookup
 from hirelens.session import shared_dir
 
 PRIME = 4_294_967_311  # smallest prime above 2^32
@@ -35,7 +36,7 @@ def shingle_hash(shingle: Column) -> Column:
 def band_buckets(
     df: DataFrame, key: str, text: Column, shingle: int = 3, bands: int = 8, rows: int = 4
 ) -> DataFrame:
-    """``key, band, bucket`` for every row with at least one shingle.
+    """``key, bucket`` for every row with at least one shingle.
 
     The minima are plain aggregates over exploded hashes: they combine within the task that read
     the row, so what is shuffled is one row of minima per text, not its shingles.
@@ -49,29 +50,19 @@ def band_buckets(
     ]
     signed = hashes.groupBy(key).agg(*minima)
     buckets = [
-        F.struct(
-            F.lit(band).alias("band"),
-            F.md5(
-                F.concat_ws(",", *[f"m{band * rows + r}" for r in range(rows)])
-            ).alias("bucket"),
-        )
+        F.md5(F.concat_ws(",", F.lit(band), *[f"m{band * rows + r}" for r in range(rows)]))
         for band in range(bands)
     ]
-    return signed.select(key, F.inline(F.array(*buckets)))
+    return signed.select(key, F.explode(F.array(*buckets)).alias("bucket"))
 
 
 def star_edges(buckets: DataFrame, key: str) -> DataFrame:
     """Every bucket member with the smallest member: ``src, dst``, ``dst < src``."""
-    smallest = buckets.groupBy("band", "bucket").agg(
+    smallest = buckets.groupBy("bucket").agg(
         F.min(key).alias("dst"), F.count(F.lit(1)).alias("n")
     )
-    shared = smallest.filter("n > 1").drop("n")
-    return (
-        buckets.join(shared, ["band", "bucket"])
-        .filter(F.col(key) > F.col("dst"))
-        .select(F.col(key).alias("src"), "dst")
-        .distinct()
-    )
+    linked = lookup(buckets, smallest.filter("n > 1"), "bucket", "n")
+    return linked.filter(F.col(key) > F.col("dst")).select(F.col(key).alias("src"), "dst").distinct()
 
 
 def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -87,10 +78,10 @@ def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     def around(pairs: DataFrame) -> DataFrame:
         """Each pair with the smallest of ``u`` and all its neighbours."""
-        smallest = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        return pairs.join(
-            smallest.select("u", F.least("u", "m").alias("m")), "u"
+        smallest = pairs.groupBy("u").agg(
+            F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n")
         )
+        return lookup(pairs, smallest, "u", "n")
 
     def large_star(e: DataFrame) -> DataFrame:
         both = e.select(F.col("src").alias("u"), F.col("dst").alias("v")).union(
@@ -123,7 +114,8 @@ def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     else:
         raise RuntimeError(f"groups still changing after {max_rounds} rounds")
     members = current.select(F.col("src").alias("node"), F.col("dst").alias("group"))
-    return members.union(current.select(F.col("dst").alias("node"), F.col("dst").alias("group"))).distinct()
+    centres = current.select(F.col("dst").alias("node"), F.col("dst").alias("group")).distinct()
+    return members.union(centres)
 
 
 def near_dup(df: DataFrame, key: str, text: Column, **options) -> DataFrame:
@@ -131,12 +123,15 @@ def near_dup(df: DataFrame, key: str, text: Column, **options) -> DataFrame:
 
     Equal texts are folded into one first, so copies cost nothing further on.
     """
-    hashed = df.select(key, F.md5(text).alias("_content"), text.alias("_text"))
-    copies = hashed.groupBy("_content").agg(F.min(key).alias("_first"))
-    labelled = hashed.select(key, "_content").join(copies, "_content")
-    originals = hashed.join(copies.select(F.col("_first").alias(key)), key, "left_semi")
+    hashed = df.select(key, F.md5(text).alias("_content"))
+    copies = hashed.groupBy("_content").agg(
+        F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    firsts = copies.select(F.col("_first").alias(key))
+    originals = df.select(key, text.alias("_text")).join(firsts, key, "left_semi")
     edges = star_edges(band_buckets(originals, key, F.col("_text"), **options), key)
     groups = connected_groups(edges)
-    return labelled.join(groups, F.col("_first") == F.col("node"), "left").select(
-        key, F.coalesce("group", "_first").alias("group")
+    labelled = copies.join(groups, F.col("_first") == F.col("node"), "left").select(
+        "_content", "_n", F.coalesce("group", "_first").alias("group")
     )
+    return lookup(hashed, labelled, "_content", "_n").select(key, "group")

@@ -21,7 +21,7 @@ from hirelens.operators.market import (
     skill_frequency,
     with_all_skills,
 )
-from hirelens.operators.skew import rank_by_score, top_k
+from hirelens.operators.skew import lookup, rank_by_score, top_k
 
 
 def ideal_profiles(parsed: DataFrame, min_share: float = 0.3) -> DataFrame:
@@ -192,8 +192,8 @@ def ranking_metrics(
 ) -> DataFrame:
     """NDCG@k and reciprocal rank of the first relevant item, per query.
 
-    Only the best ``k`` per query are ranked, in two steps. The first relevant item's rank is the
-    number of items before it plus one: a maximum, then a count.
+    Only the best ``k`` per query are ranked. The first relevant item's rank is the number of items
+    before it plus one: a maximum, then a count.
     """
     rows = df.select(query, item, score, relevance)
 
@@ -203,15 +203,17 @@ def ranking_metrics(
 
     by_score = dcg([F.desc(score), F.col(item)], "dcg")
     ideal = dcg([F.desc(relevance), F.col(item)], "ideal")
-    place = F.struct(F.col(score), -F.col(item))
-    first = rows.filter(F.col(relevance) > 0).groupBy(query).agg(F.max(place).alias("_best"))
+    place = F.struct(F.col(score).alias("s"), (-F.col(item)).alias("i"))
+    per_query = rows.groupBy(query).agg(
+        F.count(F.lit(1)).alias("items"),
+        F.max(F.when(F.col(relevance) > 0, place)).alias("_best"),
+    )
     ranks = (
-        rows.join(first, query, "left")
+        lookup(rows, per_query, query, "items")
         .groupBy(query)
         .agg(
-            F.count(F.lit(1)).alias("items"),
-            (F.count_if(place > F.col("_best")) + 1).alias("_rank"),
-            F.count("_best").alias("_any"),
+            F.first("items").alias("items"),
+            F.when(F.count("_best") > 0, 1 / (F.count_if(place > F.col("_best")) + 1)).alias("_rr"),
         )
     )
     joined = by_score.join(ideal, query).join(ranks, query)
@@ -219,7 +221,7 @@ def ranking_metrics(
         query,
         "items",
         F.when(F.col("ideal") > 0, F.col("dcg") / F.col("ideal")).alias("ndcg"),
-        F.when(F.col("_any") > 0, 1.0 / F.col("_rank")).otherwise(0.0).alias("reciprocal_rank"),
+        F.coalesce("_rr", F.lit(0.0)).alias("reciprocal_rank"),
     )
 
 

@@ -12,62 +12,56 @@ HOT_KEYS = 1000  # keys outside the 1000 most frequent have less than 1/1000 of
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
-    """Left join of ``df`` with a ``table`` that has one row per string ``key`` and, in ``count``,
-    how frequent the key is in ``df``.
+    """Left join of ``df`` with a ``table`` that has one row per ``key`` and, in ``count``, how
+    frequent the key is in ``df``.
 
     The ``HOT_KEYS`` most frequent keys are looked up in a broadcast of exactly that many rows. All
-    other rows go to a shuffled join with the whole table; rows already answered take a hash of
-    themselves as key there, so they spread instead of meeting in one task. ``df`` is read once.
+    other rows go to a shuffled join with the whole table; rows already answered, and rows without a
+    key, take a hash of themselves as key there, so they spread instead of meeting in one task. ``df`` is read once.
     """
     values = [c for c in table.columns if c != key]
     hot = table.orderBy(F.desc(count), key).limit(HOT_KEYS)
     hot = hot.select(F.col(key).alias("_hot"), F.struct(*values).alias("_from_hot"))
-    cold = table.select(F.col(key).alias("_cold"), F.struct(*values).alias("_from_cold"))
+    cold = table.select(
+        F.col(key).cast("string").alias("_cold"), F.struct(*values).alias("_from_cold")
+    )
     answered = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     own_hash = F.concat(F.lit("\0"), F.xxhash64(*df.columns).cast("string"))
     staged = answered.withColumn(
-        "_probe", F.when(F.col("_hot").isNotNull(), own_hash).otherwise(F.col(key))
+        "_probe",
+        F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), own_hash).otherwise(F.col(key).cast("string")),
     )
     joined = staged.join(cold, F.col("_probe") == F.col("_cold"), "left")
     found = F.coalesce("_from_hot", "_from_cold")
     return joined.select(*df.columns, *[found[v].alias(v) for v in values])
 
 
-def top_k(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, parts: int = 32
-) -> DataFrame:
+def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows of each key by ``order``, with their ``rank``.
 
-    Each key is cut into ``parts`` by a hash of the row, the best ``k`` of each part are found first
-    and only those meet, at most ``k * parts`` per key.
+    Spark turns the filter on the row number into a limit per key inside each task, before the
+    shuffle, so a large key sends ``k`` rows per task and not all of its rows.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
-    local = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    final = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_salt", salt)
-        .withColumn("rank", F.row_number().over(local))
-        .filter(F.col("rank") <= k)
-        .withColumn("rank", F.row_number().over(final))
-        .filter(F.col("rank") <= k)
-        .drop("_salt")
-    )
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
 def rank_by_score(df: DataFrame, keys: Sequence[str], score: str, decimals: int = 4) -> DataFrame:
     """``rank`` of each row within its key by a score in [0, 1], best first, equals share a rank.
 
     The score is rounded first, so a key has no more than 10^decimals + 1 distinct scores. Rows are
-    counted per score, ranks are running totals over these counts, and go back by a join.
+    counted per score, ranks are running totals over these counts, and go back by a look-up.
     """
-    rounded = df.withColumn(score, F.round(score, decimals))
-    counts = rounded.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
+    rounded = df.withColumn(score, F.round(score, decimals)).withColumn(
+        "_level", F.to_json(F.struct(*keys, score))
+    )
+    counts = rounded.groupBy(*keys, score, "_level").agg(F.count(F.lit(1)).alias("_n"))
     above = (
         Window.partitionBy(*keys)
         .orderBy(F.desc(score))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranks = counts.select(
-        *keys, score, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("rank")
+        "_level", "_n", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("rank")
     )
-    return rounded.join(ranks, [*keys, score])
+    return lookup(rounded, ranks, "_level", "_n").drop("_level", "_n")

@@ -131,7 +131,7 @@ def role_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = inputs.postings(spark, sf_dir).select(
         "doc_id", roles.role_scores(c("raw_title"), c("description"), tools).alias("scores")
     )
-    return p.select("doc_id", F.inline("scores")).select("doc_id", "role", "score")
+    return p.select("doc_id", F.inline_outer("scores")).select("doc_id", "role", "score")
 
 
 def role_type(spark: SparkSession, sf_dir: str) -> DataFrame:
