@@ -32,11 +32,10 @@ def first_rows(
 def dedup_jobs(
     df: DataFrame, key: str = "job_id_raw", order: Sequence[str] = ("page", "position")
 ) -> DataFrame:
-    """First occurrence of each job within and across pages. Rows without a key all stay."""
-    with_key = df.filter(F.col(key).isNotNull())
-    return first_rows(with_key, [key], [F.col(o) for o in order]).unionByName(
-        df.filter(F.col(key).isNull())
-    )
+    """First occurrence of each job within and across pages. Rows without a key all stay: they are
+    keyed by their place, which is unique."""
+    own = F.coalesce(F.col(key).cast("string"), F.to_json(F.struct(*order)))
+    return first_rows(df.withColumn("_key", own), ["_key"], [F.col(o) for o in order]).drop("_key")
 
 
 def dedup_by_id(df: DataFrame, key: str, ts: str, *tie_break: str) -> DataFrame:

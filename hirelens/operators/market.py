@@ -2,7 +2,7 @@
 
 Everything counts skills, and the skills of a posting are a set out of a fixed vocabulary, so a row
 expands to a bounded number of skills or skill pairs. Counts combine before the shuffle and what
-follows works on the counts. Totals travel as rows of the same aggregate, so the postings are read
+follows works on the counts. Totals travel as rows of the same aggregate, so the skills are read
 once per report.
 """
 
@@ -45,18 +45,16 @@ def _skill_counts(parsed: DataFrame, by: Sequence[str], **extra: Column) -> Data
 
 
 def _with_totals(counts: DataFrame, by: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
-    """Counts per skill beside the totals of their ``by`` group. Null-safe on the group."""
-    named = counts.filter(F.col("skill") != ALL)
-    if not by:
-        whole = counts.filter(F.col("skill") == ALL)
-        return named.withColumns(
-            {t: whole.agg(F.max(c)).scalar() for c, t in columns.items()}
-        )
-    totals = counts.filter(F.col("skill") == ALL).select(
-        *[F.col(b).alias(f"_{b}") for b in by], *[F.col(c).alias(t) for c, t in columns.items()]
-    )
-    on = [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]
-    return named.join(totals, on).drop(*[f"_{b}" for b in by])
+    """Counts per skill beside the totals of their ``by`` group.
+
+    A window over the counts, with a row per skill of the vocabulary, and not a join with filtered
+    counts: the filter would be pushed below the aggregate and the postings read again.
+    """
+    group = Window.partitionBy(*by)
+    totals = {
+        t: F.max(F.when(F.col("skill") == ALL, F.col(c))).over(group) for c, t in columns.items()
+    }
+    return counts.withColumns(totals).filter(F.col("skill") != ALL)
 
 
 def skill_frequency(
@@ -71,34 +69,34 @@ def skill_cooccurrence(parsed: DataFrame) -> DataFrame:
     """``a, b, n, support, lift`` of every skill pair with ``a < b``.
 
     Pairs are made inside a posting, whose skills are a subset of the vocabulary; there is no self
-    join. ``(a, a)`` carries the count of a skill and ``("", "")`` that of the postings.
+    join. The pair ``(a, a)`` carries the count of the skill, which reaches the other pairs through
+    windows over the counts, of at most one row per skill.
     """
     pairs = F.expr(
         "flatten(transform(skills, (a, i) -> transform(slice(skills, i + 1, size(skills)),"
         " b -> named_struct('a', a, 'b', b))))"
     )
-    marker = F.array(F.struct(F.lit(ALL).alias("a"), F.lit(ALL).alias("b")))
     counts = (
         with_all_skills(parsed)
-        .select(F.inline(F.concat(marker, pairs)))
+        .select(F.inline(pairs))
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    single = counts.filter("a = b")
-    total = single.filter(F.col("a") == ALL).agg(F.max("n")).scalar()
-    n_a = single.select("a", F.col("n").alias("n_a"))
-    n_b = single.select("b", F.col("n").alias("n_b"))
-    return (
-        counts.filter("a < b AND a != ''")
-        .join(n_a, "a")
-        .join(n_b, "b")
-        .select(
-            "a",
-            "b",
-            "n",
-            (F.col("n") / total).alias("support"),
-            (F.col("n") * total / (F.col("n_a") * F.col("n_b"))).alias("lift"),
-        )
+    single = F.when(F.col("a") == F.col("b"), F.col("n"))
+    known = counts.withColumns(
+        {
+            "n_a": F.max(single).over(Window.partitionBy("a")),
+            "n_b": F.max(single).over(Window.partitionBy("b")),
+            "total": parsed.agg(F.count(F.lit(1))).scalar(),
+        }
+    )
+    n = F.col("n")
+    return known.filter("a < b").select(
+        "a",
+        "b",
+        "n",
+        (n / F.col("total")).alias("support"),
+        (n * F.col("total") / (F.col("n_a") * F.col("n_b"))).alias("lift"),
     )
 
 
