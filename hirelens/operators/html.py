@@ -7,15 +7,20 @@ however deep elements nest. All selection work happens afterwards in Spark expre
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The reader goes to the workers inside the task, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # FIXED VALUES of HTML: tags without content; tags whose text is not page text; tags in which
 # blank text is kept as it is
 VOID_TAGS = frozenset(

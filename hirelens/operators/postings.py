@@ -95,7 +95,5 @@ def parse_rejects(df: DataFrame) -> DataFrame:
     thin = ~long_enough(F.col("description"))
     no_skills = F.size(extract_skills(F.col("description"))["skills_required"]) == 0
     reason = F.when(thin, "no description").when(no_skills, "no skills found")
-    found = with_once(df, {"reason": reason})
-    return found.filter(F.col("reason").isNotNull()).select(
-        "job_url", "raw_title", "company", "reason", F.col("scrape_timestamp").alias("timestamp")
-    )
+    lost = with_once(df, {"reason": reason}).filter(F.col("reason").isNotNull())
+    return schemas.conform(lost.withColumn("timestamp", F.col("scrape_timestamp")), schemas.REJECT)

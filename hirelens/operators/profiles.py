@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens import rules
+from hirelens import rules, schemas
 from hirelens.functions.dates import years_bucket
 from hirelens.operators.market import (
     seniority_rank,
@@ -35,7 +35,7 @@ def ideal_profiles(parsed: DataFrame, min_share: float = 0.3) -> DataFrame:
         .agg(F.array_sort(F.collect_set("skill")).alias("candidate_skills"))
     )
     years = parsed.groupBy(*by).agg(F.round(F.avg("min_years_experience")).cast("int").alias("years"))
-    return skills.join(years, by).select(
+    named = skills.join(years, by).select(
         F.concat_ws(" | ", *by).alias("profile_id"),
         F.col("role_type").alias("standardized_role"),
         "seniority_level",
@@ -43,6 +43,7 @@ def ideal_profiles(parsed: DataFrame, min_share: float = 0.3) -> DataFrame:
         F.col("years").alias("experience_years"),
         F.lit("inferred").alias("derived_from"),
     )
+    return schemas.conform(named, schemas.PROFILE)
 
 
 def pair_up(jobs: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def filter_has_url(cards: DataFrame, url: str = "job_url") -> DataFrame:
 
 def fetched(cards: DataFrame, extracted: DataFrame, url: str = "url") -> DataFrame:
     """Cards with the fields of their job page. A card whose page is missing counts as not
-    fetched. Both sides are keyed by address, so this is one equi-join."""
+    fetched. Pages have one row per address, so this equi-join never multiplies rows."""
     pages = extracted.withColumnRenamed(url, "job_url")
     joined = filter_has_url(cards).join(pages, "job_url", "left")
     return joined.withColumns(
@@ -52,9 +52,8 @@ def gate_success(df: DataFrame) -> DataFrame:
 
 def reject_rows(df: DataFrame, run_ts: Column) -> DataFrame:
     """What ``gate_success`` drops, with the reason."""
-    return df.filter("NOT success").select(
-        "job_url", "raw_title", "company", F.col("error").alias("reason"), run_ts.alias("timestamp")
-    )
+    lost = df.filter("NOT success").withColumns({"reason": F.col("error"), "timestamp": run_ts})
+    return schemas.conform(lost, schemas.REJECT)
 
 
 def build_raw_job(

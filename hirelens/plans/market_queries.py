@@ -146,7 +146,14 @@ def near_dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ideal_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = profiles.ideal_profiles(parsed_table(spark, sf_dir))
-    return found.withColumn("candidate_skills", F.array_join("candidate_skills", "|"))
+    return found.select(
+        "profile_id",
+        "standardized_role",
+        "seniority_level",
+        F.array_join("candidate_skills", "|").alias("candidate_skills"),
+        "experience_years",
+        "derived_from",
+    )
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

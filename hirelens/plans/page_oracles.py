@@ -69,11 +69,33 @@ _INSIGHT_HTML = (
 )
 
 
+_HITS = (
+    "CAST(CASE WHEN method IS NULL THEN 0 ELSE 3 + CAST(salary_raw IS NOT NULL AS INTEGER)"
+    " + CAST(applicant_count_raw IS NOT NULL AS INTEGER) + 2 * CAST(employment_type_raw IS NOT NULL AS"
+    " INTEGER) + CASE WHEN doc_id % 5 <> 4 THEN 2 ELSE 0 END END AS INTEGER)"
+)
+
+
 def _company_columns() -> str:
     return ", ".join(f"{sql} AS company_{name}_raw" for name, sql in _FACTS.items())
 
 
 ORACLES = {
+    "collect_jobs": with_postings(
+        f"SELECT sha256({_URL}) AS job_id_raw, {_URL} AS job_url, {_TITLE} AS title_raw,"
+        f" applicant_count_raw, {_QUALITY.format('description', 'salary_raw', 'applicant_count_raw')}"
+        f" AS extraction_quality, {_HITS} AS selector_hits, '2026-02-21T00:00:00' AS scrape_timestamp"
+        " FROM found WHERE method IS NOT NULL AND doc_id % 10 < 8 AND NOT EXISTS (SELECT 1 FROM postings"
+        f" o WHERE o.scrape_timestamp < '2026-02-17' AND {_URL.replace('job_url', 'o.job_url')} ="
+        f" {_URL.replace('job_url', 'found.job_url')})",
+        _FOUND,
+    ),
+    "collect_companies": with_postings(
+        f"SELECT sha256({_COMPANY_URL}) AS company_id_hash, min(company) AS company_name_raw,"
+        f" {_COMPANY_URL} AS company_url, any_value(s_suppkey || ' employees') AS company_size_raw,"
+        f" '2026-02-21T00:00:00' AS first_seen FROM postings JOIN (SELECT * FROM {_SUPPLIERS})"
+        f" ON {_COMPANY_URL} = 'https://co.example/c/' || s_suppkey GROUP BY 1, 3"
+    ),
     "scan_pages": "SELECT page_id, url, CAST(length(html) AS INTEGER) AS chars FROM pages",
     "html_elements": "SELECT page_id, len(regexp_extract_all(html, '<p>')) AS paragraphs,"
     " len(regexp_extract_all(html, '<a ')) AS links,"
@@ -135,10 +157,7 @@ ORACLES = {
         " || ',{\"a\":1}]}' END AS job_json FROM postings"
     ),
     "selector_hits": with_postings(
-        f"SELECT doc_id, CAST(CASE WHEN method IS NULL THEN 0 ELSE 3 + CAST(salary_raw IS NOT NULL AS"
-        " INTEGER) + CAST(applicant_count_raw IS NOT NULL AS INTEGER) + 2 * CAST(employment_type_raw IS"
-        " NOT NULL AS INTEGER) + CASE WHEN doc_id % 5 <> 4 THEN 2 ELSE 0 END END AS INTEGER)"
-        f" AS selector_hits, method IS NOT NULL AS success, {_ERROR} AS error FROM found",
+        f"SELECT doc_id, {_HITS} AS selector_hits, method IS NOT NULL AS success, {_ERROR} AS error FROM found",
         _FOUND,
     ),
     "extract_company_about": f"SELECT s_suppkey, {_ABOUT} AS company_about_raw_text,"

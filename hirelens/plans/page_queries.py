@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import rules
-from hirelens.operators import extract, html, records
+from hirelens.functions.text import company_about_url, strip_query
+from hirelens.operators import collection, extract, html, records
 from hirelens.operators.history import dedup_companies, job_company
 from hirelens.operators.quality import quality_level
 from hirelens.plans import inputs
@@ -186,7 +187,44 @@ def joined_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _new_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of all listing pages but for jobs the first run has."""
+    seen = inputs.raw_jobs(spark, sf_dir).filter(
+        c("scrape_metadata.scrape_timestamp") < "2026-02-17"
+    )
+    return collection.new_cards(inputs.listing_pages(spark, sf_dir), seen)
+
+
+def collect_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages to raw records: cards, archive check, first of each, job pages, gate."""
+    pages = inputs.job_pages(spark, sf_dir).filter("doc_id % 10 < 8")
+    addressed = pages.select(strip_query(c("url")).alias("url"), "html")
+    raw = collection.collect_jobs(
+        _new_cards(spark, sf_dir), addressed, F.lit("2026-02-21T00:00:00"), "any"
+    )
+    return raw.select(
+        "job_identity.*",
+        "job_card_raw.title_raw",
+        "job_page_raw.applicant_count_raw",
+        "quality_tracking.extraction_quality",
+        "quality_tracking.selector_hits",
+        "scrape_metadata.scrape_timestamp",
+    )
+
+
+def collect_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = inputs.company_pages(spark, sf_dir).select(
+        company_about_url(c("url")).alias("url"), "html"
+    )
+    raw = collection.collect_companies(
+        inputs.cards(spark, sf_dir), pages, F.lit("2026-02-21T00:00:00")
+    )
+    return raw.select("company_identity.*", "company_page_raw.company_size_raw", "timestamps.first_seen")
+
+
 QUERIES = {
+    "collect_jobs": collect_jobs,
+    "collect_companies": collect_companies,
     "scan_pages": scan_pages,
     "html_elements": html_elements,
     "selector_cascade": selector_cascade,
