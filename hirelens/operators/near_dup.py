@@ -34,12 +34,19 @@ def shingle_hash(shingle: Column) -> Column:
 
 
 def band_buckets(
-    df: DataFrame, key: str, text: Column, shingle: int = 3, bands: int = 8, rows: int = 4
+    df: DataFrame,
+    key: str,
+    text: Column,
+    shingle: int = 3,
+    bands: int = 8,
+    rows: int = 4,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """``key, bucket`` for every row with at least one shingle.
+    """``key, bucket`` for every row with at least one shingle, or just for the keys in ``only``.
 
     The minima are plain aggregates over exploded hashes: they combine within the task that read
-    the row, so what is shuffled is one row of minima per text, not its shingles.
+    the row, so what is shuffled is one row of minima per text, not its shingles and not the text.
+    ``only`` is applied to the minima, which are already partitioned by key.
     """
     hashes = df.select(
         key, F.explode(F.array_distinct(ngrams(tokenize(text), shingle))).alias("s")
@@ -49,6 +56,8 @@ def band_buckets(
         for i, (a, b) in enumerate(coefficients(bands * rows))
     ]
     signed = hashes.groupBy(key).agg(*minima)
+    if only is not None:
+        signed = signed.join(only, key, "left_semi")
     buckets = [
         F.md5(F.concat_ws(",", F.lit(band), *[f"m{band * rows + r}" for r in range(rows)]))
         for band in range(bands)
@@ -121,16 +130,15 @@ def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 def near_dup(df: DataFrame, key: str, text: Column, **options) -> DataFrame:
     """``key, group`` for all rows: the smallest key of the row's group, itself if it is alone.
 
-    Equal texts are folded into one first, so copies cost nothing further on.
+    Equal texts are folded into one by their hash before buckets are made, so copies cost nothing
+    further on. Texts themselves are never shuffled.
     """
     hashed = df.select(key, F.md5(text).alias("_content"))
     copies = hashed.groupBy("_content").agg(
         F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     firsts = copies.select(F.col("_first").alias(key))
-    originals = df.select(key, text.alias("_text")).join(firsts, key, "left_semi")
-    edges = star_edges(band_buckets(originals, key, F.col("_text"), **options), key)
-    groups = connected_groups(edges)
+    groups = connected_groups(star_edges(band_buckets(df, key, text, only=firsts, **options), key))
     labelled = copies.join(groups, F.col("_first") == F.col("node"), "left").select(
         "_content", "_n", F.coalesce("group", "_first").alias("group")
     )

@@ -234,10 +234,12 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = p.groupBy(F.expr("doc_id div 25").alias("page_id")).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", card.alias("card")))).alias("cards")
     )
-    return cards.select(
+    pages = cards.select(
         "page_id",
         F.concat(F.lit("<ul>"), F.array_join(F.expr("cards.card"), "\n"), F.lit("</ul>")).alias("html"),
     )
+    # so few small pages would be coalesced into one task, and be parsed by one core
+    return pages.repartition(spark.sparkContext.defaultParallelism, "page_id")
 
 
 def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
