@@ -18,9 +18,10 @@ def normalize_date(raw: Column, reference: Column) -> Column:
     days_per_unit = F.create_map(*[F.lit(x) for x in chain.from_iterable(rules.AGO_UNIT_DAYS)])
     unit = F.nullif(F.lower(F.regexp_extract(raw, pattern, 2)), F.lit(""))
     amount = F.regexp_extract(raw, pattern, 1).try_cast("int")
-    # a date before year 1 does not exist; the cap keeps the product inside an int
+    # nothing before year 1 is a date; the bound also keeps the product inside an int
     days = F.when(amount < 800_000, amount * F.try_element_at(days_per_unit, unit))
-    ago = F.date_sub(reference.cast("date"), days)
+    day = F.date_sub(reference.cast("date"), days)
+    ago = F.when(day >= F.lit("0001-01-01").cast("date"), day)
     written = F.coalesce(
         *[F.try_to_timestamp(strip(raw), F.lit(f)).cast("date") for f in rules.DATE_FORMATS]
     )

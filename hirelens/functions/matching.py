@@ -9,6 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quote_regex(needle: str) -> str:
+    """``needle`` as a pattern that matches it literally."""
+    return re.sub(r"([^\w\s])", r"\\\1", needle)
+
+
 def sql_string(value: str) -> str:
     """``value`` as a SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -16,7 +21,7 @@ def sql_string(value: str) -> str:
 
 def string_array(values: Iterable[str]) -> Column:
     """Literal ``array<string>``. As one expression: a call per element is slow to build."""
-    return F.expr(f"array({', '.join(map(sql_string, values))})")
+    return F.expr(f"array({', '.join(map(sql_string, values))})").cast("array<string>")
 
 
 def string_map(pairs: Iterable[tuple[str, str]]) -> Column:
@@ -60,7 +65,7 @@ def max_rank(text: Column, rules: Sequence[tuple[str, str]], order: Sequence[str
 
 def bounded(needle: str) -> str:
     """Pattern for ``needle`` with no ASCII letter on either side."""
-    return rf"(?<![a-zA-Z]){_quote(needle)}(?![a-zA-Z])"
+    return rf"(?<![a-zA-Z]){quote_regex(needle)}(?![a-zA-Z])"
 
 
 def bounded_groups(needles: Sequence[str]) -> list[str]:
@@ -80,9 +85,5 @@ def bounded_groups(needles: Sequence[str]) -> list[str]:
         else:
             groups.append([needle])
     return [
-        rf"(?<![a-zA-Z])({'|'.join(_quote(n) for n in group)})(?![a-zA-Z])" for group in groups
+        rf"(?<![a-zA-Z])({'|'.join(quote_regex(n) for n in group)})(?![a-zA-Z])" for group in groups
     ]
-
-
-def _quote(needle: str) -> str:
-    return re.sub(r"([^0-9A-Za-z ])", r"\\\1", needle)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import rules
-from hirelens.functions.matching import _quote, first_match
+from hirelens.functions.matching import first_match, quote_regex
 from hirelens.functions.text import bind, is_blank, strip
 
 
@@ -28,7 +28,7 @@ def title_keywords(
 
     def test(low: Column, keyword: str) -> Column:
         if len(keyword) <= bounded_up_to:
-            found = low.rlike(rf"(?iU)\b{_quote(keyword)}\b")
+            found = low.rlike(rf"(?iU)\b{quote_regex(keyword)}\b")
         else:
             found = low.contains(keyword.lower())
         return F.when(found, F.lit(keyword))

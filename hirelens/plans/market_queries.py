@@ -157,8 +157,10 @@ def ideal_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every posting with the profiles of its role. There is at most one profile per role and
+    seniority, 30 in all, so broadcasting them is safe whatever the data."""
     df = parsed_table(spark, sf_dir)
-    return profiles.pair_up(df, profiles.ideal_profiles(df))
+    return profiles.pair_up(df, F.broadcast(profiles.ideal_profiles(df)))
 
 
 def skills_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:

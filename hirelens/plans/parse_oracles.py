@@ -53,6 +53,8 @@ _VERBS = [w for w, _ in rules.SENIORITY_VERBS] + ["rag", "ores", "the", "hand"]
 _WORDS = ", ".join(f"CASE WHEN contains(lower(text), {quote(w)}) THEN {quote(w)} END" for w in _VERBS)
 _SECTION_CHARS = "coalesce(sum(length(regexp_replace(p, '\\s', '', 'g'))) FILTER (state = '{}'), 0)"
 
+_LAST_PART = "string_split(raw_location, ', ')[-1]"
+
 ORACLES = {
     "parsed_jobs": with_postings(
         f"SELECT {NORMALIZED_TITLE} AS normalized_title, country, {WORK_MODE} AS work_mode, count(*)"
@@ -171,9 +173,8 @@ ORACLES = {
     "work_mode": over_postings(f"{WORK_MODE} AS work_mode"),
     "normalize_date": over_postings(f"date_posted_raw, {POSTED_DAY} AS day"),
     "parse_location": with_postings("SELECT doc_id, city, region, country FROM place", PLACE),
-    "state_lookup": f"SELECT n_nationkey, {state('substring(n_name, 1, 2)')} AS state FROM nation",
-    "country_member": "SELECT n_nationkey, lower(replace(n_name, '_', ' '))"
-    f" IN {COUNTRIES} AS known FROM nation",
+    "state_lookup": over_postings(f"{state(_LAST_PART)} AS state"),
+    "country_member": over_postings(f"lower({_LAST_PART}) IN {COUNTRIES} AS known"),
     "json_valid": "SELECT event_id, json_valid(CASE WHEN event_id % 3 = 0 THEN substring(props, 1, 4)"
     " ELSE props END) AS valid FROM events",
     "json_first_block": "SELECT event_id, regexp_extract(props, '\\{[^}]*\\}') AS block FROM events",

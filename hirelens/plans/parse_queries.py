@@ -164,6 +164,10 @@ def parse_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def last_part() -> Column:
+    return F.element_at(F.split("raw_location", ", "), -1)
+
+
 def vocab_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seniority verbs and a few common syllables found in each text."""
     docs = inputs.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("low"))
@@ -254,12 +258,8 @@ QUERIES = {
     "normalize_date": lambda s, d: over_postings(s, d, "date_posted_raw", day=dates.normalize_date(c("date_posted_raw"), c("scrape_timestamp")).cast("string")
     ),
     "parse_location": parse_location,
-    "state_lookup": lambda s, d: inputs.table(s, d, "nation").select(
-        "n_nationkey", location.state_lookup(F.substring("n_name", 1, 2)).alias("state")
-    ),
-    "country_member": lambda s, d: inputs.table(s, d, "nation").select(
-        "n_nationkey", location.country_member(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("known")
-    ),
+    "state_lookup": lambda s, d: over_postings(s, d, state=location.state_lookup(last_part())),
+    "country_member": lambda s, d: over_postings(s, d, known=location.country_member(last_part())),
     "json_valid": json_valid,
     "json_first_block": first_block,
 }

@@ -245,6 +245,7 @@ def test_normalize_date(spark):
         "02/07/2026": "2026-02-07",
         "2026-02-07": "2026-02-07",
         "99999999999 years ago": None,
+        "5000 years ago": None,
         "": None,
         None: None,
     }
