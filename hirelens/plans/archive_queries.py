@@ -239,8 +239,8 @@ def column_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources that name the title differently, brought together."""
     p = inputs.postings(spark, sf_dir)
-    one = p.filter("doc_id % 2 = 0").select("doc_id", c("raw_title").alias("title"), "job_url")
-    two = p.filter("doc_id % 2 = 1").select("doc_id", c("raw_title").alias("job_title"), c("job_url").alias("url"))
+    one = p.filter("lang = 'en'").select("doc_id", c("raw_title").alias("title"), "job_url")
+    two = p.filter("lang != 'en'").select("doc_id", c("raw_title").alias("job_title"), c("job_url").alias("url"))
     names = {"doc_id": ["doc_id"], "title": ["title", "job_title"], "job_url": ["job_url", "url"]}
     return corpus.schema_map(one.unionByName(two, allowMissingColumns=True), names)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hirelens import rules
 from hirelens.functions.text import company_about_url, strip_query
 from hirelens.operators import collection, extract, html, records
-from hirelens.operators.history import dedup_companies, job_company
+from hirelens.operators.history import dedup_companies, first_rows, job_company
 from hirelens.operators.quality import quality_level
 from hirelens.plans import inputs
 from hirelens.sources import archive
@@ -197,8 +197,8 @@ def _new_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collect_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages to raw records: cards, archive check, first of each, job pages, gate."""
-    pages = inputs.job_pages(spark, sf_dir).filter("doc_id % 10 < 8")
-    addressed = pages.select(strip_query(c("url")).alias("url"), "html")
+    pages = inputs.job_pages(spark, sf_dir).withColumn("url", strip_query(c("url")))
+    addressed = first_rows(pages, ["url"], [c("doc_id")]).select("url", "html")
     raw = collection.collect_jobs(
         _new_cards(spark, sf_dir), addressed, F.lit("2026-02-21T00:00:00"), "any"
     )

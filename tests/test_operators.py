@@ -37,6 +37,28 @@ def test_lookup_answers_hot_cold_null_and_unknown_keys(spark, monkeypatch):
     assert got == {i: want.get(k) for i, k in enumerate(keys)}
 
 
+def test_lookup_spreads_a_key_with_a_third_of_the_rows(spark):
+    """Every row goes through the shuffled join; no task gets much more than its share."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        key = F.when(c("id") % 3 == 0, "hot").otherwise((c("id") % 20000).cast("string"))
+        df = spark.range(120_000).withColumn("k", key)
+        table = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("m"))
+        joined = skew.lookup(df, table, "k", "n").withColumn("task", F.spark_partition_id())
+        tasks = joined.groupBy("task").agg(F.count("m").alias("rows"), F.max("m")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [r.rows for r in tasks]
+    assert sum(sizes) == 120_000 and max(sizes) < 1.5 * 120_000 / len(sizes)
+
+
 def test_top_k_and_rank_by_score(spark):
     rng = random.Random(1)
     data = [("k" if i % 3 else "z", i, rng.randint(0, 9) / 10) for i in range(60)]
