@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__ as contract
 from check_queries import sorted_rows
+from hirelens.plans import catalog
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracles()
 ROWS_ONLY = {"archetypes", "role_classifier"}
 
 
