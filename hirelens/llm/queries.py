@@ -5,17 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import simhash, substring_dedup
+import public_tokenizers
+from hirelens.llm import (
+    bpe,
+    packing,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from hirelens.llm.common import table
+from hirelens.llm.token_ids import vocabulary
+
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+    return toxicity.score(docs, "text", weights).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return simhash.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary(BYTE_RANKS)
+    encoded = bpe.encode(documents(spark, sf_dir), "doc_id", "text", ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, "doc_id", "ids", ranks)
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), "doc_id", "text", vocabulary(WORD_VOCABULARY))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.remove_repeats(rows, "doc_id", "text").select(
+    return substring_dedup.remove_repeats(documents(spark, sf_dir), "doc_id", "text").select(
         "doc_id",
         F.col("_n_words").alias("n_words"),
         F.col("_n_removed").alias("n_removed"),
@@ -23,6 +67,33 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op6_substring_dedup": op6_substring_dedup}
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary(WORD_VOCABULARY)
+    files = token_files.write_files(
+        documents(spark, sf_dir), "doc_id", "text", words, token_files.new_folder(spark)
+    )
+    return token_files.read_files(spark, files).select(
+        F.col("key").alias("doc_id"),
+        "start",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_quality_rules,
+        op2_toxicity,
+        op3_simhash,
+        op4_bpe,
+        op5_packing,
+        op6_substring_dedup,
+        op7_token_files,
+    )
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
+}

@@ -304,3 +304,26 @@ def remove_repeats(
         ]
     )
     return marked.select(*df.columns, "starts").mapInArrow(run, schema)
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), firsts AS (
+  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY s) < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS at FROM firsts, range(50) AS r(k)
+), kept AS (
+  SELECT t.doc_id, count(*) FILTER (g.at IS NOT NULL) AS n_removed,
+    coalesce(string_agg(t.word, ' ' ORDER BY t.at) FILTER (g.at IS NULL), '') AS text
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM d) AS t
+  LEFT JOIN gone AS g ON g.doc_id = t.doc_id AND g.at = t.at
+  GROUP BY t.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
