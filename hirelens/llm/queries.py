@@ -9,11 +9,14 @@ import public_tokenizers
 from hirelens.llm import (
     bpe,
     packing,
+    permutation_index,
     quality_rules,
+    secrets,
     simhash,
     substring_dedup,
     token_files,
     toxicity,
+    wrapper,
 )
 from hirelens.llm.common import table
 from hirelens.llm.token_ids import vocabulary
@@ -80,6 +83,37 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest_neighbours(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20
+    )
+
+
+def op9_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrapper.main_text(pages, "url", "html").select(
+        "page_id",
+        "url",
+        F.col("_text").alias("text"),
+        F.char_length("_text").cast("bigint").alias("n_chars"),
+    )
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir), "text")
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
+        for kind in ("assign", "access", "hex")
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -90,6 +124,9 @@ QUERIES = {
         op5_packing,
         op6_substring_dedup,
         op7_token_files,
+        op8_permutation_index,
+        op9_html_wrapper,
+        op10_secrets,
     )
 }
 
