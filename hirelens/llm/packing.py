@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from hirelens.llm.common import blocks, checkpoints, stored
-from hirelens.llm.token_ids import encoder
+from hirelens.llm.token_ids import BLOCK_BYTES, encoder
 
 LIMIT = 2048
 
@@ -117,9 +117,9 @@ def pieces(df: DataFrame, key: str, text: str, content: str, limit: int, end: in
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(content).encode, TaskContext.get().partitionId()
         met, last = np.zeros(limit + 1, np.int64), end.to_bytes(4, "little")
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             owner, piece, start, length, crc, nth = [], [], [], [], [], []
-            for i, ids in enumerate(encode(block.column("text").to_pylist())):
+            for i, ids in enumerate(encode(block.column("text"))):
                 ids += last
                 for p, at in enumerate(range(0, len(ids), 4 * limit)):
                     cut = ids[at : at + 4 * limit]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from hirelens.llm.common import blocks, checkpoints, stored
-from hirelens.llm.token_ids import encoder
+from hirelens.llm.token_ids import BLOCK_BYTES, encoder
 from hirelens.session import new_path
 
 SKIPPABLE = 0x184D2A5E  # fixed value: zstandard's magic number of a skippable frame
@@ -137,10 +137,10 @@ def write_files(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(content).encode, TaskContext.get().partitionId()
         name, writer, docs, ids = f"part-{part:06d}.tok", None, 0, 0
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             writer = writer or Writer(folder, name)
             keys = block.column("key").to_pylist()
-            for k, found in zip(keys, encode(block.column("text").to_pylist())):
+            for k, found in zip(keys, encode(block.column("text"))):
                 writer.add(k, found + last)
                 docs, ids = docs + 1, ids + len(found) // 4 + 1
         if writer:
