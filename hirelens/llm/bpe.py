@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import blocks
+from hirelens.llm.word_table import WordTable
 
 NONE = np.int32(2**31 - 1)  # rank of a pair that is no token
 SHIFT = 21  # ranks are below 2^21
+KNOWN = 600_000  # words a worker remembers
 LETTER = r"[\p{L}\p{N}]"
-KNOWN = 500_000  # words a worker remembers
 _tables: dict[str, "Merges"] = {}
 
 
@@ -95,7 +96,7 @@ class Merges:
         self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         if (self.single < 0).any():
             raise ValueError("a byte has no rank")
-        self.known: dict[str, bytes] = {}
+        self.table = WordTable(self.learn, KNOWN)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << SHIFT | right
@@ -114,8 +115,11 @@ class Merges:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def replay(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of distinct, non-empty words."""
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
+
+    def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct, non-empty words in a row, and how many each has."""
         lengths = np.array([len(w) for w in words])
         stops = np.cumsum(lengths)
         token = self.single[np.frombuffer(b"".join(words), np.uint8)]
@@ -167,12 +171,18 @@ class Merges:
                 heads = np.maximum.accumulate(np.where(joined, 0, np.arange(len(at))))
                 flag[at] = False
                 at = at[(np.arange(len(at)) - heads) % 2 == 0]
+                flag[at] = True
                 right = after[at]
+            beyond = after[right]
+            close = flag[beyond]  # merges right behind one another: the first may pair with what is still apart
+            if close.any():
+                alike = np.full(close.sum(), r, np.int32)
+                early = self.pair_ranks(alike, token[beyond[close]]) < r
+                irregular.update(word[at[close][early]].tolist())
             flag[at] = False
             token[at] = r
             live[right] = False
             rank[right] = NONE
-            beyond = after[right]
             after[at] = beyond
             before[beyond] = at
             before[size] = size
@@ -182,34 +192,54 @@ class Merges:
             if len(touched):
                 post(np.unique(touched), r)
         counts = np.bincount(word[live], minlength=len(words))
-        found = np.split(token[live], np.cumsum(counts)[:-1])
-        for w in irregular:
-            found[w] = np.array(self.alone(words[w]), np.int32)
+        ids = token[live]
+        if irregular:
+            found = np.split(ids, np.cumsum(counts)[:-1])
+            for w in irregular:
+                found[w] = np.array(self.alone(words[w]), np.int32)
+            ids, counts = np.concatenate(found), np.array([len(f) for f in found])
+        return ids, counts
+
+    def learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words: whole tokens as they are, the others by replay."""
+        encoded = words.cast(pa.binary()).to_pylist()
+        ranks = [self.ranks.get(w) for w in encoded]
+        rest = [w for w, r in zip(encoded, ranks) if r is None]
+        sizes = np.ones(len(words), np.int64)
+        missing = np.array([r is None for r in ranks])
+        if not rest:
+            return np.array(ranks, np.uint32), sizes
+        ids, counts = self.replay(rest)
+        sizes[missing] = counts
+        flat = np.empty(sizes.sum(), np.uint32)
+        replayed = np.repeat(missing, sizes)
+        flat[replayed] = ids
+        flat[~replayed] = [r for r in ranks if r is not None]
+        return flat, sizes
+
+    def encode(self, texts: list[str | None], pattern: str) -> list[np.ndarray]:
+        """Ids of each text; null is empty."""
+        split = regex.compile(pattern)
+        held, counts = [], []
+        for text in texts:
+            found = [w for w in split_words(text, split) if w]
+            counts.append(len(found))
+            held.append(pa.array(found, pa.string()))
+        numbers = self.table.numbers(pa.concat_arrays(held))
+        ends = np.cumsum(counts).tolist()
+        found = [self.table.ids(numbers[end - n : end]) for n, end in zip(counts, ends)]
+        self.table.shrink()
         return found
 
-    def encode(self, texts: list[str | None], pattern: str) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
-        split = regex.compile(pattern)
-        matches = [split_words(t, split) for t in texts]
-        met = set().union(*matches)
-        met.discard("")
-        new = [w for w in met if w not in self.known]
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list(met)
-        unknown = []
-        for w in new:
-            whole = self.ranks.get(w.encode())
-            if whole is None:
-                unknown.append(w)
-            else:
-                self.known[w] = whole.to_bytes(4, "little")
-        if unknown:
-            for w, ids in zip(unknown, self.replay([w.encode() for w in unknown])):
-                self.known[w] = ids.astype("<u4").tobytes()
-        self.known[""] = b""
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, m)) for m in matches]
+
+def packed(ids: np.ndarray) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return ids.astype("<u4").tobytes()
+
+
+def decimal_sha256(ids: list[int]) -> str:
+    """SHA-256 of the ids in decimal, joined by commas."""
+    return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
 def encode(df: DataFrame, key: str, text: str, content: str, pattern: str) -> DataFrame:
@@ -217,8 +247,9 @@ def encode(df: DataFrame, key: str, text: str, content: str, pattern: str) -> Da
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            ids = merges(content).encode(block.column("text").to_pylist(), pattern)
-            yield from block.select(["key"]).append_column("ids", pa.array(ids, pa.binary())).to_batches()
+            found = merges(content).encode(block.column("text").to_pylist(), pattern)
+            ids = pa.array(map(packed, found), pa.binary())
+            yield from block.select(["key"]).append_column("ids", ids).to_batches()
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -226,29 +257,42 @@ def encode(df: DataFrame, key: str, text: str, content: str, pattern: str) -> Da
 
 
 def decode(df: DataFrame, key: str, ids: str, content: str) -> DataFrame:
-    """``key, n_tokens, ids_sha256, decoded`` of encoded rows: the bytes that the ids stand for, and
-    the SHA-256 of the ids in decimal, joined by commas."""
+    """``key, decoded`` of encoded rows: the bytes that the ids stand for, none for null."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, digests, decoded = [], [], []
-            token = merges(content).bytes.__getitem__
-            for value in batch.column("ids").to_pylist():
-                numbers = np.frombuffer(value or b"", "<u4").tolist()
-                counts.append(len(numbers))
-                digests.append(hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest())
-                decoded.append(b"".join(map(token, numbers)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(digests, pa.string()),
-                    pa.array(decoded, pa.binary()),
-                ],
-                names=["key", "n_tokens", "ids_sha256", "decoded"],
-            )
+        for block in blocks(batches, "ids"):
+            found = [
+                merges(content).decode(np.frombuffer(value or b"", "<u4").tolist())
+                for value in block.column("ids").to_pylist()
+            ]
+            column = pa.array(found, pa.binary())
+            yield from block.select(["key"]).append_column("decoded", column).to_batches()
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    schema = f"key {kind}, n_tokens bigint, ids_sha256 string, decoded binary"
+    return rows.mapInArrow(run, f"key {kind}, decoded binary").withColumnRenamed("key", key)
+
+
+def round_trip(df: DataFrame, key: str, text: str, content: str, pattern: str) -> DataFrame:
+    """``key, n_tokens, ids_sha256, decoded_sha256``: encode, decode the ids, and digest both.
+
+    Both steps in one worker: two Python stages in a row would keep two workers per core. A null
+    text is an empty one; repeated rows and null keys come back as they are.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            table, counts, ids, decoded = merges(content), [], [], []
+            for found in table.encode(block.column("text").to_pylist(), pattern):
+                numbers = found.tolist()
+                counts.append(len(numbers))
+                ids.append(decimal_sha256(numbers))
+                decoded.append(hashlib.sha256(table.decode(numbers)).hexdigest())
+            out = block.select(["key"]).append_column("n_tokens", pa.array(counts, pa.int64()))
+            out = out.append_column("ids_sha256", pa.array(ids, pa.string()))
+            yield from out.append_column("decoded_sha256", pa.array(decoded, pa.string())).to_batches()
+
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    schema = f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 from hirelens.llm import (
     bpe,
@@ -49,11 +50,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = vocabulary(BYTE_RANKS)
-    encoded = bpe.encode(documents(spark, sf_dir), "doc_id", "text", ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, "doc_id", "ids", ranks)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    return bpe.round_trip(
+        documents(spark, sf_dir), "doc_id", "text", vocabulary(BYTE_RANKS), public_tokenizers.PATTERN
     )
 
 
@@ -102,10 +100,11 @@ def op9_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir), "text")
     base = F.filter("spans", lambda s: s["kind"] != "novel")
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
-        for kind in ("assign", "access", "hex")
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     return found.select(
         "doc_id",
         *counts,
@@ -128,7 +127,7 @@ QUERIES = {
         op9_html_wrapper,
         op10_secrets,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
