@@ -1,0 +1,75 @@
+import re
+
+import pytest
+from hirelens.llm import secrets
+from pyspark.sql import functions as F
+
+ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def base_by_hand(text):
+    found = [("assign", m.start(), m.end()) for m in re.finditer(ASSIGN, text or "") if len(m[1]) >= 12]
+    found += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 18]
+    found += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 16]
+    return sorted(found, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def base(text):
+    return [s for s in secrets.secret_spans(text) if s[0] != "novel"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "password: token: abcdefghijklmnop",
+        "token=secret=abcdefghijklmnop",
+        "ToKeN\"  =  'abcdefabcdef0123456789'",
+        "paſsword=abcdefghijklmnop toKen=abcdefghijklmnop",
+        "api_key=short apikey:longenoughvalue AKIAAKIA AKIA0123456789ABCD AKIA0123456789ABC",
+        "password = \n abcdefghijklmnop",
+        "\U0001f600 0123456789abcdef0 0123456789abcde",
+        "",
+    ],
+)
+def test_base(text):
+    assert base(text) == base_by_hand(text)
+
+
+def test_given_documents(some):
+    for r in some.collect():
+        assert base(r["text"]) == base_by_hand(r["text"])
+
+
+def test_novelty():
+    novel = lambda t: [t[s:e] for k, s, e in secrets.secret_spans(t) if k == "novel"]
+    assert novel("the bearer Zx81kQpLm29sTzr4vB7nC set") == ["Zx81kQpLm29sTzr4vB7nC"]
+    assert novel("session cookie q8Zk2LmP0vXw91TbYs7 and q8Zk2LmP0vXw91TbYs7") == ["q8Zk2LmP0vXw91TbYs7"] * 2
+    assert novel("no announcing word Zx81kQpLm29sTzr4vB7nC") == []
+    assert novel("key user_handler_manager_0123456789 and api_key_service_controller_1") == []
+    assert novel("auth 1111111111111111111a") == []
+    assert novel("key Zx81kQpLm29sTzr4vB7nC " + "filler " * 9 + "Zx81kQpLm29sTzr4vB7nC") == ["Zx81kQpLm29sTzr4vB7nC"]
+
+
+def test_odd_rows(docs, rows):
+    df = secrets.find_secrets(docs, "text", "_spans")
+    got = sorted((r["text"] or "", [tuple(s) for s in r["_spans"]]) for r in df.collect())
+    assert got == sorted((t or "", secrets.secret_spans(t)) for _, t, _ in rows)
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(df, "text", "_spans").collect()}
+    assert "q8Zk2" not in masked[11] and "AKIA" not in masked[11] and masked[11].startswith("Ünïcödé 日本語")
+    assert masked[4] is None and masked[7] == dict((i, t) for i, t, _ in rows)[7]
+
+
+def test_redact_overlaps(spark):
+    text = "x password=b7db7aa4a5fcc78305ab0, y"
+    df = secrets.find_secrets(spark.createDataFrame([(text,)], "text string"), "text")
+    assert df.select(F.size("spans")).first()[0] == 2
+    assert secrets.redact(df, "text", "spans").first()["text"] == "x <secret>, y"
+
+
+def test_listed(spark):
+    df = secrets.find_secrets(spark.createDataFrame([("a 0123456789abcdef",), (None,)], "text string"), "text")
+    assert [r[0] for r in df.select(secrets.listed(F.col("spans"))).collect()] == ["hex:2:18", ""]
+
+
+def test_empty(empty):
+    assert secrets.find_secrets(empty, "text", "_spans").count() == 0
