@@ -246,7 +246,7 @@ def repeated_windows(
     small = count_small_buckets(sized.filter(F.col("_n") <= PART), kind, window)
     large = count_large_buckets(sized.filter(F.col("_n") > PART), kind, window)
     met = packed.groupBy("string").agg(F.count(F.lit(1)).alias("_n"))
-    lows = small.unionByName(large).join(met, "string")
+    lows = stored(small.unionByName(large).join(met, "string"), "lows")
     placed = lookup(packed.select("key", "copy", "first", "string"), lows, "string", "_n")
     starts = F.filter(
         F.transform("lows", lambda low, i: F.when(low < F.col("key"), F.col("first") + i)),
@@ -268,7 +268,7 @@ def remove_repeats(
     rows come back repeated.
     """
     starts = repeated_windows(df, key, text, window, seed).select(
-        F.col("key").alias("_key"), F.col("copy").alias("_copy"), "starts"
+        F.col("key").alias("_key"), F.col("copy").alias("_copy"), F.col("starts").alias("_starts")
     )
     rows = df.withColumn("_row_copy", F.xxhash64(text))
     marked = rows.join(
@@ -278,7 +278,7 @@ def remove_repeats(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
             counts, removed, kept = [], [], []
-            places = block.column("starts").to_pylist()
+            places = block.column("_starts").to_pylist()
             for value, at in zip(block.column(text).to_pylist(), places):
                 tokens = words(value)
                 counts.append(len(tokens))
@@ -290,7 +290,7 @@ def remove_repeats(
                     tokens = [w for w, s in zip(tokens, stay.tolist()) if s]
                 removed.append(counts[-1] - len(tokens))
                 kept.append(b" ".join(tokens).decode())
-            out = block.drop_columns(["starts"])
+            out = block.drop_columns(["_starts"])
             out = out.append_column("_n_words", pa.array(counts, pa.int64()))
             out = out.append_column("_n_removed", pa.array(removed, pa.int64()))
             yield from out.append_column("_kept", pa.array(kept, pa.string())).to_batches()
@@ -303,7 +303,7 @@ def remove_repeats(
             T.StructField("_kept", T.StringType()),
         ]
     )
-    return marked.select(*df.columns, "starts").mapInArrow(run, schema)
+    return marked.select(*df.columns, "_starts").mapInArrow(run, schema)
 
 
 ORACLE = r"""
