@@ -1,8 +1,9 @@
 """Near-duplicate postings: word shingles, MinHash bands, connected groups.
 
-Two rows are linked when all minima of one band agree. No pair is ever listed: each band bucket
-links its members to its smallest member only, which connects them just as well, so a bucket with a
-third of all rows costs one row per member. Groups are then the connected parts.
+Two rows may be linked when all minima of one band agree, and are if their shingle sets are as alike
+as asked. No pair is ever listed: each band bucket holds its members against its smallest member
+only, those unlike it against the smallest among them, and so on, so a bucket with a third of all
+rows costs one row per member and round. Groups are then the connected parts.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.functions.text import bind
 from hirelens.functions.tokens import ngrams, tokenize
 from hirelens.operators.skew import lookup
 from hirelens.session import shared_dir
@@ -49,7 +51,7 @@ def band_buckets(
     ``only`` is applied to the minima, which are already partitioned by key.
     """
     hashes = df.select(
-        key, F.explode(F.array_distinct(ngrams(tokenize(text), shingle))).alias("s")
+        key, F.explode(shingles(tokenize(text), shingle)).alias("s")
     ).select(key, shingle_hash(F.col("s")).alias("h"))
     minima = [
         F.min((F.lit(a) * F.col("h") + F.lit(b)) % F.lit(PRIME)).alias(f"m{i}")
@@ -65,15 +67,6 @@ def band_buckets(
     return signed.select(key, F.explode(F.array(*buckets)).alias("bucket"))
 
 
-def star_edges(buckets: DataFrame, key: str) -> DataFrame:
-    """Every bucket member with the smallest member: ``src, dst``, ``dst < src``."""
-    smallest = buckets.groupBy("bucket").agg(
-        F.min(key).alias("dst"), F.count(F.lit(1)).alias("n")
-    )
-    linked = lookup(buckets, smallest.filter("n > 1"), "bucket", "n")
-    return linked.filter(F.col(key) > F.col("dst")).select(F.col(key).alias("src"), "dst").distinct()
-
-
 def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """``node, group``: the smallest node of each connected part, for all nodes with an edge.
 
@@ -121,24 +114,95 @@ def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             break
         before = after
     else:
-        raise RuntimeError(f"groups still changing after {max_rounds} rounds")
+        raise RuntimeError(
+            f"groups still changing after {max_rounds} rounds: a chain is longer than 2^{max_rounds};"
+            " call again with more rounds"
+        )
     members = current.select(F.col("src").alias("node"), F.col("dst").alias("group"))
     centres = current.select(F.col("dst").alias("node"), F.col("dst").alias("group")).distinct()
     return members.union(centres)
 
 
-def near_dup(df: DataFrame, key: str, text: Column, **options) -> DataFrame:
+def shingles(tokens: Column, n: int) -> Column:
+    """Distinct shingles of a text; one with fewer than ``n`` tokens has all of them as its only one."""
+
+    def of(ts: Column) -> Column:
+        short = F.when(F.size(ts) > 0, F.array(F.array_join(ts, " "))).otherwise(
+            F.array().cast("array<string>")
+        )
+        return F.when(F.size(ts) >= n, F.array_distinct(ngrams(ts, n))).otherwise(short)
+
+    return bind(tokens, of)
+
+
+def verified_edges(buckets: DataFrame, sets: DataFrame, key: str, similarity: float) -> DataFrame:
+    """Edges ``src, dst`` out of buckets whose ends have shingle sets of the given Jaccard similarity.
+
+    ``sets`` has ``key, shingles`` (hashes) for all members of buckets. Members are compared with
+    the smallest of their bucket; those that fail meet again under the smallest among them, until a
+    bucket has no two left. A round is linear in the members that are left, and a pair that several
+    buckets propose is judged once a round.
+    """
+    left, found = buckets, []
+    while True:
+        smallest = left.groupBy("bucket").agg(
+            F.min(key).alias("dst"), F.count(F.lit(1)).alias("n")
+        )
+        met = lookup(left, smallest.filter("n > 1"), "bucket", "n").filter(F.col(key) > F.col("dst"))
+        met = met.select(key, "bucket", "dst").checkpoint()
+        if met.isEmpty():
+            break
+        a = sets.select(F.col(key).alias("src"), F.col("shingles").alias("_a"))
+        b = sets.select(F.col(key).alias("dst"), F.col("shingles").alias("_b"))
+        both = F.size(F.array_intersect("_a", "_b"))
+        alike = both >= F.lit(similarity) * (F.size("_a") + F.size("_b") - both)
+        asked = met.select(F.col(key).alias("src"), "dst").distinct()
+        judged = asked.join(a, "src").join(b, "dst").select("src", "dst", alike.alias("alike"))
+        judged = judged.checkpoint()
+        found.append(judged.filter("alike").select("src", "dst"))
+        failed = judged.filter("not alike").select(F.col("src").alias(key), "dst")
+        left = met.join(failed, [key, "dst"]).select(key, "bucket")
+    edges = left.sparkSession.createDataFrame([], edges_schema(sets, key))
+    for part in found:
+        edges = edges.union(part)
+    return edges
+
+
+def edges_schema(sets: DataFrame, key: str) -> str:
+    kind = sets.schema[key].dataType.simpleString()
+    return f"src {kind}, dst {kind}"
+
+
+def near_dup(
+    df: DataFrame,
+    key: str,
+    text: Column,
+    similarity: float = 0.8,
+    shingle: int = 3,
+    bands: int = 16,
+    rows: int = 4,
+) -> DataFrame:
     """``key, group`` for all rows: the smallest key of the row's group, itself if it is alone.
 
     Equal texts are folded into one by their hash before buckets are made, so copies cost nothing
-    further on. Texts themselves are never shuffled.
+    further on. A bucket only proposes a link; it counts if the shingle sets have the given Jaccard
+    similarity. Only texts that share a bucket with another one are read for that. Pairs right at
+    the similarity are proposed with probability ``1 - (1 - similarity^rows)^bands``.
     """
+    shared_dir(df.sparkSession)
     hashed = df.select(key, F.md5(text).alias("_content"))
     copies = hashed.groupBy("_content").agg(
         F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     firsts = copies.select(F.col("_first").alias(key))
-    groups = connected_groups(star_edges(band_buckets(df, key, text, only=firsts, **options), key))
+    buckets = band_buckets(df, key, text, shingle, bands, rows, firsts).checkpoint()
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    proposed = lookup(buckets, shared, "bucket", "n").filter("n is not null").select(key, "bucket")
+    proposed = proposed.checkpoint()
+    asked = df.join(proposed.select(key).distinct(), key, "left_semi")
+    hashes = F.transform(shingles(tokenize(text), shingle), lambda g: F.xxhash64(g))
+    sets = asked.select(key, hashes.alias("shingles")).checkpoint()
+    groups = connected_groups(verified_edges(proposed, sets, key, similarity))
     labelled = copies.join(groups, F.col("_first") == F.col("node"), "left").select(
         "_content", "_n", F.coalesce("group", "_first").alias("group")
     )
