@@ -9,8 +9,15 @@ from hirelens.functions.text import bind
 
 
 def json_valid(text: Column) -> Column:
-    """Whether ``text`` is JSON. Repeated keys and ``NaN`` count as invalid."""
-    return F.coalesce(F.try_parse_json(text).isNotNull(), F.lit(False))
+    """Whether ``text`` is one JSON value; repeated keys and ``NaN`` or ``Infinity`` are allowed.
+
+    The text is read as the first of two array elements, so that nothing may stand behind it.
+    """
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true", "mode": "PERMISSIVE"}
+    wrapped = F.concat(F.lit("["), text, F.lit(',"end"]'))
+    parts = F.from_json(wrapped, "array<string>", options)
+    whole = (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == "end")
+    return F.coalesce(whole & (F.trim(text) != ""), F.lit(False))
 
 
 def first_block(text: Column) -> Column:

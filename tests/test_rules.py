@@ -1,5 +1,6 @@
 """One literal row per edge case; expected values were derived by hand."""
 
+import json
 import datetime as dt
 import hashlib
 
@@ -304,10 +305,16 @@ def test_first_block(spark):
 
 
 def test_json_valid(spark):
-    assert one(spark, ['{"a":1}', "{a}", "3", "", None], embedded_json.json_valid) == [
-        True,
-        False,
-        True,
-        False,
-        False,
-    ]
+    """As the standard library reads it: repeated keys and NaN are fine, anything behind is not."""
+    texts = ['{"a":1}', '{"a":1,"a":2}', "[NaN]", "{a}", "3", '"x"', "", "  ", '{"a":1} x', "1],[2", "1,2"]
+    texts += ['{"a":[1,2,{"b":null}]}', '{"a":}', "[1,]", "{'a':1}", "nul", "null", "01", '{"a":"b\nc"}', "[1"]
+    texts += ['"a', '{"a":1}}', ' {"x": -Infinity} ', '1],"end"]', '"end"', "// c\n1"]
+
+    def valid(text):
+        try:
+            json.loads(text)
+        except ValueError:
+            return False
+        return True
+
+    assert one(spark, [*texts, None], embedded_json.json_valid) == [*map(valid, texts), False]
