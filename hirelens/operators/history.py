@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from hirelens.functions.text import hash_content, is_blank
+from hirelens.operators.skew import lookup
 
 
 def first_rows(
@@ -39,8 +40,10 @@ def dedup_jobs(
 
 
 def dedup_by_id(df: DataFrame, key: str, ts: str, *tie_break: str) -> DataFrame:
-    """Latest record of each id over all runs."""
-    return first_rows(df, [key], [F.col(ts), *map(F.col, tie_break)], last=True)
+    """Latest record of each id over all runs. Rows without an id all stay."""
+    named = df.filter(F.col(key).isNotNull())
+    latest = first_rows(named, [key], [F.col(ts), *map(F.col, tie_break)], last=True)
+    return latest.unionByName(df.filter(F.col(key).isNull()))
 
 
 def skip_seen(cards: DataFrame, archive: DataFrame) -> DataFrame:
@@ -65,9 +68,11 @@ def company_targets(cards: DataFrame, url: str = "company_url") -> DataFrame:
 
 
 def dedup_companies(companies: DataFrame) -> DataFrame:
-    """One record per company: the first one seen, with first and last time over all runs."""
+    """One record per company: the first one seen, with first and last time over all runs. Records
+    without an id all stay."""
     c = F.col
-    grouped = companies.groupBy(c("company_identity.company_id_hash").alias("_id")).agg(
+    named = c("company_identity.company_id_hash").isNotNull()
+    grouped = companies.filter(named).groupBy(c("company_identity.company_id_hash").alias("_id")).agg(
         F.min_by(
             F.struct(*companies.columns),
             F.struct(
@@ -79,42 +84,57 @@ def dedup_companies(companies: DataFrame) -> DataFrame:
         F.max("timestamps.last_seen").alias("_last"),
     )
     seen = F.struct(c("_first").alias("first_seen"), c("_last").alias("last_seen"))
-    return grouped.select(
+    merged = grouped.select(
         *[seen.alias(n) if n == "timestamps" else c(f"_row.{n}").alias(n) for n in companies.columns]
     )
+    return merged.unionByName(companies.filter(~named))
 
 
 def job_company(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     """Jobs with their company's page fields.
 
-    Companies have one row per id, so the join never multiplies. A few companies may hold most
-    jobs: AQE splits such a partition of the job side, and broadcasts companies when they are small.
+    Companies have one row per id, so the join never multiplies. Jobs without a company and those
+    of the few companies that hold most jobs are kept apart, see ``lookup``.
     """
+    job_id = F.col("company_info.company_id_hash")
+    keyed = jobs.withColumn("_company", job_id)
     right = companies.select(
         F.col("company_identity.company_id_hash").alias("_company"),
         F.col("company_identity.company_name_raw").alias("company_name"),
         F.col("company_page_raw.company_industry_raw").alias("company_industry"),
         F.col("company_page_raw.company_size_raw").alias("company_size"),
     )
-    on = F.col("company_info.company_id_hash") == F.col("_company")
-    return jobs.join(right, on, "left").drop("_company")
+    sizes = jobs.filter(job_id.isNotNull()).groupBy(job_id.alias("_company")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    return lookup(keyed, sizes.join(right, "_company"), "_company", "_n").drop("_company", "_n")
 
 
 def change_history(df: DataFrame, key: str, ts: str, content_hash: str) -> DataFrame:
     """Runs of each job with the previous content hash and what happened: ``new``, ``changed``
-    or ``same``.
+    or ``same``. Rows without a key are no job's history: each is ``new``.
 
     First one row per job and run is made (the smallest hash, should a run hold several). After
     that a window holds at most as many rows as there are runs.
     """
-    per_run = df.groupBy(key, ts).agg(F.min(content_hash).alias(content_hash))
+    named = df.filter(F.col(key).isNotNull())
+    per_run = named.groupBy(key, ts).agg(F.min(content_hash).alias(content_hash))
     w = Window.partitionBy(key).orderBy(ts)
     seen = per_run.withColumns(
         {"previous_hash": F.lag(content_hash).over(w), "run_no": F.row_number().over(w)}
     )
-    return seen.withColumn(
+    nameless = df.filter(F.col(key).isNull()).select(
+        key,
+        ts,
+        content_hash,
+        F.lit(None).cast("string").alias("previous_hash"),
+        F.lit(1).alias("run_no"),
+        F.lit("new").alias("change"),
+    )
+    judged = seen.withColumn(
         "change",
         F.when(F.col("run_no") == 1, "new")
         .when(F.col("previous_hash").eqNullSafe(F.col(content_hash)), "same")
         .otherwise("changed"),
     )
+    return judged.unionByName(nameless)

@@ -11,13 +11,18 @@ from pyspark.sql import Window
 HOT_KEYS = 1000  # keys outside the 1000 most frequent have less than 1/1000 of all rows each
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+def lookup(
+    df: DataFrame, table: DataFrame, key: str, count: str, spread: Sequence[str] | None = None
+) -> DataFrame:
     """Left join of ``df`` with a ``table`` that has one row per ``key`` and, in ``count``, how
     frequent the key is in ``df``.
 
     The ``HOT_KEYS`` most frequent keys are looked up in a broadcast of exactly that many rows. All
     other rows go to a shuffled join with the whole table; rows already answered, and rows without a
     key, take a hash of themselves as key there, so they spread instead of meeting in one task. ``df`` is read once.
+
+    ``spread`` names the columns that are hashed, all of them by default. Rows that are equal in all
+    of these stay together, so where many can be, fold them first (see ``lemmatize``).
     """
     values = [c for c in table.columns if c != key]
     hot = table.orderBy(F.desc(count), key).limit(HOT_KEYS)
@@ -26,7 +31,7 @@ def lookup(df: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
         F.col(key).cast("string").alias("_cold"), F.struct(*values).alias("_from_cold")
     )
     answered = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-    own_hash = F.concat(F.lit("\0"), F.xxhash64(*df.columns).cast("string"))
+    own_hash = F.concat(F.lit("\0"), F.xxhash64(*(spread or df.columns)).cast("string"))
     staged = answered.withColumn(
         "_probe",
         F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), own_hash).otherwise(F.col(key).cast("string")),
@@ -46,22 +51,32 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -
     return df.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def rank_by_score(df: DataFrame, keys: Sequence[str], score: str, decimals: int = 4) -> DataFrame:
+def rank_by_score(df: DataFrame, keys: Sequence[str], score: str, steps: int = 10_000) -> DataFrame:
     """``rank`` of each row within its key by a score in [0, 1], best first, equals share a rank.
 
-    The score is rounded first, so a key has no more than 10^decimals + 1 distinct scores. Rows are
-    counted per score, ranks are running totals over these counts, and go back by a look-up.
+    Ranks follow the whole score. It is cut into ``steps`` only to share out the work: rows are
+    counted per score, the counts of the steps above come from a window of at most ``steps`` rows per
+    key, those of higher scores within a step from a window over the distinct scores of that step.
+    Ranks go back by a look-up.
     """
-    rounded = df.withColumn(score, F.round(score, decimals)).withColumn(
-        "_level", F.to_json(F.struct(*keys, score))
-    )
-    counts = rounded.groupBy(*keys, score, "_level").agg(F.count(F.lit(1)).alias("_n"))
-    above = (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc(score))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    level = F.to_json(F.struct(*keys, score))
+    leveled = df.withColumn("_level", level)
+    counts = leveled.groupBy(*keys, score, "_level").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_step", F.floor(F.col(score) * steps))
+    per_step = counts.groupBy(*keys, "_step").agg(F.sum("_n").alias("_in_step"))
+    before = (Window.unboundedPreceding, -1)
+    higher = Window.partitionBy(*keys).orderBy(F.desc("_step")).rowsBetween(*before)
+    above = per_step.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_step").alias("_of_step"),
+        F.coalesce(F.sum("_in_step").over(higher), F.lit(0)).alias("_above"),
     )
-    ranks = counts.select(
-        "_level", "_n", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("rank")
+    same = F.col("_step").eqNullSafe(F.col("_of_step"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    within = Window.partitionBy(*keys, "_step").orderBy(F.desc(score)).rowsBetween(*before)
+    ahead = counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    ranks = ahead.join(above, same).select(
+        "_level", "_n", (F.col("_above") + F.col("_ahead") + 1).alias("rank")
     )
-    return lookup(rounded, ranks, "_level", "_n").drop("_level", "_n")
+    return lookup(leveled, ranks, "_level", "_n").drop("_level", "_n")

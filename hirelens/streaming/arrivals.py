@@ -24,10 +24,15 @@ def stream_raw_jobs(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 
 def new_jobs(raw: DataFrame, within: str = "30 days") -> DataFrame:
-    """Each job once, as long as it comes back within the given time. State older than that goes."""
+    """Each job once, as long as it comes back within the given time. State older than that goes.
+
+    A record without an id is keyed by its own content, so that only its copies are dropped.
+    """
     seen = raw.select(
         "*",
-        F.col("job_identity.job_id_raw").alias("job_id_raw"),
+        F.coalesce(
+            F.col("job_identity.job_id_raw"), F.concat(F.lit("-"), F.md5(F.to_json(F.struct("*"))))
+        ).alias("job_id_raw"),
         F.try_to_timestamp("scrape_metadata.scrape_timestamp").alias("collected"),
     )
     return seen.withWatermark("collected", within).dropDuplicatesWithinWatermark(["job_id_raw"])
