@@ -30,7 +30,8 @@ def local_session(cores: str = "*", app: str = "hirelens", **settings) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests) a temporary folder is made and set as checkpoint folder.
+    Only where that is unset and the session is a local one (tests), a temporary folder is made and
+    set as checkpoint folder; on a cluster executors would each write to a disk of their own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -39,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(folder)
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="hirelens-")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)

@@ -64,18 +64,30 @@ def typed_lists(df: DataFrame) -> DataFrame:
 
 
 def write_csv_flat(df: DataFrame, path: str) -> None:
-    """CSV without the list columns, which it cannot hold."""
-    df.drop(*LIST_COLUMNS).write.mode("overwrite").csv(path, header=True, escape='"')
+    """CSV without the list columns, which it cannot hold. Line breaks, quotes and outer spaces stay."""
+    df.drop(*LIST_COLUMNS).write.mode("overwrite").csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_dataset(df: DataFrame, path: str, run_ts: str, also_csv: bool = True) -> dict[str, str]:
     """Versioned Parquet, an overwritten copy of the latest run, and flat CSV.
 
-    The rows are computed once: the copies are made from the version just written.
+    The rows are computed once: the copies are made from the version just written. Writing a run
+    again replaces that run and no other.
     """
     versions, latest, csv = f"{path}/versions", f"{path}/latest", f"{path}/csv/run_ts={run_ts}"
     typed = typed_lists(df).withColumn("run_ts", F.lit(run_ts))
-    typed.write.mode("append").partitionBy("dataset_version", "run_ts").parquet(versions)
+    (
+        typed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset_version", "run_ts")
+        .parquet(versions)
+    )
     written = (
         df.sparkSession.read.schema(typed.schema)
         .parquet(versions)
