@@ -86,7 +86,8 @@ ORACLES = {
         " FROM parsed CROSS JOIN (VALUES ('versions'), ('latest')) c(copy) GROUP BY ALL"
     ),
     "write_csv_flat": over_parsed(
-        "SELECT job_id, job_url, raw_title, city, region, work_mode, scrape_timestamp FROM parsed"
+        "SELECT job_id, job_url, raw_title, city, region, work_mode, scrape_timestamp, md5(description)"
+        " AS description FROM parsed"
     ),
     "typed_lists": over_parsed(
         f"SELECT doc_id, CAST(len(req) AS INTEGER) AS required, {joined('req')} AS skills FROM parsed"

@@ -89,9 +89,19 @@ def write_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_csv_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "csv")
-    sinks.write_csv_flat(_parsed_only(spark, sf_dir).drop("job_description_raw"), path)
-    back = spark.read.csv(path, header=True, escape='"', multiLine=True)
-    return back.select("job_id", "job_url", "raw_title", "city", "region", "work_mode", "scrape_timestamp")
+    sinks.write_csv_flat(_parsed_only(spark, sf_dir), path)
+    back = spark.read.csv(
+        path,
+        header=True,
+        escape='"',
+        multiLine=True,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return back.select(
+        "job_id", "job_url", "raw_title", "city", "region", "work_mode", "scrape_timestamp",
+        F.md5("job_description_raw").alias("description"),
+    )
 
 
 def typed_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

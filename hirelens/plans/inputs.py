@@ -103,7 +103,7 @@ POSTING_COLUMNS = {
     "applicant_count_raw": "CASE WHEN doc_id % 4 <> 0 THEN"
     " CAST(doc_id % 200 AS VARCHAR(20)) || ' applicants' END",
     "employment_type_raw": pick(EMPLOYMENT, "(doc_id % 97)"),
-    "description": "CASE WHEN doc_id % 17 = 16 THEN substring(text, 1, 20) ELSE"
+    "description": "CASE WHEN doc_id % 17 = 16 THEN 'Apply with us today' ELSE"
     f" 'Requirements' || chr(10) || {pick(REQUIRED)} || chr(10) || chr(10) || 'Nice to have'"
     f" || chr(10) || {pick(OPTIONAL)} || chr(10) || {pick(YEARS)} || chr(10) || chr(10) || text"
     " END",
@@ -310,7 +310,7 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_postings(postings(spark, sf_dir))
 
 
-_PARSED_TABLES: dict[tuple[str, str], str] = {}
+_PARSED_TABLES: dict[tuple, str] = {}
 
 
 def parsed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,7 +319,9 @@ def parsed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Reports read their input several times; they are meant to run on the written dataset, not to
     parse anew each time.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet")
+    state = files.select(F.sum("length"), F.max("modificationTime"), F.count(F.lit(1))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, *state)  # changed files are parsed anew
     if key not in _PARSED_TABLES:
         path = new_path(spark, "parsed-postings")
         parsed(spark, sf_dir).drop("text").write.parquet(path)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from hirelens import rules
 from hirelens.functions.tokens import PII_PATTERNS
 from hirelens.operators.market import ROLE_FAMILIES
-from hirelens.operators.near_dup import PRIME, coefficients
 from hirelens.plans.oracle_base import (
     cut,
     joined,
@@ -72,6 +71,7 @@ _PAIR_COUNTS = (
     " lifts AS (SELECT a, b, p.n, p.n / total.n AS support, p.n * total.n / (s.n * t.n) AS lift"
     " FROM pair_counts p JOIN singles s ON a = s.skill JOIN singles t ON b = t.skill CROSS JOIN total)"
 )
+_LARGEST = 12  # no set of so many skills is frequent at the given scales
 _FEATURES = {
     "years": "min_years_experience",
     "skills": "len(req) + len(opt)",
@@ -103,16 +103,6 @@ _LANGUAGE_HITS = ", ".join(
 _LANGUAGE = "CASE " + " ".join(
     f"WHEN {lang} = greatest(en, fr, de, es) THEN '{lang}'" for lang in rules.STOP_WORDS
 ) + " END"
-_BANDS, _ROWS = 8, 4
-_MINIMA = ", ".join(
-    f"min(({a} * h + {b}) % {PRIME}) AS m{i}" for i, (a, b) in enumerate(coefficients(_BANDS * _ROWS))
-)
-_BUCKETS = " UNION ALL ".join(
-    f"SELECT doc_id, {band} AS band, concat_ws(',', "
-    + ", ".join(f"m{band * _ROWS + r}" for r in range(_ROWS))
-    + ") AS bucket FROM minima"
-    for band in range(_BANDS)
-)
 _GAIN = "(pow(2.0, quality) - 1) / log2(place + 1.0)"
 
 ORACLES = {
@@ -127,13 +117,18 @@ ORACLES = {
         _PAIR_COUNTS,
     ),
     "skill_motifs": over_parsed(
-        "SELECT a || '|' || b AS items, n FROM pair_counts WHERE n >= ceil(0.1 * (SELECT n FROM total))"
-        " UNION ALL SELECT x.skill || '|' || y.skill || '|' || z.skill, count(*) FROM job_skills x"
-        " JOIN job_skills y ON x.doc_id = y.doc_id AND x.skill < y.skill JOIN job_skills z"
-        " ON x.doc_id = z.doc_id AND y.skill < z.skill GROUP BY 1"
-        " HAVING count(*) >= ceil(0.1 * (SELECT n FROM total))",
+        " UNION ALL ".join(f"SELECT items, n FROM frequent{k}" for k in range(2, _LARGEST + 1)),
         _SKILL_ROWS,
-        _PAIR_COUNTS,
+        "total AS (SELECT count(*) AS n FROM parsed)",
+        "sets1 AS (SELECT doc_id, skill AS items, skill AS last FROM job_skills)",
+        *[
+            f"sets{k} AS (SELECT s.doc_id, s.items || '|' || j.skill AS items, j.skill AS last FROM"
+            f" sets{k - 1} s{'' if k == 2 else f' SEMI JOIN frequent{k - 1} USING (items)'} JOIN"
+            f" job_skills j ON s.doc_id = j.doc_id AND s.last < j.skill), frequent{k} AS (SELECT items,"
+            f" count(*) AS n FROM sets{k} GROUP BY items HAVING count(*) >= ceil(0.1 * (SELECT n FROM"
+            " total)))"
+            for k in range(2, _LARGEST + 1)
+        ],
     ),
     "skill_seniority_by_region": over_parsed(
         "SELECT k.country, skill, count(*) FILTER (has) AS n, CAST(count(*) FILTER (has AND senior)"
@@ -208,15 +203,20 @@ ORACLES = {
         f"ps AS (SELECT * FROM (SELECT doc_id, company, {strip('unnest(ps)')} AS p FROM (SELECT doc_id,"
         f" company, {cut('description')} AS ps FROM postings)) WHERE p <> '')",
     ),
-    "near_dup": "WITH RECURSIVE grams AS (SELECT DISTINCT doc_id, t || ' ' || lead(t) OVER w || ' ' ||"
-    " lead(t, 2) OVER w AS g FROM (SELECT doc_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM"
-    f" (SELECT doc_id, {_TOKENS} AS ts FROM documents)) WINDOW w AS (PARTITION BY doc_id ORDER BY i)),"
-    " hashes AS (SELECT doc_id, CAST('0x' || substring(md5(g), 1, 8) AS BIGINT) AS h FROM grams WHERE g"
-    f" IS NOT NULL), minima AS (SELECT doc_id, {_MINIMA} FROM hashes GROUP BY doc_id), buckets AS"
-    f" ({_BUCKETS} UNION ALL SELECT doc_id, -1, md5(text) FROM documents), links AS (SELECT DISTINCT"
-    " a.doc_id AS x, b.doc_id AS y FROM buckets a JOIN buckets b ON a.band = b.band AND a.bucket ="
-    " b.bucket), reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON"
-    ' r.y = l.x) SELECT x AS doc_id, min(y) AS "group" FROM reach GROUP BY x',
+    "near_dup": f"WITH RECURSIVE t AS (SELECT doc_id, md5(text) AS h, {_TOKENS} AS ts FROM documents),"
+    " grams AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ts) >= 3 THEN list_transform(range(1,"
+    " len(ts) - 1), lambda i: array_to_string(ts[i:i + 2], ' ')) WHEN len(ts) > 0 THEN"
+    " [array_to_string(ts, ' ')] ELSE [] END)) AS g FROM t), sizes AS (SELECT doc_id, count(*) AS n FROM"
+    " grams GROUP BY doc_id), common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a"
+    " JOIN grams b ON a.g = b.g GROUP BY ALL), links AS (SELECT x, y FROM common c JOIN sizes a ON c.x ="
+    " a.doc_id JOIN sizes b ON c.y = b.doc_id WHERE c.n >= 0.8 * (a.n + b.n - c.n) UNION SELECT a.doc_id,"
+    " b.doc_id FROM t a JOIN t b ON a.h = b.h), reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y"
+    ' FROM reach r JOIN links l ON r.y = l.x) SELECT x AS doc_id, min(y) AS "group" FROM reach GROUP BY x',
+    # what holds for every row whatever the model: its cluster is one of k, its role one that exists
+    "archetypes": over_parsed("SELECT doc_id, true AS in_range FROM parsed"),
+    "role_classifier": over_parsed(
+        "SELECT doc_id, role_type, true AS known FROM parsed",
+    ),
     "ideal_profiles": over_parsed(
         "SELECT profile_id, standardized_role, profile_level AS seniority_level,"
         f" {joined('held')} AS candidate_skills, experience_years, 'inferred' AS derived_from"
@@ -284,7 +284,7 @@ ORACLES = {
     ),
     "rank_profiles": over_parsed(
         "SELECT *, rank() OVER (PARTITION BY role_type, seniority_level ORDER BY score DESC) AS rank FROM"
-        " (SELECT role_type, seniority_level, profile_id, round(avg(score), 4) AS score FROM matched"
+        " (SELECT role_type, seniority_level, profile_id, round(avg(score), 12) AS score FROM matched"
         " GROUP BY ALL)",
         _SKILL_ROWS,
         _PROFILES,

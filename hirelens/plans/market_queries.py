@@ -30,8 +30,8 @@ def skill_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skill_motifs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sets of two and three skills that a tenth of the postings name."""
-    found = market.skill_motifs(parsed_table(spark, sf_dir), 0.1, (2, 3))
+    """All sets of two or more skills that a tenth of the postings name."""
+    found = market.skill_motifs(parsed_table(spark, sf_dir), 0.1)
     return found.select(F.array_join("items", "|").alias("items"), "n")
 
 
@@ -104,7 +104,7 @@ def lemmatize(spark: SparkSession, sf_dir: str) -> DataFrame:
     lemmas = words.filter(c("token").endswith("s")).distinct().withColumn(
         "lemma", F.regexp_replace("token", "s+$", "")
     )
-    return corpus.lemmatize(rows, lemmas).groupBy("lemma").agg(F.count(F.lit(1)).alias("n"))
+    return corpus.lemma_counts(rows, lemmas)
 
 
 def language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,13 +245,17 @@ def _with_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.archetypes(_with_tokens(spark, sf_dir), "tokens").select("doc_id", "cluster")
+    """Every posting is in one of the clusters."""
+    found = models.archetypes(_with_tokens(spark, sf_dir), "tokens", k=6)
+    return found.select("doc_id", c("cluster").between(0, 5).alias("in_range"))
 
 
 def role_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for all postings by a model that has seen four fifths of them."""
     df = _with_tokens(spark, sf_dir)
-    model = models.role_classifier(df, "tokens")
-    return models.predict_role(model, df).select("doc_id", "role_type", "predicted_role")
+    model = models.role_classifier(df.filter(~models.held_out(c("doc_id"))), "tokens")
+    known = c("predicted_role").isin(*model.stages[0].labels)
+    return models.predict_role(model, df).select("doc_id", "role_type", known.alias("known"))
 
 
 QUERIES = {
