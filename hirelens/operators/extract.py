@@ -47,8 +47,8 @@ def _first(selector: Selector, elements: str = "elements") -> str:
 
 
 def _inside(outer: str) -> str:
-    """Descendants of an element."""
-    return f"filter(elements, e -> e.ord > {outer}.ord AND e.ord <= {outer}.last)"
+    """Descendants of an element: those that follow it."""
+    return f"slice(elements, {outer}.at + 2, {outer}.below)"
 
 
 def _text(e: str, separator: str = "") -> str:
@@ -139,8 +139,10 @@ def criteria_map(
     items = f"filter(elements, li -> {_matches('li', item)})"
     pairs = f"transform({items}, li -> {_with(_inside('li'), 'own', pair)})"
     full = f"filter({pairs}, p -> p.key IS NOT NULL AND p.value IS NOT NULL)"
-    latest = "filter(ps, (p, i) -> NOT exists(slice(ps, i + 2, size(ps)), q -> q.key = p.key))"
-    return F.expr(_with(full, "ps", f"map_from_entries({latest})"))
+    placed = f"transform({full}, (p, i) -> named_struct('key', p.key, 'n', -i, 'value', p.value))"
+    latest = "filter(ps, (p, i) -> i = 0 OR ps[i - 1].key != p.key)"
+    entries = f"transform({latest}, p -> struct(p.key, p.value))"
+    return F.expr(_with(f"sort_array({placed})", "ps", f"map_from_entries({entries})"))
 
 
 def criteria_columns(criteria: Column, columns=rules.CRITERIA_COLUMNS) -> list[Column]:
@@ -265,14 +267,19 @@ def extract_company_pages(pages: DataFrame, keys: Sequence[str] = ("url",)) -> D
         for word, field in rules.COMPANY_FACTS
     )
     field = _with(f"lower({_text('dt')})", "label", f"CASE {named} END")
-    dd = "get(filter(elements, e -> e.tag = 'dd' AND e.parent = dt.parent AND e.ord > dt.ord), 0)"
+    dd = "CASE WHEN dt.follower >= 0 THEN elements[dt.follower] END"
     value = f"nullif({_with(dd, 'dd', _text('dd'))}, '')"
     facts = (
         "filter(transform(filter(elements, e -> e.tag = 'dt'), dt -> "
         f"named_struct('field', {field}, 'value', {value})), f -> f.value IS NOT NULL)"
     )
     parsed = parse_pages(
-        pages, keys, tags=COMPANY_TAGS, attrs=["data-test-id"], bare_tags=["dt", "dd"]
+        pages,
+        keys,
+        tags=COMPANY_TAGS,
+        attrs=["data-test-id"],
+        bare_tags=["dt", "dd"],
+        followers={"dt": "dd"},
     )
     found = parsed.select(
         *keys,

@@ -8,7 +8,9 @@ however deep elements nest. All selection work happens afterwards in Spark expre
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -34,7 +36,9 @@ ELEMENT = T.StructType(
     [
         T.StructField("ord", T.IntegerType()),  # position in document order
         T.StructField("parent", T.IntegerType()),  # ord of the parent, -1 at the top
-        T.StructField("last", T.IntegerType()),  # ord of the last descendant
+        T.StructField("at", T.IntegerType()),  # position among the kept elements, from 0
+        T.StructField("below", T.IntegerType()),  # kept descendants; they follow the element
+        T.StructField("follower", T.IntegerType()),  # position of a sibling, see parse_pages
         T.StructField("tag", T.StringType()),
         T.StructField("cls", T.StringType()),  # class attribute, single spaces
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
@@ -69,7 +73,9 @@ class _PageReader(HTMLParser):
         self.pieces: list[str] = []
         self.chars = 0
         self._open: list[dict] = []
+        self._counts: Counter[str] = Counter()  # open elements by tag
         self._hidden = 0
+        self._preformatted = 0
         self._text: list[str] = []
         self._markup: list[str] = []
         self._size = 0
@@ -98,7 +104,7 @@ class _PageReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self._end_text()
-        if any(e["tag"] == tag for e in reversed(self._open)):
+        if self._counts[tag]:
             while self._close_top() != tag:
                 pass
 
@@ -155,7 +161,9 @@ class _PageReader(HTMLParser):
         }
         self.elements.append(element)
         self._open.append(element)
+        self._counts[tag] += 1
         self._hidden += tag in HIDDEN_TAGS
+        self._preformatted += tag in PREFORMATTED_TAGS
         written = "".join(f" {name}={_quoted(value)}" for name, value in values.items())
         self._write(f"<{tag}{written}{'/' if tag in VOID_TAGS else ''}>")
 
@@ -164,7 +172,9 @@ class _PageReader(HTMLParser):
         tag = element["tag"]
         if tag not in VOID_TAGS:
             self._write(f"</{tag}>")
+        self._counts[tag] -= 1
         self._hidden -= tag in HIDDEN_TAGS
+        self._preformatted -= tag in PREFORMATTED_TAGS
         element["last"] = len(self.elements) - 1
         element["pieces"] = len(self.pieces) - element["piece"]
         element["chars"] = self.chars - element["chars"]
@@ -181,9 +191,7 @@ class _PageReader(HTMLParser):
             self._open[-1]["raw"] = (self._open[-1]["raw"] or "") + data
             self._write(data)
             return
-        if not data.strip(" \t\n\r\x0c") and not any(
-            e["tag"] in PREFORMATTED_TAGS for e in self._open
-        ):
+        if not data.strip(" \t\n\r\x0c") and not self._preformatted:
             data = "\n" if "\n" in data else " "
         self._write(_escaped(data))
         self._piece(data)
@@ -218,12 +226,16 @@ def parse_pages(
     attrs: Sequence[str] | None = None,
     bare_tags: Sequence[str] = (),
     markup: bool = True,
+    followers: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``keys`` plus ``pieces array<string>, elements array<ELEMENT>, markup string``.
 
     Only ``keys`` and the page go to Python. What comes back can be limited to what the selectors
     need: elements of ``tags`` that have a class or one of ``attrs``, and those of ``bare_tags`` in
     any case. ``markup=False`` leaves the page source out. A null page gives null columns.
+
+    ``followers`` maps a tag to another one: elements of the first have in ``follower`` where the next
+    element of the second under the same parent stands among the kept elements, -1 if nowhere.
     """
     keys = list(keys)
     schema = T.StructType(
@@ -237,6 +249,7 @@ def parse_pages(
     wanted_tags = None if tags is None else frozenset(tags)
     wanted_attrs = None if attrs is None else frozenset(attrs)
     bare = frozenset(bare_tags)
+    sought = dict(followers or {})
 
     def keep(element) -> bool:
         if wanted_tags is None:
@@ -269,6 +282,19 @@ def parse_pages(
             if out:
                 yield assemble(batch, first, out)
 
+    def kept_elements(reader) -> list[dict]:
+        """Kept elements with their places; one pass over them in each direction."""
+        kept = [e for e in reader.elements if keep(e)]
+        ords = [e["ord"] for e in kept]
+        next_of: dict[tuple[int, str], int] = {}
+        for at in range(len(kept) - 1, -1, -1):
+            e = kept[at]
+            e["at"] = at
+            e["below"] = bisect_right(ords, e["last"]) - at - 1
+            e["follower"] = next_of.get((e["parent"], sought.get(e["tag"], "")), -1)
+            next_of[e["parent"], e["tag"]] = at
+        return kept
+
     def lists(readers, rows_of, to_array) -> pa.Array:
         """One list per page (null for a null page) over flat values."""
         offsets, flat = [], []
@@ -292,7 +318,7 @@ def parse_pages(
             lists(readers, lambda r: r.pieces, lambda flat: pa.array(flat, pa.string()))
         )
         columns.append(
-            lists(readers, lambda r: [e for e in r.elements if keep(e)], element_array)
+            lists(readers, kept_elements, element_array)
         )
         columns.append(
             pa.array([r.markup if r and markup else None for r in readers], pa.string())

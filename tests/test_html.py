@@ -1,5 +1,7 @@
 """Element index and selectors on literal pages."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from hirelens import rules
@@ -153,3 +155,28 @@ def test_cards(spark):
     assert [(r["raw_title"], r["job_url"], r["company_url"]) for r in got] == [
         ("T1", "http://j/1", None), ("T2", "http://j/2", None), (None, None, None),
     ]
+
+
+def _reading_time(page):
+    reader = html._PageReader()
+    start = time.process_time()
+    reader.read(page)
+    return time.process_time() - start
+
+
+def test_reading_is_linear_in_unclosed_tags():
+    small, large = (_reading_time("<p>a </i> " * n) for n in (4000, 16_000))
+    assert large < 8 * small + 0.2
+
+
+def test_descendants_and_followers_are_places(spark):
+    page = "<dl id=x><dt>a<p>no</p><dd>1</dd><dt>b</dt><dt>c</dt><dd>2</dd><div><dd>in</dd></div></dl><dd>out</dd>"
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    parsed = html.parse_pages(pages, tags=["dl"], attrs=["id"], bare_tags=["dt", "dd"], followers={"dt": "dd"})
+    kept = parsed.first()["elements"]
+    assert [e["at"] for e in kept] == list(range(len(kept)))
+    for e in kept:
+        inside = [k["at"] for k in kept if e["ord"] < k["ord"] <= e["ord"] + (e["below"] and 99)]
+        assert inside[: e["below"]] == list(range(e["at"] + 1, e["at"] + 1 + e["below"]))
+        later = [k["at"] for k in kept if k["tag"] == "dd" and k["parent"] == e["parent"] and k["ord"] > e["ord"]]
+        assert e["follower"] == (later[0] if later and e["tag"] == "dt" else -1)
