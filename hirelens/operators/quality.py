@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -70,6 +71,22 @@ def field_coverage(df: DataFrame, name_has: tuple[str, ...] = ("raw", "hash")) -
     )
 
 
+def first_row(df: DataFrame, order: Sequence[Column], keys: int = 10) -> DataFrame:
+    """``position, field, non_null`` for the first top-level fields of the first row by ``order``:
+    how many of the field's own leaves that row has set."""
+    fields = [f for f in df.schema.fields[:keys]]
+    counts = []
+    for f in fields:
+        nested = isinstance(f.dataType, T.StructType)
+        leaves = schemas.leaf_paths(f.dataType, f.name + ".") if nested else [f.name]
+        counts.append(reduce(add, [F.col(p).isNotNull().cast("bigint") for p in leaves]))
+    rows = [
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("field"), n.alias("non_null"))
+        for i, (f, n) in enumerate(zip(fields, counts))
+    ]
+    return df.orderBy(*order).limit(1).select(F.inline(F.array(*rows)))
+
+
 def failure_report(rejects: DataFrame) -> DataFrame:
     """Failures per reason, most frequent first, with their total.
 

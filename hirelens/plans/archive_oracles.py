@@ -40,17 +40,42 @@ _LEAVES = {
 _PATHS = schemas.leaf_paths(schemas.RAW_JOB)
 
 
-def _coverage(columns: str, keep, limit: int | None = None) -> str:
+# every company record has all other leaves, in each of three runs
+_NO_COMPANY_LEAVES = {
+    "company_page_raw.company_specialties_raw",
+    "company_page_raw.company_founded_year",
+    "company_page_raw.company_employees_count_raw",
+    "quality_tracking.extraction_quality",
+}
+
+
+def _counted(keep, limit: int | None = None) -> str:
     paths = [p for p in _PATHS if keep(p)][:limit]
     counts = ", ".join(f"count({_LEAVES.get(p, 'NULL')}) AS c{i}" for i, p in enumerate(paths))
+    return f"counted AS (SELECT count(*) AS n, {counts} FROM postings)"
+
+
+def _coverage_rows(columns: str, keep, limit: int | None = None) -> str:
+    paths = [p for p in _PATHS if keep(p)][:limit]
     rows = " UNION ALL ".join(
         f"SELECT {i} AS position, '{p}' AS field, c{i} AS non_null, n AS rows FROM counted"
         for i, p in enumerate(paths)
     )
-    return with_postings(
-        f"SELECT {columns} FROM ({rows})",
-        f"counted AS (SELECT count(*) AS n, {counts} FROM postings)",
-    )
+    return f"SELECT {columns} FROM ({rows})"
+
+
+def _coverage(columns: str, keep) -> str:
+    return with_postings(_coverage_rows(columns, keep), _counted(keep))
+
+
+def _first_row() -> str:
+    """Leaves that the first posting sets, by section of the record."""
+    parts = []
+    for i, f in enumerate(schemas.RAW_JOB.names[:10]):
+        own = [_LEAVES.get(p, "NULL") for p in _PATHS if p == f or p.startswith(f + ".")]
+        total = " + ".join(f"CAST({v} IS NOT NULL AS BIGINT)" for v in own)
+        parts.append(f"SELECT {i} AS position, '{f}' AS field, {total} AS non_null FROM first")
+    return " UNION ALL ".join(parts)
 
 
 def _raw_or_hash(path: str) -> bool:
@@ -137,8 +162,20 @@ ORACLES = {
     "field_coverage": _coverage(
         "field, non_null, rows, round(100.0 * non_null / rows, 1) AS pct", _raw_or_hash
     ),
-    "head_sample": _coverage("position, field, non_null", _raw_or_hash, 15),
-    "schema_leaves": _coverage("position, field AS path, non_null", lambda p: True),
+    "head_sample": with_postings(
+        f"SELECT 'coverage' AS part, * FROM ({_coverage_rows('position, field, non_null', _raw_or_hash, 15)})"
+        f" UNION ALL SELECT 'first row' AS part, position, field, non_null FROM ({_first_row()})",
+        _counted(_raw_or_hash, 15),
+        f"first AS (SELECT * FROM postings ORDER BY scrape_timestamp, {_URL} LIMIT 1)",
+    ),
+    "schema_leaves": with_postings(
+        f"SELECT 'job' AS record, * FROM ({_coverage_rows('position, field AS path, non_null', lambda p: True)})"
+        " UNION ALL SELECT 'company' AS record, * FROM (" + " UNION ALL ".join(
+            f"SELECT {i} AS position, '{p}' AS path, (SELECT {0 if p in _NO_COMPANY_LEAVES else 3} * count(*)"
+            f" FROM {_SUPPLIERS}) AS non_null" for i, p in enumerate(schemas.leaf_paths(schemas.RAW_COMPANY))
+        ) + ")",
+        _counted(lambda p: True),
+    ),
     "failure_report": "SELECT event_type AS reason, count(*) AS n, (SELECT count(*) FROM events)"
     " AS total_failures FROM events GROUP BY event_type",
     "run_summary": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_ts,"

@@ -194,16 +194,25 @@ def field_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def head_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 15 fields of the coverage report."""
-    return quality.field_coverage(inputs.raw_jobs(spark, sf_dir)).filter("position < 15").select(
-        "position", "field", "non_null"
+    """The first 15 fields of the coverage report, and the sections of the first record."""
+    raw = inputs.raw_jobs(spark, sf_dir)
+    fields = quality.field_coverage(raw).filter("position < 15").select(
+        F.lit("coverage").alias("part"), "position", "field", "non_null"
     )
+    first = quality.first_row(raw, [c("scrape_metadata.scrape_timestamp"), c("job_identity.job_url")])
+    return fields.unionByName(first.select(F.lit("first row").alias("part"), "*"))
 
 
 def schema_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All leaf fields of the job archive and in how many records each is set."""
-    found = quality.field_coverage(inputs.raw_jobs(spark, sf_dir), name_has=("",))
-    return found.select("position", c("field").alias("path"), "non_null")
+    """All leaf fields of job and company records and in how many records each is set."""
+    archives = {"job": inputs.raw_jobs(spark, sf_dir), "company": inputs.raw_companies(spark, sf_dir)}
+    parts = [
+        quality.field_coverage(raw, name_has=("",)).select(
+            F.lit(record).alias("record"), "position", c("field").alias("path"), "non_null"
+        )
+        for record, raw in archives.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def failure_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelens import rules
 from hirelens.functions.text import hash_job_url, strip_query
 from hirelens.operators.extract import extract_company_pages
 from hirelens.operators.postings import parse_postings
@@ -271,6 +272,60 @@ def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# field -> (its selectors, the words its text begins with)
+SELECTED = {
+    "description": (rules.DESCRIPTION_SELECTORS, "A description that is long enough to count as one, of posting"),
+    "location": (rules.LOCATION_SELECTORS, "Place"),
+    "insight": (rules.INSIGHT_SELECTORS, "Insight"),
+    "salary": (rules.SALARY_SELECTORS, "Salary"),
+    "applicant_count": (rules.APPLICANT_SELECTORS, "Applicants"),
+    "easy_apply_flag": (rules.EASY_APPLY_SELECTORS, "Easy"),
+    "remote_label": (rules.REMOTE_LABEL_SELECTORS, "Remote"),
+    "posted_by": (rules.POSTED_BY_SELECTORS, "Recruiter"),
+}
+CRITERIA_LABELS = ["Employment type", " Seniority level\n", "Industries", "Job function"]
+
+
+def selected_element(name: str) -> str:
+    """SQL of the one element of a field on the page of a document: the selector is picked by
+    ``doc_id``, so the pages between them hit every one."""
+    selectors, words = SELECTED[name]
+    arms = " ".join(
+        f"WHEN {i} THEN '<{tag} {attribute}=\"{value}\">{words} ' || CAST(doc_id AS VARCHAR(20)) || '</{tag}>'"
+        for i, (tag, attribute, value) in enumerate(selectors)
+    )
+    return f"CASE CAST(doc_id % {len(selectors)} AS INT) {arms} END"
+
+
+def selected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job page per document with every field there is: ``doc_id, html``."""
+    (item, _, item_class), (head, _, head_class), (value, _, value_class) = (
+        rules.CRITERIA_ITEM, rules.CRITERIA_HEADER, rules.CRITERIA_VALUE,
+    )
+    criteria = [
+        f"'<{item} class=\"{item_class}\"><{head} class=\"{head_class}\">{label}</{head}>"
+        f"<{value} class=\"{value_class}\">{label.strip()} ' || CAST(doc_id AS VARCHAR(20)) || '</{value}></{item}>'"
+        for label in CRITERIA_LABELS
+    ]
+    html = " || ".join([*map(selected_element, SELECTED), *criteria])
+    return table(spark, sf_dir, "documents").selectExpr("doc_id", f"{html} AS html")
+
+
+def full_company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An about page per supplier with every fact and, by the key, one of the about selectors."""
+    key = "CAST(s_suppkey AS VARCHAR(20))"
+    arms = " ".join(
+        f"WHEN {i} THEN '<{tag} {attribute}=\"{value}\">About supplier ' || {key} || '</{tag}>'"
+        for i, (tag, attribute, value) in enumerate(rules.ABOUT_SELECTORS)
+    )
+    facts = [
+        f"'<dt>{word.capitalize()}</dt><dd>{name} ' || {key} || '</dd>'" for word, name in rules.COMPANY_FACTS
+    ]
+    about = f"CASE CAST(s_suppkey % {len(rules.ABOUT_SELECTORS)} AS INT) {arms} END"
+    html = f"{about} || '<dl>' || " + " || ".join(facts) + " || '</dl>'"
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey", f"{html} AS html")
+
+
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing cards with ``page``, ``position`` and the fields that the job page would give."""
     p = postings(spark, sf_dir)

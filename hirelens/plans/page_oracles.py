@@ -4,6 +4,7 @@ over their markup."""
 from __future__ import annotations
 
 from hirelens import rules
+from hirelens.plans.inputs import CRITERIA_LABELS, SELECTED, selected_element
 from hirelens.plans.oracle_base import strip, with_postings
 
 _TEXT = "replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
@@ -80,7 +81,42 @@ def _company_columns() -> str:
     return ", ".join(f"{sql} AS company_{name}_raw" for name, sql in _FACTS.items())
 
 
+def _every_selector() -> str:
+    def text(name: str) -> str:
+        return f"'{SELECTED[name][1]} ' || doc_id"
+
+    def method(name: str) -> str:
+        return f"CAST(doc_id % {len(SELECTED[name][0])} AS INTEGER)"
+
+    columns = [
+        "doc_id",
+        f"{text('description')} AS description",
+        f"{method('description')} AS description_extract_method",
+        f"md5({selected_element('description')}) AS description_html_hash",
+        f"{text('location')} AS location_from_panel_raw",
+        f"{text('insight')} AS job_insight_section_raw_text",
+        f"md5({selected_element('insight')}) AS insight_html_hash",
+    ]
+    for name in ("salary", "applicant_count", "easy_apply_flag", "remote_label", "posted_by"):
+        columns += [
+            f"{text(name)} AS {name}_raw", f"'success' AS {name}_status", f"{method(name)} AS {name}_method"
+        ]
+    for label, (name, _) in zip(CRITERIA_LABELS, rules.CRITERIA_COLUMNS):
+        columns.append(f"'{label.strip()} ' || doc_id AS {name}")
+    return f"SELECT {', '.join(columns)}, 7 AS selector_hits FROM documents"
+
+
+def _every_fact() -> str:
+    facts = ", ".join(f"'{name} ' || s_suppkey AS company_{name}_raw" for _, name in rules.COMPANY_FACTS)
+    return (
+        "SELECT s_suppkey, 'About supplier ' || s_suppkey AS company_about_raw_text, CAST(s_suppkey %"
+        f" {len(rules.ABOUT_SELECTORS)} AS INTEGER) AS company_about_method, {facts} FROM supplier"
+    )
+
+
 ORACLES = {
+    "every_selector": _every_selector(),
+    "every_fact": _every_fact(),
     "collect_jobs": with_postings(
         f"SELECT sha256({_URL}) AS job_id_raw, {_URL} AS job_url, {_TITLE} AS title_raw,"
         f" applicant_count_raw, {_QUALITY.format('description', 'salary_raw', 'applicant_count_raw')}"

@@ -100,6 +100,31 @@ def criteria_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.array_join(entries, ";").alias("criteria"))
 
 
+def every_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that between them hit every selector of every field: value, selector and markup."""
+    found = extract.extract_job_pages(inputs.selected_pages(spark, sf_dir), ["doc_id"])
+    status = [n for n, _ in extract.STATUS_FIELDS]
+    return found.select(
+        "doc_id",
+        "description",
+        "description_extract_method",
+        F.md5("description_html").alias("description_html_hash"),
+        "location_from_panel_raw",
+        "job_insight_section_raw_text",
+        F.md5("job_insight_section_raw_html").alias("insight_html_hash"),
+        *[c for n in status for c in (f"{n}_raw", f"{n}_status", f"{n}_method")],
+        *[name for name, _ in rules.CRITERIA_COLUMNS],
+        "selector_hits",
+    )
+
+
+def every_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company pages with all facts, and each about selector on some."""
+    found = extract.extract_company_pages(inputs.full_company_pages(spark, sf_dir), ["s_suppkey"])
+    facts = [f"company_{name}_raw" for _, name in rules.COMPANY_FACTS]
+    return found.select("s_suppkey", "company_about_raw_text", "company_about_method", *facts)
+
+
 def company_about(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract.extract_company_pages(inputs.company_pages(spark, sf_dir), ["s_suppkey"])
     return found.select(
@@ -235,6 +260,8 @@ QUERIES = {
         "location", lambda: extract.cascade(rules.LOCATION_SELECTORS)["value"]
     ),
     "extract_insight": extract_insight,
+    "every_selector": every_selector,
+    "every_fact": every_fact,
     "extract_status_fields": job_page_fields(
         "salary_raw", "salary_status", "salary_method", "applicant_count_raw",
         "applicant_count_status", "applicant_count_method", "easy_apply_flag_status",

@@ -6,69 +6,229 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {"int": T.IntegerType(), "date": T.DateType(), "string": T.StringType()}
-_TYPES["strings"] = T.ArrayType(T.StringType())
-_TYPES["ints"] = T.ArrayType(T.IntegerType())
-
-
-def record(names: str, **sections: T.StructType) -> T.StructType:
-    """Nullable fields out of ``name`` or ``name:type`` words, strings by default; a name among
-    ``sections`` is that struct."""
-    fields = []
-    for word in names.split():
-        name, _, kind = word.partition(":")
-        fields.append(T.StructField(name, sections.get(name) or _TYPES[kind or "string"]))
-    return T.StructType(fields)
-
+STRING, INTEGER, DATE = T.StringType(), T.IntegerType(), T.DateType()
+STRINGS, INTEGERS = T.ArrayType(STRING), T.ArrayType(INTEGER)
 
 # FIXED VALUES: names, order and types of the fields of every kind of record
-CARD = record(
-    "raw_title company raw_location date_posted_raw date_posted_attr job_url company_url"
+CARD = T.StructType(
+    [
+        T.StructField("raw_title", STRING),
+        T.StructField("company", STRING),
+        T.StructField("raw_location", STRING),
+        T.StructField("date_posted_raw", STRING),
+        T.StructField("date_posted_attr", STRING),
+        T.StructField("job_url", STRING),
+        T.StructField("company_url", STRING),
+    ]
+)
+RAW_JOB = T.StructType(
+    [
+        T.StructField("scraper_version", STRING),
+        T.StructField("raw_schema_version", STRING),
+        T.StructField(
+            "scrape_metadata",
+            T.StructType(
+                [
+                    T.StructField("search_keyword", STRING),
+                    T.StructField("search_location", STRING),
+                    T.StructField("scrape_timestamp", STRING),
+                    T.StructField("user_agent_used", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "job_identity",
+            T.StructType(
+                [
+                    T.StructField("job_id_raw", STRING),
+                    T.StructField("job_url", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "job_card_raw",
+            T.StructType(
+                [
+                    T.StructField("title_raw", STRING),
+                    T.StructField("company_raw", STRING),
+                    T.StructField("location_raw", STRING),
+                    T.StructField("date_posted_raw", STRING),
+                    T.StructField("date_posted_attr", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "job_page_raw",
+            T.StructType(
+                [
+                    T.StructField("job_description_raw_text", STRING),
+                    T.StructField("job_description_raw_html", STRING),
+                    T.StructField("description_extract_method", INTEGER),
+                    T.StructField("job_insight_section_raw_text", STRING),
+                    T.StructField("job_insight_section_raw_html", STRING),
+                    T.StructField("salary_raw_text", STRING),
+                    T.StructField("salary_status", STRING),
+                    T.StructField("applicant_count_raw", STRING),
+                    T.StructField("applicant_count_status", STRING),
+                    T.StructField("easy_apply_flag_raw", STRING),
+                    T.StructField("easy_apply_flag_status", STRING),
+                    T.StructField("remote_label_raw", STRING),
+                    T.StructField("remote_label_status", STRING),
+                    T.StructField("posted_by_raw", STRING),
+                    T.StructField("posted_by_status", STRING),
+                    T.StructField("location_from_panel_raw", STRING),
+                    T.StructField("employment_type_raw", STRING),
+                    T.StructField("seniority_raw", STRING),
+                    T.StructField("industry_raw", STRING),
+                    T.StructField("job_function_raw", STRING),
+                    T.StructField("embedded_json_ld", STRING),
+                    T.StructField("embedded_job_json", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "company_info",
+            T.StructType(
+                [
+                    T.StructField("company_url", STRING),
+                    T.StructField("company_id_hash", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "quality_tracking",
+            T.StructType(
+                [
+                    T.StructField("extraction_quality", STRING),
+                    T.StructField("selector_hits", INTEGER),
+                    T.StructField("status_code_history", INTEGERS),
+                    T.StructField("retry_count", INTEGER),
+                ]
+            ),
+        ),
+        T.StructField(
+            "hashing",
+            T.StructType(
+                [
+                    T.StructField("job_description_content_hash", STRING),
+                    T.StructField("job_post_id_hash", STRING),
+                ]
+            ),
+        ),
+    ]
 )
-RAW_JOB = record(
-    "scraper_version raw_schema_version scrape_metadata job_identity job_card_raw job_page_raw"
-    " company_info quality_tracking hashing",
-    scrape_metadata=record("search_keyword search_location scrape_timestamp user_agent_used"),
-    job_identity=record("job_id_raw job_url"),
-    job_card_raw=record("title_raw company_raw location_raw date_posted_raw date_posted_attr"),
-    job_page_raw=record(
-        "job_description_raw_text job_description_raw_html description_extract_method:int"
-        " job_insight_section_raw_text job_insight_section_raw_html salary_raw_text salary_status"
-        " applicant_count_raw applicant_count_status easy_apply_flag_raw easy_apply_flag_status"
-        " remote_label_raw remote_label_status posted_by_raw posted_by_status"
-        " location_from_panel_raw employment_type_raw seniority_raw industry_raw job_function_raw"
-        " embedded_json_ld embedded_job_json"
-    ),
-    company_info=record("company_url company_id_hash"),
-    quality_tracking=record(
-        "extraction_quality selector_hits:int status_code_history:ints retry_count:int"
-    ),
-    hashing=record("job_description_content_hash job_post_id_hash"),
+RAW_COMPANY = T.StructType(
+    [
+        T.StructField("scraper_version", STRING),
+        T.StructField("raw_schema_version", STRING),
+        T.StructField(
+            "company_identity",
+            T.StructType(
+                [
+                    T.StructField("company_id_hash", STRING),
+                    T.StructField("company_name_raw", STRING),
+                    T.StructField("company_url", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "company_page_raw",
+            T.StructType(
+                [
+                    T.StructField("company_about_raw_text", STRING),
+                    T.StructField("company_about_raw_html", STRING),
+                    T.StructField("company_industry_raw", STRING),
+                    T.StructField("company_size_raw", STRING),
+                    T.StructField("company_headquarters_raw", STRING),
+                    T.StructField("company_type_raw", STRING),
+                    T.StructField("company_specialties_raw", STRING),
+                    T.StructField("company_founded_year", STRING),
+                    T.StructField("company_website_raw", STRING),
+                    T.StructField("company_employees_count_raw", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "hashing",
+            T.StructType(
+                [
+                    T.StructField("company_content_hash", STRING),
+                    T.StructField("company_about_content_hash", STRING),
+                    T.StructField("company_id_hash", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "timestamps",
+            T.StructType(
+                [
+                    T.StructField("first_seen", STRING),
+                    T.StructField("last_seen", STRING),
+                ]
+            ),
+        ),
+        T.StructField(
+            "quality_tracking",
+            T.StructType(
+                [
+                    T.StructField("extraction_quality", STRING),
+                    T.StructField("retry_count", INTEGER),
+                    T.StructField("selector_hits", INTEGER),
+                ]
+            ),
+        ),
+    ]
 )
-RAW_COMPANY = record(
-    "scraper_version raw_schema_version company_identity company_page_raw hashing timestamps"
-    " quality_tracking",
-    company_identity=record("company_id_hash company_name_raw company_url"),
-    company_page_raw=record(
-        "company_about_raw_text company_about_raw_html company_industry_raw company_size_raw"
-        " company_headquarters_raw company_type_raw company_specialties_raw company_founded_year"
-        " company_website_raw company_employees_count_raw"
-    ),
-    hashing=record("company_content_hash company_about_content_hash company_id_hash"),
-    timestamps=record("first_seen last_seen"),
-    quality_tracking=record("extraction_quality retry_count:int selector_hits:int"),
+PARSED_JOB = T.StructType(
+    [
+        T.StructField("job_id", STRING),
+        T.StructField("company", STRING),
+        T.StructField("raw_title", STRING),
+        T.StructField("normalized_title", STRING),
+        T.StructField("title_keywords", STRINGS),
+        T.StructField("role_type", STRING),
+        T.StructField("seniority_level", STRING),
+        T.StructField("skills_required", STRINGS),
+        T.StructField("skills_optional", STRINGS),
+        T.StructField("tools_frameworks", STRINGS),
+        T.StructField("min_years_experience", INTEGER),
+        T.StructField("experience_text", STRING),
+        T.StructField("employment_type", STRING),
+        T.StructField("work_mode", STRING),
+        T.StructField("city", STRING),
+        T.StructField("region", STRING),
+        T.StructField("country", STRING),
+        T.StructField("date_posted_raw", STRING),
+        T.StructField("date_posted_normalized", DATE),
+        T.StructField("job_description_raw", STRING),
+        T.StructField("source", STRING),
+        T.StructField("job_url", STRING),
+        T.StructField("scrape_timestamp", STRING),
+        T.StructField("schema_version", STRING),
+        T.StructField("dataset_version", STRING),
+    ]
 )
-PARSED_JOB = record(
-    "job_id company raw_title normalized_title title_keywords:strings role_type seniority_level"
-    " skills_required:strings skills_optional:strings tools_frameworks:strings"
-    " min_years_experience:int experience_text employment_type work_mode city region country"
-    " date_posted_raw date_posted_normalized:date job_description_raw source job_url"
-    " scrape_timestamp schema_version dataset_version"
+REJECT = T.StructType(
+    [
+        T.StructField("job_url", STRING),
+        T.StructField("raw_title", STRING),
+        T.StructField("company", STRING),
+        T.StructField("reason", STRING),
+        T.StructField("timestamp", STRING),
+    ]
 )
-REJECT = record("job_url raw_title company reason timestamp")
-PROFILE = record(
-    "profile_id standardized_role candidate_skills:strings experience_years:int education_level"
-    " certifications:strings seniority_level language derived_from"
+PROFILE = T.StructType(
+    [
+        T.StructField("profile_id", STRING),
+        T.StructField("standardized_role", STRING),
+        T.StructField("candidate_skills", STRINGS),
+        T.StructField("experience_years", INTEGER),
+        T.StructField("education_level", STRING),
+        T.StructField("certifications", STRINGS),
+        T.StructField("seniority_level", STRING),
+        T.StructField("language", STRING),
+        T.StructField("derived_from", STRING),
+    ]
 )
 
 
