@@ -7,7 +7,7 @@ is left, at most one row per key and run.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +20,35 @@ from hirelens.operators.skew import lookup
 def first_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False
 ) -> DataFrame:
-    """One whole row per key: the first (or last) by ``order``, whatever the partitioning.
+    """One whole row per key: the first (or last) by ``order``, whatever the partitioning; of rows
+    alike in that, the one with the smaller (larger) hash, and equal rows once.
 
-    ``order`` has to be unique within a key for the answer to be unique.
+    Winners are found on keys and places alone, which combine before the shuffle. Whole rows are
+    then only compared with the winner of their key and place, by hash: none is sorted, and rows of
+    one key spread by their places.
     """
-    pick = F.max_by if last else F.min_by
-    row = F.struct(*[F.col(c) for c in df.columns])
-    place = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)])
-    return df.groupBy(*keys).agg(pick(row, place).alias("_row")).select("_row.*")
+    return winning_rows(df, keys, order, {}, last).select(*df.columns)
+
+
+def winning_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    more: Mapping[str, Column],
+    last: bool = False,
+) -> DataFrame:
+    """``first_rows`` with ``more`` aggregates over all rows of the key."""
+    place = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], F.xxhash64(*df.columns).alias("_h"))
+    placed = df.withColumn("_place", place)
+    best = (F.max if last else F.min)("_place")
+    winners = placed.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
+        best.alias("_best"), *[value.alias(name) for name, value in more.items()]
+    )
+    same = F.col("_place") == F.col("_best")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    picked = placed.join(winners.hint("shuffle_hash"), same)
+    return picked.select(*df.columns, *more).distinct()
 
 
 def dedup_jobs(
@@ -71,23 +92,18 @@ def dedup_companies(companies: DataFrame) -> DataFrame:
     """One record per company: the first one seen, with first and last time over all runs. Records
     without an id all stay."""
     c = F.col
-    named = c("company_identity.company_id_hash").isNotNull()
-    grouped = companies.filter(named).groupBy(c("company_identity.company_id_hash").alias("_id")).agg(
-        F.min_by(
-            F.struct(*companies.columns),
-            F.struct(
-                c("timestamps.first_seen"), c("company_identity.company_url"),
-                c("company_identity.company_name_raw"),
-            ),
-        ).alias("_row"),
-        F.min("timestamps.first_seen").alias("_first"),
-        F.max("timestamps.last_seen").alias("_last"),
-    )
+    named = companies.withColumn("_id", c("company_identity.company_id_hash"))
+    order = [
+        c("timestamps.first_seen"), c("company_identity.company_url"), c("company_identity.company_name_raw")
+    ]
+    spans = {"_first": F.min("timestamps.first_seen"), "_last": F.max("timestamps.last_seen")}
+    merged = winning_rows(named.filter("_id is not null"), ["_id"], order, spans)
     seen = F.struct(c("_first").alias("first_seen"), c("_last").alias("last_seen"))
-    merged = grouped.select(
-        *[seen.alias(n) if n == "timestamps" else c(f"_row.{n}").alias(n) for n in companies.columns]
+    merged = merged.select(
+        *[seen.alias(n) if n == "timestamps" else c(n) for n in companies.columns]
     )
-    return merged.unionByName(companies.filter(~named))
+    nameless = companies.filter(c("company_identity.company_id_hash").isNull())
+    return merged.unionByName(nameless)
 
 
 def job_company(jobs: DataFrame, companies: DataFrame) -> DataFrame:

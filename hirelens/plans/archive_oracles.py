@@ -128,13 +128,14 @@ ORACLES = {
         _CARDS,
     ),
     "dedup_jobs": with_postings(
-        "SELECT doc_id, job_id_raw, page, position, raw_title FROM cards QUALIFY row_number() OVER"
+        "SELECT doc_id, job_id_raw, page, position, raw_title, md5(text) AS text FROM cards QUALIFY row_number() OVER"
         " (PARTITION BY job_id_raw ORDER BY page, position) = 1",
         _CARDS,
     ),
     "dedup_by_id": with_postings(
-        "SELECT doc_id, job_id_raw, scrape_timestamp, raw_title FROM cards QUALIFY row_number() OVER"
-        " (PARTITION BY job_id_raw ORDER BY scrape_timestamp DESC, doc_id DESC) = 1",
+        "SELECT doc_id, id AS job_id_raw, scrape_timestamp, raw_title, md5(text) AS text FROM (SELECT *,"
+        " CASE WHEN doc_id % 23 <> 22 THEN job_id_raw END AS id FROM cards) QUALIFY id IS NULL OR"
+        " row_number() OVER (PARTITION BY id ORDER BY scrape_timestamp DESC, doc_id DESC) = 1",
         _CARDS,
     ),
     "limit_listings": with_postings(

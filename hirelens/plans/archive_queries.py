@@ -147,13 +147,17 @@ def skip_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cards = inputs.cards(spark, sf_dir).select("doc_id", "job_id_raw", "page", "position", "raw_title")
-    return cards.transform(history.dedup_jobs)
+    """Whole records, texts included."""
+    kept = inputs.cards(spark, sf_dir).transform(history.dedup_jobs)
+    return kept.select("doc_id", "job_id_raw", "page", "position", "raw_title", F.md5("text").alias("text"))
 
 
 def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cards = inputs.cards(spark, sf_dir).select("doc_id", "job_id_raw", "scrape_timestamp", "raw_title")
-    return history.dedup_by_id(cards, "job_id_raw", "scrape_timestamp", "doc_id")
+    """Whole records, texts included; every 23rd has no id and stays."""
+    cards = inputs.cards(spark, sf_dir)
+    cards = cards.withColumn("job_id_raw", F.when(c("doc_id") % 23 != 22, c("job_id_raw")))
+    kept = history.dedup_by_id(cards, "job_id_raw", "scrape_timestamp", "doc_id")
+    return kept.select("doc_id", "job_id_raw", "scrape_timestamp", "raw_title", F.md5("text").alias("text"))
 
 
 def limit_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,6 +90,24 @@ def test_dedup_jobs_is_deterministic_and_idempotent(spark):
         assert sorted(map(tuple, history.dedup_jobs(once).collect()), key=str) == want
 
 
+def test_deduplication_sorts_no_whole_rows(spark):
+    """Equal rows count once, ties go by the hash of the row, and only keys and places are sorted."""
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("a", 1, "y"), ("b", 2, "z"), (None, 3, "v"), (None, 4, "w")]
+    df = spark.createDataFrame(rows, "k string, i int, t string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = history.first_rows(df, ["k"], [c("i")])
+        got = sorted(map(tuple, found.collect()), key=str)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [r[:2] for r in got] == [("a", 1), ("b", 2), (None, 3)] and got[0][2] in "xy"
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    sorts = [line for line in plan.splitlines() if "SortAggregate" in line or "Sort [" in line]
+    assert sorts and all("t#" not in line.split("output=")[0] for line in sorts)
+
+
 def test_change_history(spark):
     rows = [("j", "1", "x"), ("j", "2", "x"), ("j", "3", "y"), ("j", "3", "z"), ("k", "2", None)]
     df = spark.createDataFrame(rows, "job string, ts string, h string")
