@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hirelens import rules, schemas
 from hirelens.functions.dates import years_bucket
+from hirelens.functions.text import bind
 from hirelens.operators.market import (
     seniority_rank,
     skill_cooccurrence,
@@ -98,6 +99,61 @@ def match_score(wanted: Column, held: Column, idf: Column) -> Column:
     return F.when(norms > 0, shared / norms).otherwise(0.0)
 
 
+def rare_prefix(skills: Column, idf: Column, similarity: float) -> Column:
+    """The rarest skills of a set that it must share with any set of at least that match score.
+
+    The common part of two such sets weighs at least ``similarity^2`` of either. Going from rare to
+    common, the first common skill therefore comes while that much is still ahead in both.
+    """
+    weight = lambda s: F.pow(F.coalesce(F.try_element_at(idf, s), F.lit(0.0)), F.lit(2))
+    ordered = F.array_sort(F.transform(skills, lambda s: F.struct((-weight(s)).alias("w"), s.alias("s"))))
+
+    def cut(rows: Column) -> Column:
+        ahead = lambda i: F.aggregate(
+            F.slice(rows, i + 1, F.size(rows)), F.lit(0.0), lambda total, r: total - r["w"]
+        )
+        kept = F.filter(rows, lambda r, i: ahead(i) >= F.lit(similarity**2 * (1 - 1e-9)) * ahead(F.lit(0)))
+        return F.transform(kept, lambda r: r["s"])
+
+    return bind(ordered, cut)
+
+
+def best_profiles(
+    jobs: DataFrame,
+    profiles: DataFrame,
+    idf: Column,
+    key: str,
+    k: int = 3,
+    similarity: float = 0.5,
+) -> DataFrame:
+    """``key, profile_id, score, rank``: the ``k`` best matches of each posting among any number of
+    profiles, as far as their match score reaches ``similarity``; ties go by ``profile_id``.
+
+    Only pairs that share a skill of both rare prefixes are scored, which loses none. Postings with
+    the same skills are one until the end. Scores are compared to nine decimals, below which they
+    are rounding errors.
+    """
+    named = with_all_skills(jobs).select(key, "skills")
+    named = named.withColumn("_set", F.array_join(F.array_sort("skills"), "|"))
+    sets = named.groupBy("_set").agg(F.first("skills").alias("wanted"), F.count(F.lit(1)).alias("_n"))
+    sets = sets.withColumn("idf", idf)
+    held = profiles.select("profile_id", F.col("candidate_skills").alias("held")).withColumn("idf", idf)
+    left = sets.select("_set", F.explode(rare_prefix(F.col("wanted"), F.col("idf"), similarity)).alias("s"))
+    right = held.select("profile_id", F.explode(rare_prefix(F.col("held"), F.col("idf"), similarity)).alias("s"))
+    met = left.join(right, "s").select("_set", "profile_id").distinct()
+    pairs = met.join(sets, "_set").join(held.drop("idf"), "profile_id")
+    score = F.round(match_score(F.col("wanted"), F.col("held"), F.col("idf")), 9)
+    scored = pairs.select("_set", "_n", "profile_id", score.alias("score")).filter(
+        F.col("score") >= similarity
+    )
+    best = top_k(scored, ["_set"], [F.desc("score"), F.col("profile_id")], k)
+    table = best.groupBy("_set", "_n").agg(
+        F.collect_list(F.struct("profile_id", "score", "rank")).alias("best")
+    )
+    found = lookup(named.select(key, "_set"), table, "_set", "_n", [key])
+    return found.select(key, F.inline("best"))
+
+
 def explain_match(wanted: Column, held: Column, idf: Column, k: int = 3) -> Column:
     """The ``k`` shared skills that add most to the match: ``array<struct(weight, skill)>``."""
     entries = F.transform(

@@ -240,6 +240,18 @@ ORACLES = {
         _WEIGHTS,
         _MATCH,
     ),
+    "best_profiles": over_parsed(
+        "SELECT doc_id, profile_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *,"
+        " row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, profile_id) AS rank FROM (SELECT"
+        f" doc_id, profile_id, round(s / sqrt(a * b), 9) AS score FROM (SELECT *, {_sum('wanted', 'idf * idf')}"
+        f" AS a, {_sum('held', 'idf * idf')} AS b, {_sum('list_intersect(wanted, held)', 'idf * idf')} AS s"
+        " FROM wanted CROSS JOIN made) WHERE a * b > 0) WHERE score >= 0.5) WHERE rank <= 3",
+        _SKILL_ROWS,
+        _WEIGHTS,
+        "wanted AS (SELECT doc_id, list_sort(list_concat(req, opt)) AS wanted FROM parsed)",
+        "made AS (SELECT concat_ws(' | ', normalized_title, city, country) AS profile_id,"
+        " list_distinct(flatten(list(list_concat(req, opt)))) AS held FROM parsed GROUP BY 1)",
+    ),
     "explain_match": over_parsed(
         "SELECT doc_id, profile_id, CAST(place - 1 AS INTEGER) AS place, round(weight, 6) AS weight, skill"
         " FROM (SELECT doc_id, profile_id, w.skill, idf * idf AS weight, row_number() OVER (PARTITION BY"

@@ -183,6 +183,16 @@ def match_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_matched(spark, sf_dir).select("doc_id", "profile_id", "score"), "score")
 
 
+def best_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best of the profiles that titles and places make, for every posting."""
+    df = parsed_table(spark, sf_dir)
+    named = F.concat_ws(" | ", "normalized_title", "city", "country")
+    made = market.with_all_skills(df).select(named.alias("profile_id"), F.explode("skills").alias("skill"))
+    made = made.groupBy("profile_id").agg(F.array_sort(F.collect_set("skill")).alias("candidate_skills"))
+    found = profiles.best_profiles(df, made, profiles.skill_idf(df), "doc_id", 3, 0.5)
+    return rounded(found, "score")
+
+
 def explain_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = profiles.explain_match(c("skills"), c("candidate_skills"), c("idf"), 2)
     pairs = _weighted_pairs(spark, sf_dir).select(
@@ -264,7 +274,7 @@ QUERIES = {
         skill_frequency, skill_cooccurrence, skill_motifs, skill_seniority_by_region,
         correlation_matrix, skill_trend, recent_window, role_family, tokenize, clean_tokens, ngrams,
         lemmatize, language_filter, pii_mask, normalize_units, tfidf, boilerplate_share,
-        ideal_profiles, skills_coverage, match_score, explain_match, skill_gap, seniority_fit,
+        ideal_profiles, skills_coverage, match_score, best_profiles, explain_match, skill_gap, seniority_fit,
         role_alignment, combo_rarity, rank_profiles, ranking_metrics, calibration, archetypes,
         role_classifier,
     )
