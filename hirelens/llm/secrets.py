@@ -128,22 +128,29 @@ def find_secrets(df: DataFrame, text: str, into: str = "spans") -> DataFrame:
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(into, SPANS)]))
 
 
-def redact(df: DataFrame, text: str, spans: str, mark: str = "<secret>") -> DataFrame:
-    """``df`` with every stretch of overlapping or touching spans in ``text`` replaced by ``mark``."""
+def masked(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    """A text with each stretch of overlapping or touching spans replaced."""
+    parts, at = [], 0
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if start > at or not parts:
+            parts += [text[at:start], mark]
+        at = max(at, end)
+    return "".join(parts) + text[at:]
+
+
+def redact(df: DataFrame, text: str, mark: str = "<secret>") -> DataFrame:
+    """``df`` with every stretch of secrets in ``text`` replaced by ``mark``; other texts unchanged.
+
+    Found and replaced in one pass: two Python stages in a row would keep two workers per core.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
-            place = block.schema.get_field_index(text)
             clean = []
-            for value, found in zip(*(block.column(c).to_pylist() for c in (text, spans))):
-                if found:
-                    parts, at = [], 0
-                    for s in sorted(found, key=lambda s: s["start"]):
-                        if s["start"] > at or not parts:
-                            parts += [value[at : s["start"]], mark]
-                        at = max(at, s["end"])
-                    value = "".join(parts) + value[at:]
-                clean.append(value)
+            for value in block.column(text).to_pylist():
+                spans = secret_spans(value)
+                clean.append(masked(value, spans, mark) if spans else value)
+            place = block.schema.get_field_index(text)
             yield from block.set_column(place, text, pa.array(clean, pa.string())).to_batches()
 
     return df.mapInArrow(run, df.schema)

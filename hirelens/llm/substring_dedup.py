@@ -91,7 +91,7 @@ def find_super_kmers(rows: DataFrame, kind: str, window: int, seed: int) -> Data
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for block in blocks(batches, "text"):
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             texts = block.column("text").to_pylist()
             found = [super_kmers(word_hashes(words(t), known), window, seed) for t in texts]

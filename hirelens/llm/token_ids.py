@@ -22,8 +22,8 @@ WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 NOT_PLAIN = r"'|[^\x{00}-\x{ff}]"
 PIECE = r"(\pL+|\pN|[^\s\pL\pN]+)"
 END = "</w>"  # fixed value: how the vocabulary marks the last token of a word
-CHUNKS, PIECES = 1_000_000, 600_000  # what a worker remembers
-BLOCK_BYTES = 16_000_000
+CHUNKS, PIECES = 500_000, 300_000  # what a worker remembers
+BLOCK_BYTES = 8_000_000
 _encoders: dict[str, "Encoder"] = {}
 
 

@@ -128,7 +128,7 @@ def fit(
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for block in blocks(batches, "text"):
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             sets = [
                 np.unique(features(t, known)).astype("<i4").tobytes()
@@ -169,7 +169,7 @@ def score(df: DataFrame, text: str, weights: Weights, into: str = "score") -> Da
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, known = weights.dense(), {}
         for block in blocks(batches, text):
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             sums = []
             for value in block.column(text).to_pylist():

@@ -54,7 +54,7 @@ def test_odd_rows(docs, rows):
     df = secrets.find_secrets(docs, "text", "_spans")
     got = sorted((r["text"] or "", [tuple(s) for s in r["_spans"]]) for r in df.collect())
     assert got == sorted((t or "", secrets.secret_spans(t)) for _, t, _ in rows)
-    masked = {r["doc_id"]: r["text"] for r in secrets.redact(df, "text", "_spans").collect()}
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs, "text").collect()}
     assert "q8Zk2" not in masked[11] and "AKIA" not in masked[11] and masked[11].startswith("Ünïcödé 日本語")
     assert masked[4] is None and masked[7] == dict((i, t) for i, t, _ in rows)[7]
 
@@ -63,7 +63,7 @@ def test_redact_overlaps(spark):
     text = "x password=b7db7aa4a5fcc78305ab0, y"
     df = secrets.find_secrets(spark.createDataFrame([(text,)], "text string"), "text")
     assert df.select(F.size("spans")).first()[0] == 2
-    assert secrets.redact(df, "text", "spans").first()["text"] == "x <secret>, y"
+    assert secrets.redact(df, "text").first()["text"] == "x <secret>, y"
 
 
 def test_listed(spark):
