@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from hirelens.llm.common import blocks, checkpoints, stored, words
-from hirelens.operators.skew import lookup
+from hirelens.operators.skew import HOT_KEYS, lookup
 
 WINDOW = 50
 SEED_WORDS = 12
@@ -213,6 +213,19 @@ def count_large_buckets(strings: DataFrame, kind: str, window: int) -> DataFrame
     return placed.groupBy("string").agg(ordered["low"].alias("lows"))
 
 
+def of_minimisers(kmers: DataFrame, shared: DataFrame) -> DataFrame:
+    """The super-k-mers with one of the ``shared`` minimisers (``minimiser, _n``).
+
+    The most frequent ones, a bounded number, are told by a broadcast and need no shuffle; any other
+    has less than a thousandth of the rows. ``kmers`` is a written table, so reading it twice is cheap.
+    """
+    hot = F.broadcast(shared.orderBy(F.desc("_n"), "minimiser").limit(HOT_KEYS).select("minimiser"))
+    rest = kmers.join(hot, "minimiser", "left_anti")
+    return kmers.join(hot, "minimiser", "left_semi").unionByName(
+        rest.join(shared, "minimiser", "left_semi")
+    )
+
+
 def repeated_windows(
     df: DataFrame, key: str, text: str, window: int = WINDOW, seed: int = SEED_WORDS
 ) -> DataFrame:
@@ -232,7 +245,8 @@ def repeated_windows(
         .filter("lo < hi")
         .select("minimiser", "_n")
     )
-    wanted = lookup(kmers, shared, "minimiser", "_n").filter("_n is not null")
+    shared = stored(shared, "shared-minimisers")
+    wanted = of_minimisers(kmers, shared)
     spans = wanted.groupBy("key", "copy").agg(
         F.collect_set(F.struct("minimiser", "first", "n")).alias("spans")
     )
@@ -242,9 +256,9 @@ def repeated_windows(
     )
     strings = stored(strings, "strings")
     sizes = strings.groupBy("minimiser").agg(F.count(F.lit(1)).alias("_n"))
-    sized = lookup(strings, sizes, "minimiser", "_n")
-    small = count_small_buckets(sized.filter(F.col("_n") <= PART), kind, window)
-    large = count_large_buckets(sized.filter(F.col("_n") > PART), kind, window)
+    over = stored(sizes.filter(F.col("_n") > PART), "large-buckets")
+    small = count_small_buckets(strings.join(over, "minimiser", "left_anti"), kind, window)
+    large = count_large_buckets(strings.join(over, "minimiser", "left_semi"), kind, window)
     met = packed.groupBy("string").agg(F.count(F.lit(1)).alias("_n"))
     lows = stored(small.unionByName(large).join(met, "string"), "lows")
     placed = lookup(packed.select("key", "copy", "first", "string"), lows, "string", "_n")
