@@ -193,7 +193,8 @@ def pack(
     bases = stored(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "bases")
     histogram = bases.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most limit rows
     runs = best_fit({r["length"]: r["n"] for r in histogram}, limit)
-    numbered = made.join(bases, ["part", "length"]).select(
+    # bases grow with the tasks, so they are not left to be broadcast
+    numbered = made.join(bases.hint("merge"), ["part", "length"]).select(
         F.col("key").alias(key),
         "piece",
         "start",

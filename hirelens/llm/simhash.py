@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import checkpoints, words
+from hirelens.llm.common import blocks, checkpoints, words
 from hirelens.operators.near_dup import connected_groups
 from hirelens.operators.skew import lookup
 
@@ -58,10 +58,10 @@ def fingerprints(df: DataFrame, key: str, text: str, shingle: int = 3) -> DataFr
     """
 
     def run(batches):
-        for batch in batches:
-            values = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            fps = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["key", "fp"])
+        for block in blocks(batches, "text"):
+            values = [fingerprint(t, shingle) for t in block.column("text").to_pylist()]
+            fps = pa.array(np.array(values, np.uint64).view(np.int64))
+            yield from block.select(["key"]).append_column("fp", fps).to_batches()
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
