@@ -28,6 +28,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,7 @@ from hirelens.operators.skew import HOT_KEYS, lookup
 WINDOW = 50
 SEED_WORDS = 12
 PART = 2000  # distinct strings that a bucket may have to be counted in one piece
+SQUEEZED = 3_000_000  # bytes of compressed texts that are opened at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -105,16 +107,36 @@ def find_super_kmers(rows: DataFrame, kind: str, window: int, seed: int) -> Data
     return rows.mapInArrow(run, f"key {kind}, copy bigint, minimiser bigint, first int, n int")
 
 
+def squeezed(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with its texts compressed one by one: less than half as much to shuffle."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for block in blocks(batches, text):
+            texts = block.column(text).to_pylist()
+            small = pa.array([None if t is None else compress(t.encode()) for t in texts], pa.binary())
+            yield from block.set_column(block.schema.get_field_index(text), text, small).to_batches()
+
+    fields = [T.StructField(f.name, T.BinaryType() if f.name == text else f.dataType) for f in df.schema]
+    return df.mapInArrow(run, T.StructType(fields))
+
+
+def unsqueezed(column: pa.ChunkedArray) -> list[str | None]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [None if t is None else expand(t).decode() for t in column.to_pylist()]
+
+
 def pack(rows: DataFrame, kind: str, window: int) -> DataFrame:
-    """``key, copy, minimiser, first, string, packed`` for rows of ``key, copy, text, spans``.
+    """``key, copy, minimiser, first, string, packed`` for rows of ``key, copy, text, spans``; texts
+    come compressed.
 
     ``string`` is a digest that names the packed words.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SQUEEZED):
             owner, minimiser, first, string, packed = [], [], [], [], []
-            texts, spans = (block.column(c).to_pylist() for c in ("text", "spans"))
+            texts, spans = unsqueezed(block.column("text")), block.column("spans").to_pylist()
             for i, text in enumerate(texts):
                 tokens = words(text)
                 for span in spans[i]:
@@ -250,7 +272,7 @@ def repeated_windows(
     spans = wanted.groupBy("key", "copy").agg(
         F.collect_set(F.struct("minimiser", "first", "n")).alias("spans")
     )
-    packed = stored(pack(rows.join(spans, ["key", "copy"]), kind, window), "packed")
+    packed = stored(pack(squeezed(rows, "text").join(spans, ["key", "copy"]), kind, window), "packed")
     strings = packed.groupBy("minimiser", "string").agg(
         F.min("key").alias("key"), F.first("packed").alias("packed")
     )
@@ -284,16 +306,17 @@ def remove_repeats(
     starts = repeated_windows(df, key, text, window, seed).select(
         F.col("key").alias("_key"), F.col("copy").alias("_copy"), F.col("starts").alias("_starts")
     )
-    rows = df.withColumn("_row_copy", F.xxhash64(text))
+    rows = squeezed(df.withColumn("_row_copy", F.xxhash64(text)), text)
     marked = rows.join(
         starts, (F.col(key) == F.col("_key")) & (F.col("_row_copy") == F.col("_copy")), "left"
     ).drop("_key", "_copy", "_row_copy")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, SQUEEZED):
             counts, removed, kept = [], [], []
             places = block.column("_starts").to_pylist()
-            for value, at in zip(block.column(text).to_pylist(), places):
+            texts = unsqueezed(block.column(text))
+            for value, at in zip(texts, places):
                 tokens = words(value)
                 counts.append(len(tokens))
                 if at:
@@ -305,6 +328,7 @@ def remove_repeats(
                 removed.append(counts[-1] - len(tokens))
                 kept.append(b" ".join(tokens).decode())
             out = block.drop_columns(["_starts"])
+            out = out.set_column(out.schema.get_field_index(text), text, pa.array(texts, pa.string()))
             out = out.append_column("_n_words", pa.array(counts, pa.int64()))
             out = out.append_column("_n_removed", pa.array(removed, pa.int64()))
             yield from out.append_column("_kept", pa.array(kept, pa.string())).to_batches()
