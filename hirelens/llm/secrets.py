@@ -4,7 +4,9 @@ The novelty of a candidate is the number of bytes that it adds to a zstandard st
 dictionary of code identifiers and the text around the candidate as its history. Names, words and
 anything the surroundings repeat cost little; a random string costs about its length. Candidates
 are strings of letters and digits behind a word that announces a secret; those that do not compress
-are reported. Other copies of the candidate itself are not history.
+are reported. The announcement holds for whatever follows such a string with only separators between
+(the entries of a list, the lines of a key), and for all of a block between BEGIN and END ... KEY.
+Other copies of the candidate itself are not history.
 """
 
 from __future__ import annotations
@@ -34,7 +36,10 @@ SENSITIVE = re.compile(
     r"pass|pwd|secret|token|key|credential|auth|bearer|session|cookie|signature|salt|license|connection",
     re.IGNORECASE | re.ASCII,
 )
-REACH = 48  # characters before a candidate in which the announcing word stands
+REACH = 48  # characters before a candidate, and the separators it stands behind, that may announce it
+SEPARATORS = re.compile(r"""[\s"'`,;\\\[\](){}]*""")  # between the parts of one secret or list
+KEY_BLOCK = re.compile(r"-{4,}\x20?(BEGIN|END)\x20[A-Z0-9\x20]{0,40}KEY(?:\x20BLOCK)?\x20?-{4,}", re.ASCII)
+REST = re.compile(r"\s*([A-Za-z0-9+/=]+)\s*")  # the last line of a key, however short
 AROUND = 1024  # characters on each side that are the compressor's history
 NOVELTY = 0.75  # added bytes per byte of the candidate, at least
 IDENTIFIERS = (
@@ -82,21 +87,57 @@ def added_bytes(value: bytes, history: bytes) -> int:
     return len(compressor.compress(value)) - len(compressor.compress(b""))
 
 
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """What stands between BEGIN and END ... KEY, by start."""
+    found, opened = [], -1
+    for m in KEY_BLOCK.finditer(text):
+        if m[1] == "BEGIN":
+            opened = m.end()
+        elif opened >= 0:
+            found.append((opened, m.start()))
+            opened = -1
+    return found
+
+
+def announced(text: str, start: int) -> bool:
+    """Whether a sensitive word stands shortly before a place, or before the separators in front of it."""
+    if SENSITIVE.search(text, max(0, start - REACH), start):
+        return True
+    before = start
+    while before and not text[before - 1].isalnum():
+        before -= 1
+    return bool(SENSITIVE.search(text, max(0, before - REACH), before))
+
+
 def novel_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Incompressible strings in a sensitive context that touch no base span."""
     found = []
+    blocks_left = key_blocks(text)[::-1]
+    ends = sorted((e for kind, _, e in base if kind != "hex"), reverse=True)
+    last = -1  # end of the last string in context: what follows it directly is in context too
     for m in CANDIDATE.finditer(text):
         value, (start, end) = m[0], m.span()
+        while blocks_left and blocks_left[-1][1] <= start:
+            blocks_left.pop()
+        while ends and ends[-1] <= start:
+            last = max(last, ends.pop())
         if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
             continue
-        if not SENSITIVE.search(text, max(0, start - REACH), start):
+        block = blocks_left[-1] if blocks_left and blocks_left[-1][0] <= start else None
+        follows = last >= 0 and SEPARATORS.fullmatch(text, last, start)
+        last = -1
+        if not (block or follows or announced(text, start)):
             continue
+        last = end
         if any(s < end and start < e for _, s, e in base):
             continue
         history = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
         cost = added_bytes(value.encode(), history.replace(value, "").encode())
         if cost >= NOVELTY * len(value):
             found.append(("novel", start, end))
+            rest = block and REST.fullmatch(text, end, block[1])
+            if rest and not CANDIDATE.fullmatch(rest[1]):
+                found.append(("novel", *rest.span(1)))
     return found
 
 
