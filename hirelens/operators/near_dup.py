@@ -1,9 +1,11 @@
 """Near-duplicate postings: word shingles, MinHash bands, connected groups.
 
 Two rows may be linked when all minima of one band agree, and are if their shingle sets are as alike
-as asked. No pair is ever listed: each band bucket holds its members against its smallest member
-only, those unlike it against the smallest among them, and so on, so a bucket with a third of all
-rows costs one row per member and round. Groups are then the connected parts.
+as asked. A band bucket holds its members against its smallest member; those alike to it in turn
+against the members not linked yet, a few in the first round and twice as many in each further one.
+What no member of a group is alike to meets the smallest among what is left, and so on. Members that
+are linked are asked no more, so a bucket of copies costs one row per member and round. Groups are
+then the connected parts.
 """
 
 from __future__ import annotations
@@ -13,10 +15,11 @@ from pyspark.sql import functions as F
 
 from hirelens.functions.text import bind
 from hirelens.functions.tokens import ngrams, tokenize
-from hirelens.operators.skew import lookup
+from hirelens.operators.skew import lookup, top_k
 from hirelens.session import shared_dir
 
 PRIME = 4_294_967_311  # smallest prime above 2^32
+ASKING = 256  # waiting members of a bucket that ask in one round, at most
 
 
 def coefficients(count: int) -> list[tuple[int, int]]:
@@ -138,30 +141,90 @@ def shingles(tokens: Column, n: int) -> Column:
 def verified_edges(buckets: DataFrame, sets: DataFrame, key: str, similarity: float) -> DataFrame:
     """Edges ``src, dst`` out of buckets whose ends have shingle sets of the given Jaccard similarity.
 
-    ``sets`` has ``key, shingles`` (hashes) for all members of buckets. Members are compared with
-    the smallest of their bucket; those that fail meet again under the smallest among them, until a
-    bucket has no two left. A round is linear in the members that are left, and a pair that several
-    buckets propose is judged once a round.
+    ``sets`` has ``key, shingles`` (hashes) for all members of buckets. The edges connect whatever
+    the alike pairs within buckets connect. A bucket searches one group at a time: its smallest open
+    member asks all open ones; those alike to it are linked and wait; waiting members ask the open
+    ones until none waits, then the smallest open one starts the next group. As all members of a
+    group ask before it is left, no pair across groups is missed. ``1 - Jaccard`` is a metric, so a
+    member asks only those whose distance to the start of the group differs from its own by at most
+    ``1 - similarity``; where the open ones are all too far from it, it need not ask. A pair that several buckets propose is judged once a round.
     """
-    left, found = buckets, []
+    radius = 1 - similarity + 1e-9
+    left = buckets.select(
+        key, "bucket", F.lit(None).cast("double").alias("far"), F.lit(False).alias("waits")
+    )
+    found, width = [], 1
     while True:
-        smallest = left.groupBy("bucket").agg(
-            F.min(key).alias("dst"), F.count(F.lit(1)).alias("n")
+        sizes = left.groupBy("bucket").agg(
+            F.min(F.when(~F.col("waits"), F.col(key))).alias("_start"),
+            F.min(F.when(~F.col("waits"), F.col("far"))).alias("_nearest"),
+            F.max(F.when(~F.col("waits"), F.col("far"))).alias("_farthest"),
+            F.count_if(~F.col("waits")).alias("_open"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        within = F.col("far").between(F.col("_nearest") - radius, F.col("_farthest") + radius)
+        reach = lookup(
+            left.filter("waits"), sizes.select("bucket", "_nearest", "_farthest", "n"), "bucket", "n"
+        )
+        waiting = top_k(reach.filter(within), ["bucket"], [F.col(key)], width)
+        waiting = waiting.groupBy("bucket").agg(
+            F.collect_list(F.struct(F.col(key).alias("key"), "far")).alias("_waiting")
+        )
+        first = F.array(F.struct(F.col("_start").alias("key"), F.lit(0.0).alias("far")))
+        asking = (
+            sizes.filter("_open > 0 and n > 1")
+            .join(waiting, "bucket", "left")
+            .select(
+                "bucket",
+                "n",
+                F.coalesce("_waiting", first).alias("_asking"),
+                F.col("_waiting").isNull().alias("_starts"),
+            )
         )
-        met = lookup(left, smallest.filter("n > 1"), "bucket", "n").filter(F.col(key) > F.col("dst"))
-        met = met.select(key, "bucket", "dst").checkpoint()
-        if met.isEmpty():
+        left = lookup(left, asking, "bucket", "n").filter("n is not null").drop("n").checkpoint()
+        if left.isEmpty():
             break
+        asks = F.exists("_asking", lambda a: a["key"] == F.col(key))
+        met = (
+            left.filter(~F.col("waits") & ~asks)
+            .select(key, "bucket", "far", "_starts", F.explode("_asking").alias("_a"))
+            .filter(F.col("_starts") | (F.abs(F.col("far") - F.col("_a.far")) <= radius))
+            .select(
+                key,
+                "bucket",
+                "_starts",
+                F.greatest(key, "_a.key").alias("src"),
+                F.least(key, "_a.key").alias("dst"),
+            )
+        )
         a = sets.select(F.col(key).alias("src"), F.col("shingles").alias("_a"))
         b = sets.select(F.col(key).alias("dst"), F.col("shingles").alias("_b"))
         both = F.size(F.array_intersect("_a", "_b"))
-        alike = both >= F.lit(similarity) * (F.size("_a") + F.size("_b") - both)
-        asked = met.select(F.col(key).alias("src"), "dst").distinct()
-        judged = asked.join(a, "src").join(b, "dst").select("src", "dst", alike.alias("alike"))
+        all_of = F.size("_a") + F.size("_b") - both
+        asked = met.select("src", "dst").distinct()
+        judged = asked.join(a, "src").join(b, "dst").select(
+            "src",
+            "dst",
+            (both >= F.lit(similarity) * all_of).alias("alike"),
+            (1 - both / all_of).alias("_far"),
+        )
         judged = judged.checkpoint()
         found.append(judged.filter("alike").select("src", "dst"))
-        failed = judged.filter("not alike").select(F.col("src").alias(key), "dst")
-        left = met.join(failed, [key, "dst"]).select(key, "bucket")
+        told = met.join(judged, ["src", "dst"]).groupBy(key, "bucket").agg(
+            F.max("alike").alias("_alike"), F.min(F.when(F.col("_starts"), F.col("_far"))).alias("_far")
+        )
+        left = (
+            left.filter(~asks & ~(F.col("_starts") & F.col("waits")))
+            .join(told, [key, "bucket"], "left")
+            .select(
+                key,
+                "bucket",
+                F.coalesce("_far", "far").alias("far"),
+                (F.col("waits") | F.coalesce("_alike", F.lit(False))).alias("waits"),
+            )
+            .checkpoint()
+        )
+        width = min(2 * width, ASKING)
     edges = left.sparkSession.createDataFrame([], edges_schema(sets, key))
     for part in found:
         edges = edges.union(part)

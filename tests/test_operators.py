@@ -396,6 +396,20 @@ def test_near_dup_members_meet_again_after_a_failure(spark):
     assert sorted(map(tuple, edges)) == [(2, 1), (4, 3)]
 
 
+def test_near_dup_star_with_the_largest_centre(spark):
+    """One bucket of edited copies that are alike only to the original, which has the largest id."""
+    n, whole = 4, 400
+    rows = [(i, [x for x in range(whole) if not 20 * i <= x < 20 * i + 20] + list(range(1000 + 50 * i, 1050 + 50 * i))) for i in range(n)]
+    rows += [(n, list(range(whole))), (n + 1, [5000])]
+    jaccard = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    assert all(jaccard(rows[n][1], r[1]) >= 0.8 for r in rows[:n])
+    assert all(jaccard(rows[0][1], r[1]) < 0.8 for r in rows[1:n])
+    buckets = spark.createDataFrame([(i, "b") for i, _ in rows], "id bigint, bucket string")
+    sets = spark.createDataFrame(rows, "id bigint, shingles array<bigint>")
+    edges = near_dup.verified_edges(buckets, sets, "id", 0.8).collect()
+    assert sorted(map(tuple, edges)) == [(n, i) for i in range(n)]
+
+
 def test_models_are_repeatable(spark, sf_dir):
     df = inputs.parsed_table(spark, sf_dir)
     df = df.select("doc_id", "role_type", tok.tokenize(c("job_description_raw")).alias("tokens"))
