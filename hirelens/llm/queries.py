@@ -9,11 +9,14 @@ import corpus_pipeline
 import public_tokenizers
 from hirelens.llm import (
     bpe,
+    fill_middle,
+    language_id,
     packing,
     permutation_index,
     quality_rules,
     secrets,
     simhash,
+    spelling,
     substring_dedup,
     token_files,
     toxicity,
@@ -113,6 +116,35 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(
+        documents(spark, sf_dir), "doc_id", "text", min_length=6, min_count=5, slip=199
+    )
+    return spelling.variants(words, ratio=5)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draw = fill_middle.Draw(seed=7, rate=100, spm=50)
+    out = fill_middle.fill_in_middle(documents(spark, sf_dir), "doc_id", "text", draw)
+    return fill_middle.restored(out).select(
+        F.col("key").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = language_id.fit(docs, "doc_id", "text", "lang")
+    return language_id.identify(docs.select("doc_id", "text"), "text", models).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -126,10 +158,14 @@ QUERIES = {
         op8_permutation_index,
         op9_html_wrapper,
         op10_secrets,
+        op11_spelling,
+        op12_fill_middle,
+        op13_language_id,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op12_fill_middle": fill_middle.ORACLE,
 }
