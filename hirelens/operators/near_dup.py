@@ -1,73 +1,30 @@
-"""Near-duplicate postings: word shingles, MinHash bands, connected groups.
-
-Two rows may be linked when all minima of one band agree, and are if their shingle sets are as alike
-as asked. A band bucket holds its members against its smallest member; those alike to it in turn
-against the members not linked yet, a few in the first round and twice as many in each further one.
-What no member of a group is alike to meets the smallest among what is left, and so on. Members that
-are linked are asked no more, so a bucket of copies costs one row per member and round. Groups are
-then the connected parts.
-"""
-
-from __future__ import annotations
+"""Near-duplicate postings: an exact set-similarity join that does not make all pairs of a group.
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+Texts are linked if their sets of word shingles are as alike as asked; groups are what links connect.
+``set_join`` finds all candidates. To keep large groups of near copies from meeting pair by pair,
+texts are first gathered into stars: MinHash bands propose a hub for a text, the distance decides.
+One minus the Jaccard similarity is a metric, so two stars can hold a linked pair only if their hubs
+are no further apart than the link and both radii allow. Stars that share a posting compare hubs; only
+where that leaves the question open do their members meet. MinHash saves work and decides nothing.
 
-from hirelens.functions.text import bind
-from hirelens.functions.tokens import ngrams, tokenize
-from hirelens.operators.skew import lookup, top_k
-from hirelens.session import shared_dir
+The number of steps is fixed, whatever the data; connecting links takes rounds that grow with the
+logarithm of the longest chain.
+"""
 
-PRIME = 4_294_967_311  # smallest prime above 2^32
-ASKING = 256  # waiting members of a bucket that ask in one round, at most
+from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 
-def coefficients(count: int) -> list[tuple[int, int]]:
-    """``(a, b)`` of the hash functions ``(a * h + b) mod PRIME``: a fixed sequence, a < 2^30."""
-    pairs, state = [], 1
-    for _ in range(count):
-        state = (state * 1_103_515_245 + 12_345) % 2**31
-        a = state % 2**30 | 1
-        state = (state * 1_103_515_245 + 12_345) % 2**31
-        pairs.append((a, state))
-    return pairs
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
+from hirelens.operators import set_join
+from hirelens.operators.skew import lookup
+from hirelens.session import new_path, shared_dir
 
-def shingle_hash(shingle: Column) -> Column:
-    """32-bit hash of a shingle: the first 8 hex digits of its MD5."""
-    return F.conv(F.substring(F.md5(shingle), 1, 8), 16, 10).cast("bigint")
-
-
-def band_buckets(
-    df: DataFrame,
-    key: str,
-    text: Column,
-    shingle: int = 3,
-    bands: int = 8,
-    rows: int = 4,
-    only: DataFrame | None = None,
-) -> DataFrame:
-    """``key, bucket`` for every row with at least one shingle, or just for the keys in ``only``.
-
-    The minima are plain aggregates over exploded hashes: they combine within the task that read
-    the row, so what is shuffled is one row of minima per text, not its shingles and not the text.
-    ``only`` is applied to the minima, which are already partitioned by key.
-    """
-    hashes = df.select(
-        key, F.explode(shingles(tokenize(text), shingle)).alias("s")
-    ).select(key, shingle_hash(F.col("s")).alias("h"))
-    minima = [
-        F.min((F.lit(a) * F.col("h") + F.lit(b)) % F.lit(PRIME)).alias(f"m{i}")
-        for i, (a, b) in enumerate(coefficients(bands * rows))
-    ]
-    signed = hashes.groupBy(key).agg(*minima)
-    if only is not None:
-        signed = signed.join(only, key, "left_semi")
-    buckets = [
-        F.md5(F.concat_ws(",", F.lit(band), *[f"m{band * rows + r}" for r in range(rows)]))
-        for band in range(bands)
-    ]
-    return signed.select(key, F.explode(F.array(*buckets)).alias("bucket"))
+SLACK = 1e-9  # for distances that are exactly at a bound
 
 
 def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -103,16 +60,16 @@ def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         )
         return linked.filter("src != dst").distinct()
 
-    def fingerprint(e: DataFrame):
-        return e.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))
-        ).first()
+    def kept(e: DataFrame):
+        """``e`` written, and a fingerprint of its rows, from one pass."""
+        told = Observation()
+        rows = F.count(F.lit(1)).alias("n")
+        hashes = F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("hashes")
+        return e.observe(told, rows, hashes).checkpoint(), told.get
 
-    current = edges.select("src", "dst").distinct().checkpoint()
-    before = fingerprint(current)
+    current, before = kept(edges.select("src", "dst").distinct())
     for _ in range(max_rounds):
-        current = small_star(large_star(current)).checkpoint()
-        after = fingerprint(current)
+        current, after = kept(small_star(large_star(current)))
         if after == before:
             break
         before = after
@@ -126,114 +83,173 @@ def connected_groups(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return members.union(centres)
 
 
-def shingles(tokens: Column, n: int) -> Column:
-    """Distinct shingles of a text; one with fewer than ``n`` tokens has all of them as its only one."""
+def coefficients(count: int) -> np.ndarray:
+    """``(a, b)`` of the hash functions ``a * h + b`` modulo 2^64: a fixed sequence, ``a`` odd."""
+    state = np.arange(1, 2 * count + 1, dtype=np.uint64) * set_join.ODD
+    state = (state ^ (state >> np.uint64(30))) * set_join.MIX
+    return (state ^ (state >> np.uint64(27))).reshape(count, 2) | np.array([1, 0], np.uint64)
+
+
+def minima(hashes: np.ndarray, functions: np.ndarray) -> np.ndarray:
+    """The smallest value of each function over the hashes of a set."""
+    least = np.full(len(functions), ~np.uint64(0))
+    for start in range(0, len(hashes), 1 << 14):
+        part = hashes[start : start + (1 << 14), None] * functions[:, 0] + functions[:, 1]
+        least = np.minimum(least, part.min(axis=0))
+    return least
+
+
+def profile(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """From one reading of ``key, text``: rows ``key, bucket``, one per band, and rows ``shard, counts``
+    of the shingle counters. Of equal texts of a task one is looked at."""
+    kind = df.schema["key"].dataType.simpleString()
+    names = ["key", "bucket", "shard", "counts"]
+    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    types = [key_type, pa.int64(), pa.int32(), pa.binary()]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, seen, functions = set_join.Shingler(shingle), set_join.Counters(), coefficients(bands * rows)
+        keys, found = [], []
+
+        def banded():
+            columns = [
+                pa.array(keys, key_type).take(pa.array(np.repeat(np.arange(len(keys)), bands))),
+                pa.array(np.concatenate(found).view(np.int64)),
+                pa.nulls(len(keys) * bands, pa.int32()),
+                pa.nulls(len(keys) * bands, pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for key, text in set_join.texts(batches, once=True):
+            hashes = shingles(text)
+            if not len(hashes):
+                continue
+            seen.add(hashes)
+            bucket = np.arange(bands, dtype=np.uint64)
+            for least in minima(hashes, functions).reshape(rows, bands):
+                bucket = (bucket ^ (bucket >> np.uint64(31)) ^ least) * set_join.ODD
+            keys.append(key)
+            found.append(bucket)
+            if len(keys) == 10_000:
+                yield banded()
+                keys.clear()
+                found.clear()
+        if keys:
+            yield banded()
+        for shard, blob in seen.rows():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip((None, None, shard, blob), types)], names=names
+            )
 
-    def of(ts: Column) -> Column:
-        short = F.when(F.size(ts) > 0, F.array(F.array_join(ts, " "))).otherwise(
-            F.array().cast("array<string>")
-        )
-        return F.when(F.size(ts) >= n, F.array_distinct(ngrams(ts, n))).otherwise(short)
+    return df.select("key", "text").mapInArrow(
+        run, f"key {kind}, bucket bigint, shard int, counts binary"
+    )
 
-    return bind(tokens, of)
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, worked out once."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def verified_edges(buckets: DataFrame, sets: DataFrame, key: str, similarity: float) -> DataFrame:
-    """Edges ``src, dst`` out of buckets whose ends have shingle sets of the given Jaccard similarity.
 
-    ``sets`` has ``key, shingles`` (hashes) for all members of buckets. The edges connect whatever
-    the alike pairs within buckets connect. A bucket searches one group at a time: its smallest open
-    member asks all open ones; those alike to it are linked and wait; waiting members ask the open
-    ones until none waits, then the smallest open one starts the next group. As all members of a
-    group ask before it is left, no pair across groups is missed. ``1 - Jaccard`` is a metric, so a
-    member asks only those whose distance to the start of the group differs from its own by at most
-    ``1 - similarity``; where the open ones are all too far from it, it need not ask. A pair that several buckets propose is judged once a round.
-    """
-    radius = 1 - similarity + 1e-9
-    left = buckets.select(
-        key, "bucket", F.lit(None).cast("double").alias("far"), F.lit(False).alias("waits")
+def star_pairs(buckets: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``src, dst``: each text with the smallest one of each of its buckets."""
+    buckets = as_first(buckets.select("key", "bucket"), firsts).distinct()
+    hubs = buckets.groupBy("bucket").agg(F.min("key").alias("dst"), F.count(F.lit(1)).alias("n"))
+    met = lookup(buckets, hubs.filter("n > 1"), "bucket", "n").filter("dst < key")
+    return met.select(F.col("key").alias("src"), "dst").distinct()
+
+
+def as_first(df: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``df`` with every key replaced by that of the first equal text."""
+    renamed = df.join(firsts, "key", "left").withColumn("key", F.coalesce("first", "key"))
+    return renamed.select(*df.columns)
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """``key, hub, far`` for texts that are linked to a hub: the nearest hub, the smallest of these."""
+    near = F.min(F.struct("far", "dst"))
+    best = links.groupBy(F.col("src").alias("key")).agg(near.alias("near"))
+    return best.select("key", F.col("near.dst").alias("hub"), F.col("near.far").alias("far"))
+
+
+def open_stars(posted: DataFrame, similarity: float) -> DataFrame:
+    """``src, dst`` (hubs): stars of which some members share a posting that leaves room for a link."""
+    ends = posted.groupBy("token", "hub").agg(
+        F.min("size").alias("least"), F.max("size").alias("most")
     )
-    found, width = [], 1
-    while True:
-        sizes = left.groupBy("bucket").agg(
-            F.min(F.when(~F.col("waits"), F.col(key))).alias("_start"),
-            F.min(F.when(~F.col("waits"), F.col("far"))).alias("_nearest"),
-            F.max(F.when(~F.col("waits"), F.col("far"))).alias("_farthest"),
-            F.count_if(~F.col("waits")).alias("_open"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        within = F.col("far").between(F.col("_nearest") - radius, F.col("_farthest") + radius)
-        reach = lookup(
-            left.filter("waits"), sizes.select("bucket", "_nearest", "_farthest", "n"), "bucket", "n"
-        )
-        waiting = top_k(reach.filter(within), ["bucket"], [F.col(key)], width)
-        waiting = waiting.groupBy("bucket").agg(
-            F.collect_list(F.struct(F.col(key).alias("key"), "far")).alias("_waiting")
-        )
-        first = F.array(F.struct(F.col("_start").alias("key"), F.lit(0.0).alias("far")))
-        asking = (
-            sizes.filter("_open > 0 and n > 1")
-            .join(waiting, "bucket", "left")
-            .select(
-                "bucket",
-                "n",
-                F.coalesce("_waiting", first).alias("_asking"),
-                F.col("_waiting").isNull().alias("_starts"),
-            )
-        )
-        left = lookup(left, asking, "bucket", "n").filter("n is not null").drop("n").checkpoint()
-        if left.isEmpty():
-            break
-        asks = F.exists("_asking", lambda a: a["key"] == F.col(key))
-        met = (
-            left.filter(~F.col("waits") & ~asks)
-            .select(key, "bucket", "far", "_starts", F.explode("_asking").alias("_a"))
-            .filter(F.col("_starts") | (F.abs(F.col("far") - F.col("_a.far")) <= radius))
-            .select(
-                key,
-                "bucket",
-                "_starts",
-                F.greatest(key, "_a.key").alias("src"),
-                F.least(key, "_a.key").alias("dst"),
-            )
-        )
-        a = sets.select(F.col(key).alias("src"), F.col("shingles").alias("_a"))
-        b = sets.select(F.col(key).alias("dst"), F.col("shingles").alias("_b"))
-        both = F.size(F.array_intersect("_a", "_b"))
-        all_of = F.size("_a") + F.size("_b") - both
-        asked = met.select("src", "dst").distinct()
-        judged = asked.join(a, "src").join(b, "dst").select(
-            "src",
-            "dst",
-            (both >= F.lit(similarity) * all_of).alias("alike"),
-            (1 - both / all_of).alias("_far"),
-        )
-        judged = judged.checkpoint()
-        found.append(judged.filter("alike").select("src", "dst"))
-        told = met.join(judged, ["src", "dst"]).groupBy(key, "bucket").agg(
-            F.max("alike").alias("_alike"), F.min(F.when(F.col("_starts"), F.col("_far"))).alias("_far")
-        )
-        left = (
-            left.filter(~asks & ~(F.col("_starts") & F.col("waits")))
-            .join(told, [key, "bucket"], "left")
-            .select(
-                key,
-                "bucket",
-                F.coalesce("_far", "far").alias("far"),
-                (F.col("waits") | F.coalesce("_alike", F.lit(False))).alias("waits"),
-            )
-            .checkpoint()
-        )
-        width = min(2 * width, ASKING)
-    edges = left.sparkSession.createDataFrame([], edges_schema(sets, key))
-    for part in found:
-        edges = edges.union(part)
-    return edges
+    a = ends.select("token", F.col("hub").alias("src"), F.col("least").alias("a0"), F.col("most").alias("a1"))
+    b = ends.select("token", F.col("hub").alias("dst"), F.col("least").alias("b0"), F.col("most").alias("b1"))
+    fits = f"src > dst and a1 >= {similarity} * b0 - 1e-9 and b1 >= {similarity} * a0 - 1e-9"
+    return a.join(b, "token").filter(fits).select("src", "dst").distinct()
 
 
-def edges_schema(sets: DataFrame, key: str) -> str:
-    kind = sets.schema[key].dataType.simpleString()
-    return f"src {kind}, dst {kind}"
+def member_pairs(posted: DataFrame, near: DataFrame, similarity: float) -> DataFrame:
+    """``src, dst``: texts of two stars that share a posting and that no bound keeps apart.
+
+    ``near`` has ``src, dst`` (hubs) and their distance ``far``.
+    """
+    sides = near.select(F.col("src").alias("ha"), F.col("dst").alias("hb"), F.col("far").alias("between"))
+    wanted = near.select(F.col("src").alias("hub")).union(near.select("dst")).distinct()
+    some = posted.join(wanted, "hub", "left_semi")
+    a, b = (some.select("token", F.struct("key", "hub", "far", "size", "place").alias(n)) for n in "ab")
+    met = a.join(b, "token").filter("a.hub > b.hub").filter(set_join.may_be_alike(similarity))
+    met = met.select(
+        F.col("a.key").alias("src"),
+        F.col("b.key").alias("dst"),
+        F.col("a.hub").alias("ha"),
+        F.col("b.hub").alias("hb"),
+        (F.col("a.far") + F.col("b.far")).alias("reach"),
+    ).distinct()
+    left = met.join(sides, ["ha", "hb"]).filter(f"between - reach <= {1 - similarity + SLACK}")
+    return left.filter("not (src = ha and dst = hb)").select("src", "dst")
+
+
+def alike(df: DataFrame, similarity: float, shingle: int, bands: int, rows: int, firsts: DataFrame) -> DataFrame:
+    """Links ``src, dst`` between texts of ``df`` (``key, text``) that connect whatever the pairs with
+    at least the given Jaccard similarity connect.
+
+    ``firsts`` names the first of equal texts (``key, first``; ``key`` without it stands for itself).
+    """
+    most = 1 - similarity + SLACK
+    read = written(profile(df, shingle, bands, rows), "profile")
+    table = set_join.levels(read.filter("shard is not null"))
+    posted = as_first(set_join.postings(df, shingle, similarity, table), firsts)
+    posted = written(posted, "postings")
+
+    # texts and hubs
+    pairs = written(star_pairs(read.filter("shard is null"), firsts), "pairs")
+    asked = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+    sets = set_join.shingle_sets(df, asked, shingle)
+    linked = written(set_join.distances(pairs, sets).filter(F.col("far") <= most), "linked")
+    members = stars(linked)
+    radius = members.groupBy("hub").agg(F.max("far").alias("radius"))
+
+    # hubs and hubs
+    placed = posted.join(members, "key", "left").select(
+        *posted.columns, F.coalesce("hub", "key").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")
+    )
+    apart = open_stars(placed, similarity).join(linked, ["src", "dst"], "left_anti")
+    apart = written(apart, "apart")
+    asked = apart.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+    sets = set_join.shingle_sets(df, asked, shingle)
+    of_src = radius.select(F.col("hub").alias("src"), F.col("radius").alias("r_src"))
+    of_dst = radius.select(F.col("hub").alias("dst"), F.col("radius").alias("r_dst"))
+    room = F.coalesce("r_src", F.lit(0.0)) + F.coalesce("r_dst", F.lit(0.0))
+    hubs = set_join.distances(apart, sets).join(of_src, "src", "left").join(of_dst, "dst", "left")
+    hubs = hubs.filter(F.col("far") <= room + most).select("src", "dst", "far", room.alias("room"))
+    hubs = written(hubs, "hubs")
+    links = linked.select("src", "dst").union(hubs.filter(F.col("far") <= most).select("src", "dst"))
+
+    # members of stars whose hubs leave it open
+    near = hubs.filter((F.col("far") > most) & (F.col("room") > 0))
+    if near.isEmpty():
+        return links
+    pairs = written(member_pairs(placed, near, similarity), "pairs")
+    asked = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+    sets = set_join.shingle_sets(df, asked, shingle)
+    return links.union(set_join.distances(pairs, sets).filter(F.col("far") <= most).select("src", "dst"))
 
 
 def near_dup(
@@ -242,31 +258,28 @@ def near_dup(
     text: Column,
     similarity: float = 0.8,
     shingle: int = 3,
-    bands: int = 16,
+    bands: int = 8,
     rows: int = 4,
 ) -> DataFrame:
     """``key, group`` for all rows: the smallest key of the row's group, itself if it is alone.
 
-    Equal texts are folded into one by their hash before buckets are made, so copies cost nothing
-    further on. A bucket only proposes a link; it counts if the shingle sets have the given Jaccard
-    similarity. Only texts that share a bucket with another one are read for that. Pairs right at
-    the similarity are proposed with probability ``1 - (1 - similarity^rows)^bands``.
+    Equal texts are one group, whatever they hold. Other texts are linked if their shingle sets have
+    the given Jaccard similarity, so those without a word stay apart; null texts are equal. A null
+    key stays alone. No pair is missed: bands and rows change only the work.
     """
     shared_dir(df.sparkSession)
-    hashed = df.select(key, F.md5(text).alias("_content"))
-    copies = hashed.groupBy("_content").agg(
-        F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")
+    given = df.select(F.col(key).alias("key"), text.cast("string").alias("text"))
+    hashed = given.select("key", F.md5(F.coalesce("text", F.lit("\0null"))).alias("content"))
+    copies = hashed.groupBy("content").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"))
+    hashed = written(lookup(hashed, copies, "content", "n").select("key", "first"), "firsts")
+    firsts = hashed.filter("key <> first").distinct()
+    known = given.filter("key is not null and text is not null")
+    groups = connected_groups(alike(known, similarity, shingle, bands, rows, firsts))
+    sizes = hashed.groupBy("first").agg(F.count(F.lit(1)).alias("n"))
+    labelled = sizes.join(groups, F.col("first") == F.col("node"), "left").select(
+        "first", "n", F.coalesce("group", "first").alias("group")
     )
-    firsts = copies.select(F.col("_first").alias(key))
-    buckets = band_buckets(df, key, text, shingle, bands, rows, firsts).checkpoint()
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    proposed = lookup(buckets, shared, "bucket", "n").filter("n is not null").select(key, "bucket")
-    proposed = proposed.checkpoint()
-    asked = df.join(proposed.select(key).distinct(), key, "left_semi")
-    hashes = F.transform(shingles(tokenize(text), shingle), lambda g: F.xxhash64(g))
-    sets = asked.select(key, hashes.alias("shingles")).checkpoint()
-    groups = connected_groups(verified_edges(proposed, sets, key, similarity))
-    labelled = copies.join(groups, F.col("_first") == F.col("node"), "left").select(
-        "_content", "_n", F.coalesce("group", "_first").alias("group")
+    found = lookup(hashed, labelled, "first", "n").select(
+        F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.col("group")).alias("group")
     )
-    return lookup(hashed, labelled, "_content", "_n").select(key, "group")
+    return found

@@ -6,13 +6,14 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Row
 
 from hirelens import schemas
 from hirelens.functions import tokens as tok
-from hirelens.operators import corpus, history, market, models, near_dup, postings, profiles, quality, skew
+from hirelens.operators import corpus, history, market, models, near_dup, postings, profiles, quality, set_join, skew
 from hirelens.plans import inputs
 from hirelens.session import new_path, shared_dir
 from hirelens.sources import archive, sinks
@@ -388,26 +389,97 @@ def test_near_dup_against_all_pairs(spark):
     assert group[12] == 0 and group[17] == 0 and group[21] == 19
 
 
-def test_near_dup_members_meet_again_after_a_failure(spark):
-    """One bucket: 0 is unlike all others, which are alike among themselves."""
-    buckets = spark.createDataFrame([(i, "b") for i in range(5)], "id bigint, bucket string")
-    sets = spark.createDataFrame([(0, [0]), (1, [1, 2, 3, 4, 5]), (2, [1, 2, 3, 4, 5]), (3, [9]), (4, [9])], "id bigint, shingles array<bigint>")
-    edges = near_dup.verified_edges(buckets, sets, "id", 0.8).collect()
-    assert sorted(map(tuple, edges)) == [(2, 1), (4, 3)]
+def _groups(texts, similarity=0.8):
+    """Smallest place over links, all pairs looked at; ``None`` stands for null."""
+    group = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        same = texts[a] == texts[b] or (None not in (texts[a], texts[b]) and _jaccard(texts[a], texts[b]) >= similarity)
+        if same and group[a] != group[b]:
+            old, new = max(group[a], group[b]), min(group[a], group[b])
+            group = [new if g == old else g for g in group]
+    return dict(enumerate(group))
+
+
+def _near_dup(spark, texts, **settings):
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string").repartition(3)
+    return {r.id: r.group for r in near_dup.near_dup(df, "id", c("t"), **settings).collect()}
+
+
+def _star(n, whole=400, cut=20, own=50):
+    """An original, last, and copies that are alike only to it: each lacks one part and has words of its own."""
+    words = [f"w{i}" for i in range(whole)]
+    copies = []
+    for i in range(n):
+        at = cut * i
+        copies.append(" ".join(words[:at] + words[at + cut :] + [f"own{i}x{j}" for j in range(own)]))
+    return [*copies, " ".join(words), "something else entirely"]
 
 
 def test_near_dup_star_with_the_largest_centre(spark):
-    """One bucket of edited copies that are alike only to the original, which has the largest id."""
-    n, whole = 4, 400
-    rows = [(i, [x for x in range(whole) if not 20 * i <= x < 20 * i + 20] + list(range(1000 + 50 * i, 1050 + 50 * i))) for i in range(n)]
-    rows += [(n, list(range(whole))), (n + 1, [5000])]
-    jaccard = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
-    assert all(jaccard(rows[n][1], r[1]) >= 0.8 for r in rows[:n])
-    assert all(jaccard(rows[0][1], r[1]) < 0.8 for r in rows[1:n])
-    buckets = spark.createDataFrame([(i, "b") for i, _ in rows], "id bigint, bucket string")
-    sets = spark.createDataFrame(rows, "id bigint, shingles array<bigint>")
-    edges = near_dup.verified_edges(buckets, sets, "id", 0.8).collect()
-    assert sorted(map(tuple, edges)) == [(n, i) for i in range(n)]
+    texts = _star(12)
+    assert _groups(texts) == {**dict.fromkeys(range(13), 0), 13: 13}
+    assert all(_jaccard(a, b) < 0.8 for a, b in itertools.combinations(texts[:12], 2))
+    assert _near_dup(spark, texts) == _groups(texts)
+
+
+@pytest.mark.parametrize("seed, bands, block", [(1, 8, 50_000), (2, 1, 50_000), (3, 4, 4), (4, 8, 4)])
+def test_near_dup_around_the_bound(spark, monkeypatch, seed, bands, block):
+    """Families of texts with similarities on both sides of the bound, few hubs, lists in blocks."""
+    monkeypatch.setattr(set_join, "BLOCK", block)
+    rng = random.Random(seed)
+    texts = [None, "", "one", "One!", "one two", None, "?", "?"]
+    for family in range(6):
+        frame = [f"f{rng.randrange(60)}" for _ in range(50)]
+        for _ in range(14):
+            words = list(frame)
+            for _ in range(rng.randrange(6)):
+                words[rng.randrange(len(words))] = f"f{rng.randrange(60)}"
+            texts.append(" ".join(words[: rng.randrange(44, 51)]))
+    rng.shuffle(texts)
+    assert _near_dup(spark, texts, bands=bands, rows=2) == _groups(texts)
+
+
+def test_near_dup_odd_tables(spark):
+    schema = "id string, t string, key int, group int, text int"
+    rows = [("a", "x y z", 1, 1, 1), ("a", "x y z", 1, 1, 1), ("b", "x y z", 2, 2, 2), (None, "x y z", 3, 3, 3), (None, None, 4, 4, 4)]
+    got = near_dup.near_dup(spark.createDataFrame(rows, schema), "id", c("t")).collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", "a"), ("a", "a"), ("b", "a"), (None, None), (None, None)]
+    assert near_dup.near_dup(spark.createDataFrame([], schema), "id", c("t")).count() == 0
+
+
+def test_near_dup_steps_do_not_grow_with_unlike_members(spark):
+    """A common frame puts all texts in common buckets and lists; only connecting links takes rounds."""
+    frame = " ".join(f"w{i}" for i in range(30))
+    sizes = []
+    for n in (4, 32):
+        texts = [f"{frame} " + " ".join(f"own{i}x{j}" for j in range(15)) for i in range(n)]
+        assert _jaccard(texts[0], texts[1]) < 0.7
+        df = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string").repartition(2)
+        none = spark.createDataFrame([], "key bigint, first bigint")
+        name = f"near-dup-{n}"
+        spark.sparkContext.setJobGroup(name, name)
+        assert near_dup.alike(df, 0.8, 3, 8, 1, none).count() == 0
+        sizes.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sizes[1] <= sizes[0] + 2
+
+
+def test_prefix_keeps_every_alike_pair():
+    """Whatever the order of the shingles, alike sets share one in their prefixes, at fitting places."""
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        a = rng.choice(60, n, replace=False)
+        b = np.unique(np.append(rng.choice(a, max(1, n - int(rng.integers(0, 4))), replace=False), rng.choice(60, int(rng.integers(0, 3)))))
+        same = len(np.intersect1d(a, b))
+        if same / (len(a) + len(b) - same) < 0.8:
+            continue
+        order = rng.permutation(60)
+        a, b = (sorted(x, key=lambda v: order[v]) for x in (a, b))
+        heads = [x[: set_join.prefix_length(len(x), 0.8)] for x in (a, b)]
+        places = [(i, heads[1].index(v)) for i, v in enumerate(heads[0]) if v in heads[1]]
+        fits = [min(i, j) + min(len(a) - i, len(b) - j) >= 0.8 / 1.8 * (len(a) + len(b)) - 1e-6 for i, j in places]
+        assert fits and all(fits)
 
 
 def test_models_are_repeatable(spark, sf_dir):
