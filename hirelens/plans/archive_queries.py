@@ -60,7 +60,7 @@ def write_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "parsed")
     sinks.write_parsed(inputs.parsed(spark, sf_dir).drop("text"), path)
-    back = spark.read.schema(schemas.PARSED_JOB).json(path)
+    back = archive.scan_parsed(spark, path)
     return back.select(
         "job_url", "scrape_timestamp", "role_type",
         F.array_join("skills_required", "|").alias("skills_required"),
@@ -76,7 +76,7 @@ def write_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and list cells in the versioned and in the latest copy."""
     paths = sinks.write_dataset(_parsed_only(spark, sf_dir), new_path(spark, "dataset"), NOW)
     versions = archive.scan_dataset(spark, paths["parquet"]).drop("run_ts")
-    latest = spark.read.schema(versions.schema).parquet(paths["parquet_latest"])
+    latest = archive.scan_latest(spark, paths["parquet"]).select(versions.columns)
     both = versions.withColumn("copy", F.lit("versions")).union(
         latest.withColumn("copy", F.lit("latest"))
     )
@@ -125,7 +125,7 @@ def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "report")
     report = _report(spark, sf_dir)
     sinks.write_report(report, path)
-    back = spark.read.schema(report.schema).json(path)
+    back = archive.scan_reports(spark, path, report.schema)
     return back.select(
         "timestamp",
         "schema_version",

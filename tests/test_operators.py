@@ -16,7 +16,7 @@ from hirelens.functions import tokens as tok
 from hirelens.operators import corpus, history, market, models, near_dup, postings, profiles, quality, set_join, skew
 from hirelens.plans import inputs
 from hirelens.session import new_path, shared_dir
-from hirelens.sources import archive, sinks
+from hirelens.sources import archive, array_files, sinks
 from hirelens.streaming import arrivals
 
 c = F.col
@@ -206,6 +206,99 @@ def test_array_files_and_broken_files(spark, tmp_path):
     assert bad.file.endswith("bad.json")
 
 
+def _array_file(n, seed):
+    """Records whose texts hold brackets, quotes, escapes and line breaks."""
+    rng = random.Random(seed)
+    odd = ['}', '{', '"', "\\", "[", "]", ",", "\n", "é", "😀", "}, {", '\\"}', "word ", "\u2028"]
+    return [
+        {"scraper_version": "".join(rng.choices(odd, k=rng.randrange(40))), "job_identity": {"job_id_raw": f"{i}", "job_url": "}" * (i % 3)}}
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_file_is_read_by_many_tasks(spark, tmp_path, indent):
+    """Ranges of 300 bytes: within strings, escapes and records, across several ranges."""
+    files = {f"f{k}.json": _array_file(n, k) for k, n in enumerate([300, 1, 0, 40])}
+    files["long.json"] = [{"scraper_version": "x}" * 2000, "job_identity": {"job_id_raw": "long", "job_url": "u"}}] * 3
+    for name, rows in files.items():
+        (tmp_path / name).write_text(json.dumps(rows, indent=indent, ensure_ascii=indent is None))
+    (tmp_path / "one.json").write_text(json.dumps(files["f1.json"][0], indent=indent))
+    (tmp_path / "torn.json").write_text(json.dumps(files["f3.json"], indent=indent)[:-8])
+    (tmp_path / "blank.json").write_text(" \n")
+    settings = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = archive.scan_raw_jobs(spark, str(tmp_path), array_files=True)
+        got = sorted((r.job_identity.job_id_raw, r.scraper_version, r.job_identity.job_url) for r in df.collect())
+        bad = archive.corrupt_rows(spark, str(tmp_path), array_files=True).collect()
+        tasks = array_files.read_text(spark, str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = [r for rows in files.values() for r in rows] + files["f1.json"] + files["f3.json"][:-1]
+    assert got == sorted((r["job_identity"]["job_id_raw"], r["scraper_version"], r["job_identity"]["job_url"]) for r in rows)
+    assert [r.file.rsplit("/", 1)[1] for r in bad] == ["torn.json"] and tasks > 50
+
+
+def test_sinks_replace_a_run(spark, tmp_path):
+    """Writing a run again replaces it in every sink, other runs stay, an empty run empties its own."""
+    def raw(run, n):
+        meta = Row(search_keyword="Data Scientist", search_location="x", scrape_timestamp=run, user_agent_used="a")
+        rows = [(meta, Row(job_id_raw=f"{run}{i}", job_url="u")) for i in range(n)]
+        df = spark.createDataFrame(rows, "scrape_metadata struct<search_keyword string, search_location string, scrape_timestamp string, user_agent_used string>, job_identity struct<job_id_raw string, job_url string>")
+        return schemas.conform(df, schemas.RAW_JOB)
+
+    for fmt in ("json", "parquet"):
+        path = f"{tmp_path}/jobs-{fmt}"
+        for run, n in (("2026-02-01T10:00:00", 5), (None, 2), ("2026-02-02T10:00:00", 4), ("2026-02-01T10:00:00", 3)):
+            sinks.write_raw_jobs(raw(run, n), path, fmt)
+        got = archive.scan_raw_jobs(spark, path, fmt).groupBy("scrape_metadata.scrape_timestamp").count().collect()
+        assert {tuple(r) for r in got} == {("2026-02-01T10:00:00", 3), ("2026-02-02T10:00:00", 4), (None, 2)}
+    cards = schemas.conform(spark.createDataFrame([("t",), ("s",)], "raw_title string"), schemas.CARD)
+    for df, run in ((cards, ""), (cards, "r1"), (cards.limit(1), "r1"), (cards, "r2"), (cards.limit(0), "r2")):
+        sinks.write_raw_listings(df, f"{tmp_path}/cards", run)
+    assert archive.scan_listings(spark, f"{tmp_path}/cards").count() == 3
+    parsed = schemas.conform(spark.createDataFrame([("t", "2026-02-01")], "raw_title string, scrape_timestamp string"), schemas.PARSED_JOB)
+    for _ in range(2):
+        sinks.write_parsed(parsed, f"{tmp_path}/parsed")
+    assert archive.scan_parsed(spark, f"{tmp_path}/parsed").collect() == parsed.collect()
+    report = spark.createDataFrame([("now", 1)], "timestamp string, n int")
+    for n in (1, 2):
+        sinks.write_report(report.withColumn("n", F.lit(n)), f"{tmp_path}/report")
+    assert [r.n for r in archive.scan_reports(spark, f"{tmp_path}/report", report.schema).collect()] == [2]
+
+
+def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    """Tasks that fail midway, and a driver that ends between data and commit: readers see the run before."""
+    whole = schemas.conform(spark.range(8).select(F.lit("v1").alias("scrape_timestamp"), c("id").cast("string").alias("raw_title")), schemas.PARSED_JOB)
+    path = str(tmp_path)
+    version = {"dataset_version": F.lit("1")}
+    paths = sinks.write_dataset(whole.withColumns(version), path, "r1")
+
+    def seen():
+        return archive.scan_dataset(spark, paths["parquet"]).count(), archive.scan_latest(spark, paths["parquet"]).count()
+
+    assert seen() == (8, 8)
+    broken = whole.withColumns(version).repartition(4).withColumn(
+        "raw_title", F.when(c("raw_title") == "7", F.raise_error(F.lit("lost"))).otherwise(c("raw_title"))
+    )
+    for run in ("r1", "r2"):
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_dataset(broken, path, run)
+        assert seen() == (8, 8)
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks.runs, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            sinks.write_dataset(whole.withColumns(version).limit(2), path, "r1")
+    assert seen() == (8, 8) and spark.read.parquet(paths["parquet_latest"]).count() == 8
+    sinks.write_dataset(whole.withColumns(version).limit(3), path, "r1")
+    assert seen() == (3, 3)
+    assert spark.read.parquet(paths["parquet_latest"]).count() == 8  # a reader of the older state goes on
+
+
 def test_nested_pruning_from_parquet(spark, sf_dir):
     path = new_path(spark, "pruned")
     sinks.write_raw_jobs(inputs.raw_jobs(spark, sf_dir), path, "parquet")
