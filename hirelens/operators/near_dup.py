@@ -258,8 +258,8 @@ def near_dup(
     text: Column,
     similarity: float = 0.8,
     shingle: int = 3,
-    bands: int = 8,
-    rows: int = 4,
+    bands: int = 6,
+    rows: int = 6,
 ) -> DataFrame:
     """``key, group`` for all rows: the smallest key of the row's group, itself if it is alone.
 
