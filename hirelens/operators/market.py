@@ -144,21 +144,38 @@ def correlation_matrix(df: DataFrame, features: Mapping[str, Column]) -> DataFra
 
 
 def skill_trend(parsed: DataFrame, date: str = "date_posted_normalized") -> DataFrame:
-    """Postings per skill and month, the month before that has any, and the growth between.
+    """Postings per skill and month, those of the month before, the growth between, and the slope.
 
-    The window runs over monthly counts: a skill has as many rows as there are months.
+    Every skill has a row for each month from the first to the last that any posting has; months
+    without one count zero. ``slope`` is the change of postings per month that fits all months of the
+    skill best, null for a single month; ``growth`` is null behind an empty month. Windows run over a
+    skill's months.
     """
     monthly = (
         with_all_skills(parsed)
         .filter(F.col(date).isNotNull())
         .select(F.trunc(date, "month").alias("month"), F.explode("skills").alias("skill"))
         .groupBy("skill", "month")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    ends = monthly.agg(F.min("month").alias("_from"), F.max("month").alias("_to"))  # one row
+    months = F.explode(F.sequence("_from", "_to", F.expr("interval 1 month"))).alias("month")
+    calendar = monthly.select("skill").distinct().join(F.broadcast(ends)).select("skill", "_from", months)
+    counted = calendar.join(monthly, ["skill", "month"], "left").select(
+        "skill",
+        "month",
+        F.coalesce("_n", F.lit(0)).alias("n"),
+        F.months_between("month", "_from").cast("int").alias("_place"),
     )
-    previous = F.lag("n").over(Window.partitionBy("skill").orderBy("month"))
-    return monthly.withColumn("previous", previous).withColumn(
-        "growth", F.col("n") / F.col("previous") - 1
+    by_skill = Window.partitionBy("skill")
+    found = counted.withColumns(
+        {
+            "previous": F.lag("n").over(by_skill.orderBy("month")),
+            "slope": F.when(F.count("n").over(by_skill) > 1, F.regr_slope("n", "_place").over(by_skill)),
+        }
     )
+    growth = F.when(F.col("previous") > 0, F.col("n") / F.col("previous") - 1)
+    return found.select("skill", "month", "n", "previous", growth.alias("growth"), "slope")
 
 
 def recent_window(df: DataFrame, date: str, reference: Column, months: int = 24) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from hirelens import rules, schemas
 from hirelens.functions.dates import years_bucket
@@ -282,14 +283,46 @@ def ranking_metrics(
     )
 
 
-def calibration(df: DataFrame, predicted: Column, actual: Column, bins: int = 10) -> DataFrame:
-    """Mean prediction against mean outcome per equal-width bin, and whether they are within 5 %."""
-    bucket = F.least(F.floor(predicted * bins), F.lit(bins - 1)).cast("int")
-    rows = df.select(
-        bucket.alias("bin"), predicted.cast("double").alias("p"), actual.cast("double").alias("y")
+def calibration(
+    df: DataFrame, predicted: Column, actual: Column, bins: int = 10, steps: int = 10_000
+) -> DataFrame:
+    """Mean prediction against mean outcome per decile of the predictions (in [0, 1]), whether they are
+    within 5 %, and the outcome that a rising curve through all deciles gives (``calibrated``).
+
+    A value's bin is how many tenths of the rows lie below it, so equal predictions share a bin, and
+    a bin may be missing where many are equal. Cuts are exact: rows are counted per value, values
+    below come from a window over steps of the range and one over the values of a step. Rows without
+    prediction or outcome are left out. ``calibrated`` pools neighbours that fall (it is the largest,
+    over bins in front, of the smallest mean outcome from there to any bin behind).
+    """
+    rows = df.select(predicted.cast("double").alias("p"), actual.cast("double").alias("y"))
+    values = rows.filter("p is not null and y is not null").groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")
+    )
+    values = values.withColumn("step", F.floor(F.col("p") * steps))
+    per_step = values.groupBy("step").agg(F.sum("n").alias("in_step"))
+    before = (Window.unboundedPreceding, -1)
+    under = F.sum("in_step").over(Window.orderBy("step").rowsBetween(*before))  # at most steps + 1 rows
+    everything = F.sum("in_step").over(Window.partitionBy())
+    per_step = per_step.select(
+        "step", F.coalesce(under, F.lit(0)).alias("under"), everything.alias("everything")
     )
-    means = rows.groupBy("bin").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("p").alias("predicted"), F.avg("y").alias("observed")
+    within = F.sum("n").over(Window.partitionBy("step").orderBy("p").rowsBetween(*before))
+    placed = values.withColumn("within", F.coalesce(within, F.lit(0))).join(per_step, "step")
+    bucket = F.expr(f"({bins} * (under + within)) div everything").cast("int")
+    means = placed.groupBy(bucket.alias("bin")).agg(
+        F.sum("n").alias("n"), F.sum(F.col("p") * F.col("n")).alias("p"), F.sum("y").alias("y")
     )
+    # one row with the bins in order: at most ``bins`` of them
+    ordered = means.agg(F.sort_array(F.collect_list(F.struct("bin", "n", "p", "y"))).alias("b"))
+    mean = "aggregate(slice(b, j, k - j + 1), 0D, (t, x) -> t + x.y) / aggregate(slice(b, j, k - j + 1), 0L, (t, x) -> t + x.n)"
+    rising = (
+        "transform(b, (x, i) -> struct(x.bin, x.n, x.p / x.n as predicted, x.y / x.n as observed,"
+        " array_max(transform(sequence(1, i + 1), j -> array_min(transform(sequence(i + 1, size(b)),"
+        f" k -> {mean})))) as calibrated))"
+    )
+    found = ordered.select(F.inline(F.expr(rising)))
     error = F.abs(F.col("predicted") - F.col("observed"))
-    return means.withColumns({"error": error, "within": error <= 0.05})
+    return found.select(
+        "bin", "n", "predicted", "observed", error.alias("error"), (error <= 0.05).alias("within"), "calibrated"
+    )

@@ -24,6 +24,12 @@ _RANK = rank_of_level("seniority_level")
 _TOKENS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
 
 
+_TERMS = (
+    "terms AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id,"
+    " unnest(regexp_extract_all(lower(description), '[\\p{L}\\p{N}]+')) AS term FROM parsed) GROUP BY ALL)"
+)
+
+
 def _frequency(name: str, by: str) -> str:
     """CTE of postings per skill in groups, with the size and share of the group."""
     on = " AND ".join(f"a.{b} IS NOT DISTINCT FROM t.{b}" for b in by.split(", ")) if by else "true"
@@ -148,11 +154,18 @@ ORACLES = {
         )
     ),
     "skill_trend": over_parsed(
-        "SELECT skill, CAST(month AS VARCHAR) AS month, n, previous, round(n / previous - 1, 6) AS growth"
-        " FROM (SELECT *, lag(n) OVER (PARTITION BY skill ORDER BY month) AS previous FROM (SELECT skill,"
-        " CAST(date_trunc('month', CAST(date_posted_normalized AS DATE)) AS DATE) AS month, count(*) AS n"
-        " FROM job_skills WHERE date_posted_normalized IS NOT NULL GROUP BY ALL))",
+        "SELECT skill, CAST(month AS VARCHAR) AS month, n, previous, round(CASE WHEN previous > 0 THEN n /"
+        " previous - 1 END, 6) AS growth, round(slope, 6) AS slope FROM (SELECT *, lag(n) OVER (PARTITION BY"
+        " skill ORDER BY month) AS previous, CASE WHEN count(*) OVER (PARTITION BY skill) > 1 THEN"
+        " regr_slope(n, place) OVER (PARTITION BY skill) END AS slope FROM (SELECT c.skill, c.month,"
+        " coalesce(n, 0) AS n, date_diff('month', (SELECT min(month) FROM monthly), c.month) AS place FROM"
+        " calendar c LEFT JOIN monthly m ON c.skill = m.skill AND c.month = m.month))",
         _SKILL_ROWS,
+        "monthly AS (SELECT skill, CAST(date_trunc('month', CAST(date_posted_normalized AS DATE)) AS DATE) AS"
+        " month, count(*) AS n FROM job_skills WHERE date_posted_normalized IS NOT NULL GROUP BY ALL)",
+        "calendar AS (SELECT skill, CAST(unnest(generate_series((SELECT min(month) FROM monthly), (SELECT"
+        " max(month) FROM monthly), INTERVAL 1 MONTH)) AS DATE) AS month FROM (SELECT DISTINCT skill FROM"
+        " monthly))",
     ),
     "recent_window": over_parsed(
         "SELECT doc_id, date_posted_normalized AS day FROM parsed WHERE CAST(date_posted_normalized AS"
@@ -212,10 +225,39 @@ ORACLES = {
     " a.doc_id JOIN sizes b ON c.y = b.doc_id WHERE c.n >= 0.8 * (a.n + b.n - c.n) UNION SELECT a.doc_id,"
     " b.doc_id FROM t a JOIN t b ON a.h = b.h), reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y"
     ' FROM reach r JOIN links l ON r.y = l.x) SELECT x AS doc_id, min(y) AS "group" FROM reach GROUP BY x',
-    # what holds for every row whatever the model: its cluster is one of k, its role one that exists
-    "archetypes": over_parsed("SELECT doc_id, true AS in_range FROM parsed"),
+    "archetypes": over_parsed(
+        "SELECT doc_id, cluster FROM parsed LEFT JOIN nearest USING (doc_id)",
+        _TERMS,
+        "vectors AS MATERIALIZED (SELECT doc_id, term, weight / sqrt(sum(weight * weight) OVER (PARTITION"
+        " BY doc_id)) AS w FROM (SELECT doc_id, t.term, tf * ln((SELECT count(*) FROM parsed) / df) AS"
+        " weight FROM terms t JOIN (SELECT term, count(*) AS df FROM terms GROUP BY term) d ON t.term ="
+        " d.term) WHERE weight > 0)",
+        "near0 AS (SELECT doc_id, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS"
+        " cluster FROM (SELECT DISTINCT doc_id FROM vectors) QUALIFY cluster < 6)",
+        *[
+            f"centres{i} AS MATERIALIZED (SELECT cluster, term, s / sqrt(sum(s * s) OVER (PARTITION BY"
+            f" cluster)) AS weight FROM (SELECT cluster, term, sum(w) AS s FROM vectors v JOIN near{i} n ON"
+            f" v.doc_id = n.doc_id GROUP BY ALL)), near{i + 1 if i < 3 else 'est'} AS MATERIALIZED (SELECT"
+            " doc_id, CAST(cluster AS INTEGER) AS cluster FROM (SELECT doc_id, cluster, round(sum(w * weight),"
+            f" 9) AS score FROM vectors v JOIN centres{i} c ON v.term = c.term GROUP BY ALL) QUALIFY"
+            " row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cluster) = 1)"
+            for i in range(4)
+        ],
+    ),
     "role_classifier": over_parsed(
-        "SELECT doc_id, role_type, true AS known FROM parsed",
+        "SELECT doc_id, role_type, out AS held_out, role AS predicted_role FROM (SELECT s.doc_id, s.role_type,"
+        " s.out, s.role, row_number() OVER (PARTITION BY s.doc_id ORDER BY round(prior + n * unseen +"
+        " coalesce(score, 0), 9) DESC, s.role) AS place FROM (SELECT * FROM split, role_rows) s LEFT JOIN (SELECT"
+        " doc_id, role, sum(tf * ln(n + 1)) AS score FROM terms t JOIN counts c ON t.term = c.term GROUP BY"
+        " ALL) f ON s.doc_id = f.doc_id AND s.role = f.role) WHERE place = 1",
+        _TERMS,
+        "split AS (SELECT doc_id, role_type, ('0x' || md5(CAST(doc_id AS VARCHAR))[1:8])::BIGINT % 5 = 0 AS"
+        " out, len(regexp_extract_all(lower(description), '[\\p{L}\\p{N}]+')) AS n FROM parsed)",
+        "counts AS MATERIALIZED (SELECT role_type AS role, term, sum(tf) AS n FROM terms JOIN split USING"
+        " (doc_id) WHERE NOT out GROUP BY ALL)",
+        "role_rows AS (SELECT role_type AS role, ln(count(*) / (SELECT count(*) FROM split WHERE NOT out)) AS prior,"
+        " -ln((SELECT sum(n) FROM counts WHERE role = role_type) + (SELECT count(DISTINCT term) FROM"
+        " counts)) AS unseen FROM split WHERE NOT out GROUP BY role_type)",
     ),
     "ideal_profiles": over_parsed(
         "SELECT profile_id, standardized_role, profile_level AS seniority_level,"
@@ -312,8 +354,13 @@ ORACLES = {
     f" items, sum({_GAIN}) FILTER (place <= 5) AS dcg, min(place) FILTER (quality > 0) AS first FROM r"
     f" GROUP BY source) JOIN (SELECT source, sum({_GAIN}) FILTER (place <= 5) AS ideal FROM i GROUP BY"
     " source) USING (source)",
-    "calibration": "SELECT *, error <= 0.05 AS within FROM (SELECT bin, count(*) AS n, round(avg(p), 6)"
-    " AS predicted, round(avg(quality), 6) AS observed, round(abs(avg(p) - avg(quality)), 6) AS error"
-    " FROM (SELECT quality, n_chars / (n_chars + 500) AS p, CAST(least(floor(n_chars / (n_chars + 500) *"
-    " 10), 9) AS INTEGER) AS bin FROM documents JOIN labels USING (doc_id)) GROUP BY bin)",
+    "calibration": "WITH j AS (SELECT quality, n_chars / (n_chars + 500) AS p FROM documents JOIN labels USING"
+    " (doc_id)), bins AS (SELECT bin, count(*) AS n, sum(p) AS p, sum(quality) AS y FROM (SELECT *, CAST(10 *"
+    " (rank() OVER (ORDER BY p) - 1) // (SELECT count(*) FROM j) AS INTEGER) AS bin FROM j) GROUP BY bin), spans"
+    " AS (SELECT a.bin AS first, b.bin AS last, sum(c.y) / sum(c.n) AS mean FROM bins a JOIN bins b ON a.bin <="
+    " b.bin JOIN bins c ON c.bin BETWEEN a.bin AND b.bin GROUP BY ALL), least AS (SELECT i.bin, s.first,"
+    " min(mean) AS mean FROM bins i JOIN spans s ON i.bin BETWEEN s.first AND s.last GROUP BY ALL), curve AS"
+    " (SELECT bin, max(mean) AS calibrated FROM least GROUP BY bin) SELECT *, error <= 0.05 AS within FROM"
+    " (SELECT b.bin, n, round(p / n, 6) AS predicted, round(y / n, 6) AS observed, round(abs(p / n - y / n), 6)"
+    " AS error, round(calibrated, 6) AS calibrated FROM bins b JOIN curve c ON b.bin = c.bin)",
 }

@@ -52,7 +52,7 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skill_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trend = rounded(market.skill_trend(parsed_table(spark, sf_dir)), "growth")
+    trend = rounded(market.skill_trend(parsed_table(spark, sf_dir)), "growth", "slope")
     return trend.withColumn("month", c("month").cast("string"))
 
 
@@ -245,7 +245,7 @@ def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A made-up probability from the length against the quality label."""
     p = c("n_chars") / (c("n_chars") + 500)
     found = profiles.calibration(_judged(spark, sf_dir), p, c("quality"))
-    return rounded(found, "predicted", "observed", "error")
+    return rounded(found, "predicted", "observed", "error", "calibrated")
 
 
 def _with_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,17 +255,18 @@ def _with_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archetypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every posting is in one of the clusters."""
-    found = models.archetypes(_with_tokens(spark, sf_dir), "tokens", k=6)
-    return found.select("doc_id", c("cluster").between(0, 5).alias("in_range"))
+    """The cluster of every posting."""
+    _, clusters = models.archetypes(_with_tokens(spark, sf_dir), "doc_id", c("tokens"), k=6, rounds=3)
+    return clusters
 
 
 def role_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for all postings by a model that has seen four fifths of them."""
     df = _with_tokens(spark, sf_dir)
-    model = models.role_classifier(df.filter(~models.held_out(c("doc_id"))), "tokens")
-    known = c("predicted_role").isin(*model.stages[0].labels)
-    return models.predict_role(model, df).select("doc_id", "role_type", known.alias("known"))
+    out = models.held_out(c("doc_id"))
+    model = models.role_classifier(df.filter(~out), "doc_id", c("tokens"))
+    predicted = models.predict_role(model, df, "doc_id", c("tokens"))
+    return df.select("doc_id", "role_type", out.alias("held_out")).join(predicted, "doc_id")
 
 
 QUERIES = {

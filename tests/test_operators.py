@@ -1,10 +1,12 @@
 """Archive, quality, market, profile and corpus operators on small tables, against brute force."""
 
+import hashlib
 import itertools
 import json
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -395,10 +397,65 @@ def test_ranking_metrics(spark):
     assert (got["n"].ndcg, got["n"].reciprocal_rank) == (None, 0.0)
 
 
-def test_calibration(spark):
-    df = spark.createDataFrame([(0.05, 0), (0.07, 0), (0.95, 1), (1.0, 0)], "p double, y int")
-    got = profiles.calibration(df, c("p"), c("y")).orderBy("bin").collect()
-    assert [(r.bin, r.n, r.within) for r in got] == [(0, 2, False), (9, 2, False)]
+def _deciles(rows, bins):
+    """Bin of each row: how many tenths of the rows lie below its value. Then pooling of neighbours."""
+    found = {}
+    for p, y in rows:
+        below = sum(q < p for q, _ in rows)
+        found.setdefault(bins * below // len(rows), []).append((p, y))
+    blocks = [[[b], sum(y for _, y in found[b]), len(found[b])] for b in sorted(found)]
+    i = 0
+    while i + 1 < len(blocks):
+        if blocks[i][1] / blocks[i][2] > blocks[i + 1][1] / blocks[i + 1][2]:
+            nxt = blocks.pop(i + 1)
+            blocks[i] = [blocks[i][0] + nxt[0], blocks[i][1] + nxt[1], blocks[i][2] + nxt[2]]
+            i = max(i - 1, 0)
+        else:
+            i += 1
+    smooth = {b: y / n for names, y, n in blocks for b in names}
+    return {
+        b: (len(v), sum(p for p, _ in v) / len(v), sum(y for _, y in v) / len(v), smooth[b]) for b, v in found.items()
+    }
+
+
+@pytest.mark.parametrize("n, values, bins", [(400, 1000, 10), (300, 7, 10), (5, 3, 10), (200, 1, 10), (97, 50, 4)])
+def test_calibration_by_deciles(spark, n, values, bins):
+    rng = random.Random(n)
+    rows = [(rng.randrange(values) / values, rng.randrange(2)) for _ in range(n)]
+    df = spark.createDataFrame([*rows, (None, 1), (0.5, None)], "p double, y int")
+    got = {r.bin: (r.n, r.predicted, r.observed, r.calibrated) for r in profiles.calibration(df, c("p"), c("y"), bins).collect()}
+    want = _deciles(rows, bins)
+    assert set(got) == set(want)
+    for b, r in want.items():
+        assert got[b] == pytest.approx(r)
+    smooth = [got[b][3] for b in sorted(got)]
+    assert smooth == sorted(smooth)
+    if values == 1000:
+        assert len(got) == bins and max(v[0] for v in got.values()) <= n // bins + 5
+
+
+def test_calibration_without_rows(spark):
+    df = spark.createDataFrame([(None, 1)], "p double, y int")
+    assert profiles.calibration(df, c("p"), c("y")).count() == 0
+
+
+def test_skill_trend_counts_empty_months(spark):
+    rows = [("2026-01-05", ["A"]), ("2026-01-30", ["A", "B"]), ("2026-05-01", ["A"]), (None, ["A"])]
+    df = spark.createDataFrame(rows, "d string, skills_required array<string>").select(
+        c("d").cast("date").alias("date_posted_normalized"), "skills_required", F.array().cast("array<string>").alias("skills_optional")
+    )
+    got = {(r.skill, str(r.month)[:7]): (r.n, r.previous, r.growth, r.slope) for r in market.skill_trend(df).collect()}
+    months = [f"2026-0{m}" for m in range(1, 6)]
+    for skill, counts in (("A", [2, 0, 0, 0, 1]), ("B", [1, 0, 0, 0, 0])):
+        mean = sum(counts) / 5
+        slope = sum((i - 2) * (n - mean) for i, n in enumerate(counts)) / 10
+        for i, month in enumerate(months):
+            before = counts[i - 1] if i else None
+            growth = counts[i] / before - 1 if before else None
+            assert got[skill, month] == (counts[i], before, growth, pytest.approx(slope))
+    assert len(got) == 10
+    one = market.skill_trend(df.limit(1)).collect()
+    assert [(r.n, r.previous, r.slope) for r in one] == [(1, None, None)] and market.skill_trend(df.limit(0)).count() == 0
 
 
 # --- corpus -----------------------------------------------------------------------------------
@@ -575,24 +632,68 @@ def test_prefix_keeps_every_alike_pair():
         assert fits and all(fits)
 
 
-def test_models_are_repeatable(spark, sf_dir):
+def test_archetypes_by_hand(spark, sf_dir):
+    """Each posting is in the cluster of its nearest centre, centres are the means of their clusters."""
     df = inputs.parsed_table(spark, sf_dir)
-    df = df.select("doc_id", "role_type", tok.tokenize(c("job_description_raw")).alias("tokens"))
-    one = pairs(models.archetypes(df, "tokens", 3), "doc_id", "cluster")
-    assert one == pairs(models.archetypes(df, "tokens", 3), "doc_id", "cluster")
-    assert {cluster for _, cluster in one} <= {0, 1, 2}
+    df = df.select("doc_id", tok.tokenize(c("job_description_raw")).alias("tokens")).limit(60).checkpoint()
+    centres, clusters = models.archetypes(df, "doc_id", c("tokens"), k=3, rounds=2)
+    docs = {r.doc_id: r.tokens for r in df.collect()}
+    seen = Counter(t for ts in docs.values() for t in set(ts))
+    vectors = {}
+    for key, ts in docs.items():
+        w = {t: n * math.log(len(docs) / seen[t]) for t, n in Counter(ts).items() if seen[t] < len(docs)}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        vectors[key] = {t: x / norm for t, x in w.items()}
+    order = sorted(vectors, key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    cluster = {k: i for i, k in enumerate(order[:3])}
+    for _ in range(3):
+        centre = []
+        for i in range(3):
+            total = Counter()
+            for k in [k for k, v in cluster.items() if v == i]:
+                total.update(vectors[k])
+            norm = math.sqrt(sum(x * x for x in total.values()))
+            centre.append({t: x / norm for t, x in total.items()})
+        cluster = {
+            k: max(range(3), key=lambda i: (round(sum(x * centre[i].get(t, 0) for t, x in v.items()), 9), -i))
+            for k, v in vectors.items()
+        }
+    assert {r.doc_id: r.cluster for r in clusters.collect()} == cluster and len(set(cluster.values())) > 1
+    for r in centres.collect():
+        assert r.weight == pytest.approx(centre[r.cluster][r.term])
+    # rows without a telling term, and no rows at all
+    odd = spark.createDataFrame([(1, ["a"]), (2, ["a", "b"]), (3, []), (4, None)], "id int, ts array<string>")
+    assert pairs(models.archetypes(odd, "id", c("ts"), k=2)[1].na.fill(-1), "id", "cluster") == [(1, 0), (2, 1), (3, -1), (4, -1)]
+    assert models.archetypes(odd.limit(0), "id", c("ts"))[1].count() == 0
 
 
 def test_roles_of_rows_kept_from_training(spark):
     df = inputs.parsed_table(spark, "/root/testdata/sf0.01")
     df = df.select("doc_id", "role_type", tok.tokenize(c("job_description_raw")).alias("tokens"))
     kept = df.filter(models.held_out(c("doc_id")))
-    model = models.role_classifier(df.filter(~models.held_out(c("doc_id"))), "tokens")
-    right = models.predict_role(model, kept).filter("role_type = predicted_role").count()
+    model = models.role_classifier(df.filter(~models.held_out(c("doc_id"))), "doc_id", c("tokens"))
+    right = models.predict_role(model, kept, "doc_id", c("tokens")).join(kept, "doc_id").filter("role_type = predicted_role").count()
     most = max(r["count"] for r in kept.groupBy("role_type").count().collect())
     assert right > most  # better than naming the most frequent role
 
 
+def test_roles_by_hand(spark):
+    rows = [(1, "x", ["a", "a", "b"]), (2, "y", ["b", "c"]), (3, "x", []), (4, None, ["c", "c"]), (5, "y", None)]
+    df = spark.createDataFrame(rows, "id int, role string, ts array<string>")
+    model = models.role_classifier(df, "id", c("ts"), "role")
+    ask = spark.createDataFrame([(1, ["a"]), (2, ["c", "c"]), (3, ["unknown"]), (4, []), (5, None), (6, ["b"])], "id int, ts array<string>")
+    counts = {"x": Counter("aab"), "y": Counter("bc")}
+
+    def score(role, ts):  # two rows of each role, three terms
+        total = sum(counts[role].values()) + 3
+        return math.log(2 / 4) + sum(math.log((counts[role][t] + 1) / total) for t in ts or [])
+
+    want = [(r.id, min("xy", key=lambda role: (-round(score(role, r.ts), 9), role))) for r in ask.collect()]
+    assert pairs(models.predict_role(model, ask, "id", c("ts")), "id", "predicted_role") == want
+    nobody = models.role_classifier(df.filter("role is null"), "id", c("ts"), "role")
+    assert pairs(models.predict_role(nobody, ask.limit(1), "id", c("ts")), "id", "predicted_role") == [(1, None)]
+
+
 def test_lemmatize_spreads_equal_rows(spark):
     """Rows that are nothing but the token, nine of ten the same."""
     settings = {
