@@ -155,6 +155,11 @@ ORACLES = {
         "per_run AS (SELECT job_url, scrape_timestamp, min(sha256(CASE WHEN doc_id % 3 = 0 THEN 'fixed'"
         f" ELSE nullif({strip('text')}, '') END)) AS content_hash FROM cards GROUP BY ALL)",
     ),
+    "skip_seen_by_state": with_postings(
+        "SELECT doc_id, scrape_timestamp FROM cards c WHERE NOT EXISTS (SELECT 1 FROM cards a WHERE a.job_id_raw"
+        " = c.job_id_raw AND a.scrape_timestamp < c.scrape_timestamp)",
+        _CARDS,
+    ),
     "quality_distribution": with_postings(
         "SELECT l.level, count(p.level) AS n, round(100.0 * count(p.level) / (SELECT count(*) FROM"
         " postings), 1) AS pct FROM (VALUES ('high'), ('medium'), ('low')) l(level) LEFT JOIN"
@@ -198,3 +203,4 @@ ORACLES = {
         f" salary_raw_missing FROM postings WHERE length({strip('description')}) >= 50"
     ),
 }
+ORACLES["change_history_by_runs"] = ORACLES["change_history"]

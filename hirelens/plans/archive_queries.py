@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from hirelens.functions.text import hash_content
 from hirelens.operators import corpus, history, postings, quality
 from hirelens.plans import inputs
 from hirelens.session import new_path
-from hirelens.sources import archive, sinks
+from hirelens.sources import archive, run_state, sinks
 
 c = F.col
 NOW = "2026-02-21T00:00:00"
@@ -179,15 +181,42 @@ def company_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.company_targets(inputs.cards(spark, sf_dir))
 
 
-def change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _hashed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings of the same job in other runs have other texts, but for every third job."""
     cards = inputs.cards(spark, sf_dir).withColumn(
         "description", F.when(c("doc_id") % 3 == 0, "fixed").otherwise(c("text"))
     )
-    hashed = cards.withColumn("content_hash", hash_content(c("description")))
+    return cards.withColumn("content_hash", hash_content(c("description")))
+
+
+def change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed = _hashed_cards(spark, sf_dir)
     return history.change_history(hashed, "job_url", "scrape_timestamp", "content_hash")
 
 
+def _runs(cards: DataFrame) -> list[str]:
+    return sorted(r[0] for r in cards.select("scrape_timestamp").distinct().collect())  # one per run
+
+
+def change_history_by_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, run by run: each run meets the state of the one before, never the archive."""
+    hashed, path, told = _hashed_cards(spark, sf_dir), new_path(spark, "state"), []
+    for run in _runs(hashed):
+        new = hashed.filter(c("scrape_timestamp") == run)
+        told.append(run_state.advance(new, path, run, "job_url", "content_hash"))
+    return reduce(DataFrame.unionByName, told).withColumnRenamed("run", "scrape_timestamp")
+
+
+def skip_seen_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of each run that no earlier run has, by the state that the runs carry on."""
+    cards, path, left = _hashed_cards(spark, sf_dir), new_path(spark, "state"), []
+    for run in _runs(cards):
+        new = cards.filter(c("scrape_timestamp") == run)
+        left.append(run_state.unseen(new, path, "job_id_raw", run).select("doc_id", "scrape_timestamp"))
+        run_state.advance(new, path, run, "job_id_raw", "content_hash")
+    return reduce(DataFrame.unionByName, left)
+
+
 def quality_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = inputs.raw_jobs(spark, sf_dir)
     return quality.quality_distribution(raw, c("quality_tracking.extraction_quality"))
@@ -279,7 +308,8 @@ QUERIES = {
     for f in (
         scan_raw_jobs, write_raw_jobs, write_raw_companies, write_raw_listings, write_parsed,
         write_dataset, write_csv_flat, typed_lists, write_report, skip_seen, dedup_jobs, dedup_by_id,
-        limit_listings, dedup_companies, company_targets, change_history, quality_distribution,
+        limit_listings, dedup_companies, company_targets, change_history, change_history_by_runs,
+        skip_seen_by_state, quality_distribution,
         field_coverage, head_sample, schema_leaves, failure_report, run_summary, schema_report,
         column_sets, schema_map, drop_or_fill_missing,
     )

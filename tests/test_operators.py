@@ -1,5 +1,6 @@
 """Archive, quality, market, profile and corpus operators on small tables, against brute force."""
 
+import functools
 import hashlib
 import itertools
 import json
@@ -18,7 +19,7 @@ from hirelens.functions import tokens as tok
 from hirelens.operators import corpus, history, market, models, near_dup, postings, profiles, quality, set_join, skew
 from hirelens.plans import inputs
 from hirelens.session import new_path, shared_dir
-from hirelens.sources import archive, array_files, sinks
+from hirelens.sources import archive, array_files, run_state, sinks
 from hirelens.streaming import arrivals
 
 c = F.col
@@ -245,6 +246,45 @@ def test_array_file_is_read_by_many_tasks(spark, tmp_path, indent):
     assert [r.file.rsplit("/", 1)[1] for r in bad] == ["torn.json"] and tasks > 50
 
 
+def test_state_carried_over_five_runs(spark, tmp_path):
+    """The same as the window over all runs, also for runs worked over and from a new session's catalog."""
+    rng = random.Random(8)
+    rows = [(None if i % 17 == 0 else f"k{rng.randrange(12)}", f"2026-0{1 + rng.randrange(5)}", f"h{rng.randrange(3)}") for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, run string, h string").repartition(3)
+    want = pairs(history.change_history(df, "k", "run", "h").na.fill("-"), "k", "run", "h", "previous_hash", "run_no", "change")
+    path, told = str(tmp_path), {}
+    runs_in_order = [f"2026-0{i}" for i in range(1, 6)]
+    for run in [*runs_in_order, "2026-03", "2026-04", "2026-05"]:
+        told[run] = run_state.advance(df.filter(c("run") == run), path, run, "k", "h", buckets=4)
+        for t in spark.catalog.listTables():
+            if t.name.startswith("state_"):
+                spark.sql(f"DROP TABLE {t.name}")  # the files stay
+    got = functools.reduce(lambda a, b: a.unionByName(b), told.values())
+    assert sorted(pairs(got.na.fill("-"), "k", "run", "h", "previous_hash", "run_no", "change")) == want
+    state = run_state.state_before(spark, path)
+    assert {r.key: r.runs for r in state.collect()} == {k: len({r[1] for r in rows if r[0] == k}) for k, _, _ in rows if k}
+    cards = spark.createDataFrame([("k1",), ("other",), (None,)], "k string")
+    assert sorted(r.k or "" for r in run_state.unseen(cards, path, "k").collect()) == ["", "other"]
+    assert run_state.unseen(cards, f"{path}/nothing", "k").count() == 3
+
+
+def test_state_is_not_shuffled(spark, tmp_path):
+    path = str(tmp_path)
+    old = spark.range(5000).select(c("id").cast("string").alias("k"), F.lit("h").alias("h"))
+    run_state.advance(old, path, "r1", "k", "h", buckets=8)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = run_state.advance(old.filter("k < 200"), path, "r2", "k", "h", buckets=8)
+        plan = told._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    at = plan.index("Bucketed: true")
+    scan = plan[plan.rindex("\n", 0, at) : at]
+    before = plan[: plan.rindex("\n", 0, at)].splitlines()
+    assert "FileScan parquet" in scan and not any("Exchange" in line for line in before[-3:])
+
+
 def test_sinks_replace_a_run(spark, tmp_path):
     """Writing a run again replaces it in every sink, other runs stay, an empty run empties its own."""
     def raw(run, n):
