@@ -99,16 +99,17 @@ def minima(hashes: np.ndarray, functions: np.ndarray) -> np.ndarray:
     return least
 
 
-def profile(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """From one reading of ``key, text``: rows ``key, bucket``, one per band, and rows ``shard, counts``
-    of the shingle counters. Of equal texts of a task one is looked at."""
+def profile(df: DataFrame, shingle: int, bands: int, rows: int, words: str) -> DataFrame:
+    """From one reading of ``key, text``: rows ``key, bucket``, one per band (there may be none), and rows
+    ``shard, counts`` of the shingle counters. Of equal texts of a task one is looked at."""
     kind = df.schema["key"].dataType.simpleString()
     names = ["key", "bucket", "shard", "counts"]
     key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     types = [key_type, pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen, functions = set_join.Shingler(shingle), set_join.Counters(), coefficients(bands * rows)
+        shingles, seen = set_join.Shingler(shingle, words), set_join.Counters()
+        functions = coefficients(bands * rows)
         keys, found = [], []
 
         def banded():
@@ -125,6 +126,8 @@ def profile(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
             if not len(hashes):
                 continue
             seen.add(hashes)
+            if not bands:
+                continue
             bucket = np.arange(bands, dtype=np.uint64)
             for least in minima(hashes, functions).reshape(rows, bands):
                 bucket = (bucket ^ (bucket >> np.uint64(31)) ^ least) * set_join.ODD
@@ -174,54 +177,52 @@ def stars(links: DataFrame) -> DataFrame:
     return best.select("key", F.col("near.dst").alias("hub"), F.col("near.far").alias("far"))
 
 
-def open_stars(posted: DataFrame, similarity: float) -> DataFrame:
-    """``src, dst`` (hubs): stars of which some members share a posting that leaves room for a link."""
-    ends = posted.groupBy("token", "hub").agg(
-        F.min("size").alias("least"), F.max("size").alias("most")
-    )
-    a = ends.select("token", F.col("hub").alias("src"), F.col("least").alias("a0"), F.col("most").alias("a1"))
-    b = ends.select("token", F.col("hub").alias("dst"), F.col("least").alias("b0"), F.col("most").alias("b1"))
-    fits = f"src > dst and a1 >= {similarity} * b0 - 1e-9 and b1 >= {similarity} * a0 - 1e-9"
-    return a.join(b, "token").filter(fits).select("src", "dst").distinct()
-
-
 def member_pairs(posted: DataFrame, near: DataFrame, similarity: float) -> DataFrame:
-    """``src, dst``: texts of two stars that share a posting and that no bound keeps apart.
+    """``src, dst``: texts of two stars that share enough postings and that no bound keeps apart.
 
-    ``near`` has ``src, dst`` (hubs) and their distance ``far``.
+    ``near`` has ``src, dst`` (hubs, the larger first) and their distance ``far``.
     """
     sides = near.select(F.col("src").alias("ha"), F.col("dst").alias("hb"), F.col("far").alias("between"))
     wanted = near.select(F.col("src").alias("hub")).union(near.select("dst")).distinct()
     some = posted.join(wanted, "hub", "left_semi")
-    a, b = (some.select("token", F.struct("key", "hub", "far", "size", "place").alias(n)) for n in "ab")
-    met = a.join(b, "token").filter("a.hub > b.hub").filter(set_join.may_be_alike(similarity))
-    met = met.select(
-        F.col("a.key").alias("src"),
-        F.col("b.key").alias("dst"),
-        F.col("a.hub").alias("ha"),
-        F.col("b.hub").alias("hb"),
-        (F.col("a.far") + F.col("b.far")).alias("reach"),
-    ).distinct()
-    left = met.join(sides, ["ha", "hb"]).filter(f"between - reach <= {1 - similarity + SLACK}")
-    return left.filter("not (src = ha and dst = hb)").select("src", "dst")
-
-
-def alike(df: DataFrame, similarity: float, shingle: int, bands: int, rows: int, firsts: DataFrame) -> DataFrame:
+    pairs = set_join.prefix_pairs(some, "key", similarity)
+    places = some.select("key", "hub", "far").distinct()
+    a = places.select(F.col("key").alias("src"), F.col("hub").alias("h_src"), F.col("far").alias("f_src"))
+    b = places.select(F.col("key").alias("dst"), F.col("hub").alias("h_dst"), F.col("far").alias("f_dst"))
+    met = pairs.join(a, "src").join(b, "dst").withColumns(
+        {"ha": F.greatest("h_src", "h_dst"), "hb": F.least("h_src", "h_dst")}
+    )
+    left = met.join(sides, ["ha", "hb"]).filter(f"between - f_src - f_dst <= {1 - similarity + SLACK}")
+    return left.filter("not (f_src = 0 and f_dst = 0)").select("src", "dst")
+
+
+def alike(
+    df: DataFrame,
+    similarity: float,
+    shingle: int,
+    bands: int,
+    rows: int,
+    firsts: DataFrame,
+    buckets: DataFrame | None = None,
+    words: str = set_join.WORDS,
+) -> DataFrame:
     """Links ``src, dst`` between texts of ``df`` (``key, text``) that connect whatever the pairs with
     at least the given Jaccard similarity connect.
 
     ``firsts`` names the first of equal texts (``key, first``; ``key`` without it stands for itself).
+    ``buckets`` (``key, bucket``) proposes hubs in place of MinHash bands.
     """
     most = 1 - similarity + SLACK
-    read = written(profile(df, shingle, bands, rows), "profile")
+    read = written(profile(df, shingle, bands if buckets is None else 0, rows, words), "profile")
     table = set_join.levels(read.filter("shard is not null"))
-    posted = as_first(set_join.postings(df, shingle, similarity, table), firsts)
+    posted = as_first(set_join.postings(df, shingle, similarity, table, words), firsts)
     posted = written(posted, "postings")
 
     # texts and hubs
-    pairs = written(star_pairs(read.filter("shard is null"), firsts), "pairs")
+    proposed = read.filter("shard is null") if buckets is None else buckets
+    pairs = written(star_pairs(proposed, firsts), "pairs")
     asked = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-    sets = set_join.shingle_sets(df, asked, shingle)
+    sets = set_join.shingle_sets(df, asked, shingle, words)
     linked = written(set_join.distances(pairs, sets).filter(F.col("far") <= most), "linked")
     members = stars(linked)
     radius = members.groupBy("hub").agg(F.max("far").alias("radius"))
@@ -230,10 +231,10 @@ def alike(df: DataFrame, similarity: float, shingle: int, bands: int, rows: int,
     placed = posted.join(members, "key", "left").select(
         *posted.columns, F.coalesce("hub", "key").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")
     )
-    apart = open_stars(placed, similarity).join(linked, ["src", "dst"], "left_anti")
+    apart = set_join.prefix_pairs(placed, "hub", similarity).join(linked, ["src", "dst"], "left_anti")
     apart = written(apart, "apart")
     asked = apart.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-    sets = set_join.shingle_sets(df, asked, shingle)
+    sets = set_join.shingle_sets(df, asked, shingle, words)
     of_src = radius.select(F.col("hub").alias("src"), F.col("radius").alias("r_src"))
     of_dst = radius.select(F.col("hub").alias("dst"), F.col("radius").alias("r_dst"))
     room = F.coalesce("r_src", F.lit(0.0)) + F.coalesce("r_dst", F.lit(0.0))
@@ -248,7 +249,7 @@ def alike(df: DataFrame, similarity: float, shingle: int, bands: int, rows: int,
         return links
     pairs = written(member_pairs(placed, near, similarity), "pairs")
     asked = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-    sets = set_join.shingle_sets(df, asked, shingle)
+    sets = set_join.shingle_sets(df, asked, shingle, words)
     return links.union(set_join.distances(pairs, sets).filter(F.col("far") <= most).select("src", "dst"))
 
 
@@ -260,12 +261,15 @@ def near_dup(
     shingle: int = 3,
     bands: int = 6,
     rows: int = 6,
+    buckets: DataFrame | None = None,
+    words: str = set_join.WORDS,
 ) -> DataFrame:
     """``key, group`` for all rows: the smallest key of the row's group, itself if it is alone.
 
     Equal texts are one group, whatever they hold. Other texts are linked if their shingle sets have
     the given Jaccard similarity, so those without a word stay apart; null texts are equal. A null
-    key stays alone. No pair is missed: bands and rows change only the work.
+    key stays alone. No pair is missed: bands and rows, or ``buckets`` (``key, bucket``) of texts that
+    are likely alike, change only the work. ``words`` is the pattern of a word.
     """
     shared_dir(df.sparkSession)
     given = df.select(F.col(key).alias("key"), text.cast("string").alias("text"))
@@ -274,12 +278,12 @@ def near_dup(
     hashed = written(lookup(hashed, copies, "content", "n").select("key", "first"), "firsts")
     firsts = hashed.filter("key <> first").distinct()
     known = given.filter("key is not null and text is not null")
-    groups = connected_groups(alike(known, similarity, shingle, bands, rows, firsts))
+    links = alike(known, similarity, shingle, bands, rows, firsts, buckets, words)
+    groups = connected_groups(links)
     sizes = hashed.groupBy("first").agg(F.count(F.lit(1)).alias("n"))
     labelled = sizes.join(groups, F.col("first") == F.col("node"), "left").select(
         "first", "n", F.coalesce("group", "first").alias("group")
     )
-    found = lookup(hashed, labelled, "first", "n").select(
+    return lookup(hashed, labelled, "first", "n").select(
         F.col("key").alias(key), F.when(F.col("key").isNotNull(), F.col("group")).alias("group")
     )
-    return found

@@ -31,21 +31,21 @@ FEW_KEYS = 10_000  # asked keys that are broadcast, at most
 KEY_BITS = 20  # cells of the bitmap of asked keys
 SHARD = 1 << 16  # counters that travel as one row
 BLOCK = 50_000  # postings of a list that meet in one group, about
-WORD = re.compile(r"[^\W_]+")
+WORDS = r"[^\W_]+"  # runs of letters and digits
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 class Shingler:
-    """Sets of shingle hashes of texts; words are the lower-cased runs of letters and digits."""
+    """Sets of shingle hashes of texts; words are what the pattern finds in the lower-cased text."""
 
-    def __init__(self, size: int):
-        self.size = size
+    def __init__(self, size: int, words: str = WORDS):
+        self.size, self.words = size, re.compile(words)
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Distinct hashes of the word shingles of a text, sorted. A text with fewer words has all of
         them as its only one, a text without words has none."""
-        words = WORD.findall(text.lower()) if text else []
+        words = self.words.findall(text.lower()) if text else []
         if not words:
             return np.empty(0, np.uint64)
         one = hash_array(np.array(words, object), categorize=False)
@@ -125,7 +125,9 @@ def prefix_length(size: int, similarity: float) -> int:
 POSTING = "token bigint, block int, key {kind}, size int, place int"
 
 
-def postings(df: DataFrame, shingle: int, similarity: float, table: np.ndarray) -> DataFrame:
+def postings(
+    df: DataFrame, shingle: int, similarity: float, table: np.ndarray, words: str = WORDS
+) -> DataFrame:
     """``token, block, key, size, place``: the prefix of each text of ``df`` (``key, text``), without
     postings that are alone in their list.
 
@@ -137,7 +139,7 @@ def postings(df: DataFrame, shingle: int, similarity: float, table: np.ndarray)
     long_level = BLOCK.bit_length()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, held, total = Shingler(shingle), [], 0
+        shingles, held, total = Shingler(shingle, words), [], 0
         for key, text in texts(batches, once=True):
             hashes = shingles(text)
             if not len(hashes):
@@ -177,19 +179,59 @@ def rows_of(held: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["token", "block", "key", "size", "place"])
 
 
-def may_be_alike(similarity: float, a: str = "a", b: str = "b") -> str:
-    """SQL condition on two postings of one token: sizes and places leave room for the similarity."""
+def room(similarity: float) -> str:
+    """SQL condition on two lists of places of one shingle, ``a`` and ``b``: sizes (``least`` to ``most``)
+    and places (``place`` and ``rest`` behind it, the largest of each) leave room for the similarity."""
     t = similarity
-    shared = (
-        f"least({a}.place, {b}.place) + 1 + least({a}.size - {a}.place, {b}.size - {b}.place) - 1"
-    )
     return (
-        f"{a}.size >= {t} * {b}.size - 1e-9 and {b}.size >= {t} * {a}.size - 1e-9"
-        f" and {shared} >= {t / (1 + t)!r} * ({a}.size + {b}.size) - 1e-6"
+        f"a.most >= {t} * b.least - 1e-9 and b.most >= {t} * a.least - 1e-9 and"
+        " least(a.place, b.place) + least(a.rest, b.rest)"
+        f" >= {t / (1 + t)!r} * (a.least + b.least) - 1e-6"
+    )
+
+
+def enough(similarity: float) -> str:
+    """SQL condition on two prefixes that share ``n`` shingles, of sets with ``a0`` to ``a1`` and ``b0`` to
+    ``b1`` shingles.
+
+    Whatever two sets have in common beyond the end of the prefix that ends first lies in the rest of
+    that set. So they share at most ``n`` and the longer rest; the sizes that ask for least are at
+    the ends of their ranges.
+    """
+    t = similarity
+    asks = [
+        f"{t / (1 + t)!r} * ({a} + {b}) - greatest(ceil({t} * {a} - 1e-9), ceil({t} * {b} - 1e-9)) + 1"
+        for a in ("a0", "a1")
+        for b in ("b0", "b1")
+    ]
+    return f"n >= least({', '.join(asks)}) - 1e-6"
+
+
+def prefix_pairs(posted: DataFrame, name: str, similarity: float) -> DataFrame:
+    """``src, dst`` (``src > dst``): values of ``name`` in ``posted`` that share enough postings.
+
+    With the key as ``name`` these are sets that may be alike; with a group of sets, groups of which
+    two members may be.
+    """
+    ends = posted.groupBy("token", F.col(name).alias("name")).agg(
+        F.min("size").alias("least"),
+        F.max("size").alias("most"),
+        F.max("place").alias("place"),
+        F.max(F.col("size") - F.col("place")).alias("rest"),
+    )
+    a, b = (ends.select("token", F.struct("name", "least", "most", "place", "rest").alias(n)) for n in "ab")
+    met = a.join(b, "token").filter("a.name > b.name").filter(room(similarity))
+    counted = met.groupBy(F.col("a.name").alias("src"), F.col("b.name").alias("dst")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("a.least").alias("a0"),
+        F.max("a.most").alias("a1"),
+        F.min("b.least").alias("b0"),
+        F.max("b.most").alias("b1"),
     )
+    return counted.filter(enough(similarity)).select("src", "dst")
 
 
-def shingle_sets(df: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
+def shingle_sets(df: DataFrame, keys: DataFrame, shingle: int, words: str = WORDS) -> DataFrame:
     """``key, shingles`` of those texts of ``df`` (``key, text``) whose key is in ``keys`` (distinct).
 
     Texts stay where they are read. Up to ``FEW_KEYS`` keys are given to every task; of more, a bitmap
@@ -206,7 +248,7 @@ def shingle_sets(df: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
         df = df.join(F.broadcast(keys), "key", "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(shingle)
+        shingles = Shingler(shingle, words)
         for batch in batches:
             some = batch.filter(pa.array(asked[batch.column(2).to_numpy()]))
             for start in range(0, some.num_rows, 500):
