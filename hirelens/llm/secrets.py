@@ -37,11 +37,22 @@ SENSITIVE = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 REACH = 48  # characters before a candidate, and the separators it stands behind, that may announce it
+SENTENCE = re.compile(r"\n|[.!?]\s")  # behind it an announcement further off no longer holds
 SEPARATORS = re.compile(r"""[\s"'`,;\\\[\](){}]*""")  # between the parts of one secret or list
 KEY_BLOCK = re.compile(r"-{4,}\x20?(BEGIN|END)\x20[A-Z0-9\x20]{0,40}KEY(?:\x20BLOCK)?\x20?-{4,}", re.ASCII)
 REST = re.compile(r"\s*([A-Za-z0-9+/=]+)\s*")  # the last line of a key, however short
 AROUND = 1024  # characters on each side that are the compressor's history
-NOVELTY = 0.75  # added bytes per byte of the candidate, at least
+NOVELTY = 0.95  # added bytes per byte that random characters of the candidate's alphabet need, at least
+MOST = 0.75  # added bytes per character that are always enough
+ALPHABETS = [  # characters and how many bits a random one of them has; the first that fits counts
+    (re.compile("[0-9A-F]+|[0-9a-f]+"), 4.0),
+    (re.compile("[0-9A-Fa-f]+"), 4.46),
+    (re.compile("[A-Z2-7=]+"), 5.0),
+    (re.compile("[A-Z0-9]+|[a-z0-9]+"), 5.17),
+    (re.compile("[A-Za-z0-9]+"), 5.95),
+    (re.compile("[A-Za-z0-9+/_=~-]+"), 6.0),
+]
+DOTTED = 6.4  # bits of a character of a string with dots, such as a name of a host
 IDENTIFIERS = (
     b"import from return class function public private static const string number boolean value "
     b"config settings environment localhost https://www.example.com/index.html application/json "
@@ -99,21 +110,54 @@ def key_blocks(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def announced(text: str, start: int) -> bool:
-    """Whether a sensitive word stands shortly before a place, or before the separators in front of it."""
-    if SENSITIVE.search(text, max(0, start - REACH), start):
+def enough(value: str) -> float:
+    """Bytes that a random string with the characters of ``value`` adds at least."""
+    bits = next((bits for pattern, bits in ALPHABETS if pattern.fullmatch(value)), DOTTED)
+    return min(MOST, NOVELTY * bits / 8) * len(value)
+
+
+class Before:
+    """The last of some matches that ends in front of a place; places are asked for in order."""
+
+    def __init__(self, pattern: re.Pattern, text: str):
+        self.left = pattern.finditer(text)
+        self.next = next(self.left, None)
+        self.start = self.end = -1
+
+    def move(self, place: int) -> None:
+        while self.next is not None and self.next.end() <= place:
+            self.start, self.end = self.next.span()
+            self.next = next(self.left, None)
+
+
+def announced(text: str, start: int, word: Before, sentence: Before) -> bool:
+    """Whether a sensitive word stands in front of a place, in its sentence or line, or shortly before
+    it or the separators in front of it."""
+    word.move(start)
+    sentence.move(start)
+    if word.start < 0:
+        return False
+    if word.start >= sentence.end or word.start >= start - REACH:
         return True
     before = start
-    while before and not text[before - 1].isalnum():
+    while before > word.end and not text[before - 1].isalnum():
         before -= 1
-    return bool(SENSITIVE.search(text, max(0, before - REACH), before))
+    return word.start >= before - REACH
 
 
 def novel_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Incompressible strings in a sensitive context that touch no base span."""
+    """Incompressible strings in a sensitive context that touch no base span, but for runs of hex digits
+    that make up less than half of the string.
+
+    Candidates, base spans, announcements and key blocks are walked side by side, in order of place.
+    """
     found = []
     blocks_left = key_blocks(text)[::-1]
     ends = sorted((e for kind, _, e in base if kind != "hex"), reverse=True)
+    spans = sorted(((s, e) for kind, s, e in base if kind != "hex"), reverse=True)
+    runs = sorted(((s, e) for kind, s, e in base if kind == "hex"), reverse=True)
+    covered = 0  # end of the spans of other kinds that begin in front of the candidate's end
+    word, sentence = Before(SENSITIVE, text), Before(SENTENCE, text)
     last = -1  # end of the last string in context: what follows it directly is in context too
     for m in CANDIDATE.finditer(text):
         value, (start, end) = m[0], m.span()
@@ -121,19 +165,25 @@ def novel_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
             blocks_left.pop()
         while ends and ends[-1] <= start:
             last = max(last, ends.pop())
-        if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
-            continue
+        while spans and spans[-1][0] < end:
+            covered = max(covered, spans.pop()[1])
+        digits = 0  # runs of hex digits do not overlap each other and lie within one candidate
+        while runs and runs[-1][0] < end:
+            run = runs.pop()
+            digits += max(0, run[1] - max(run[0], start))
+        if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)) or text[start - 1 : start] == "@":
+            continue  # words, numbers, hosts of addresses
         block = blocks_left[-1] if blocks_left and blocks_left[-1][0] <= start else None
         follows = last >= 0 and SEPARATORS.fullmatch(text, last, start)
         last = -1
-        if not (block or follows or announced(text, start)):
+        if not (block or follows or announced(text, start, word, sentence)):
             continue
         last = end
-        if any(s < end and start < e for _, s, e in base):
+        if covered > start or 2 * digits >= end - start:
             continue
         history = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
         cost = added_bytes(value.encode(), history.replace(value, "").encode())
-        if cost >= NOVELTY * len(value):
+        if cost >= enough(value):
             found.append(("novel", start, end))
             rest = block and REST.fullmatch(text, end, block[1])
             if rest and not CANDIDATE.fullmatch(rest[1]):

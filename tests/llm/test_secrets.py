@@ -1,6 +1,7 @@
 import random
 import re
 import string
+import time
 
 import pytest
 from hirelens.llm import secrets
@@ -49,7 +50,7 @@ def test_novelty():
     assert novel("no announcing word Zx81kQpLm29sTzr4vB7nC") == []
     assert novel("key user_handler_manager_0123456789 and api_key_service_controller_1") == []
     assert novel("auth 1111111111111111111a") == []
-    assert novel("key Zx81kQpLm29sTzr4vB7nC " + "filler " * 9 + "Zx81kQpLm29sTzr4vB7nC") == ["Zx81kQpLm29sTzr4vB7nC"]
+    assert novel("key Zx81kQpLm29sTzr4vB7nC " + "filler. " * 9 + "Zx81kQpLm29sTzr4vB7nC") == ["Zx81kQpLm29sTzr4vB7nC"]
 
 
 def test_all_lines_of_a_private_key():
@@ -99,3 +100,41 @@ def test_listed(spark):
 
 def test_empty(empty):
     assert secrets.find_secrets(empty, "text", "_spans").count() == 0
+
+
+FRAME = "The report was sent to all. Our private key is {} and must not be shared with anyone else in the team."
+LETTERS = {"upper hex": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": string.ascii_letters + string.digits + "+/"}
+
+
+@pytest.mark.parametrize("letters", LETTERS.values(), ids=LETTERS)
+@pytest.mark.parametrize("length", [32, 64, 128, 256])
+def test_random_strings_of_small_alphabets(letters, length):
+    rng = random.Random(length)
+    found = 0
+    for _ in range(30):
+        value = "".join(rng.choices(letters, k=length))
+        found += any(e - s >= length - 1 for _, s, e in secrets.secret_spans(FRAME.format(value)))
+    assert found >= 29
+
+
+def test_announcement_holds_for_its_sentence():
+    value = "q8Zk2LmP0vXw91TbYs7QAi3R"
+    near = f"the credential that you asked me for some days ago, as agreed with the others, is {value} now"
+    assert [k for k, _, _ in secrets.secret_spans(near)] == ["novel"]
+    for stop in (". ", "\n"):
+        far = f"the credential that you asked me for{stop}some days ago, as agreed with the other people, is {value}"
+        assert not secrets.secret_spans(far)
+
+
+def test_clean_texts_gain_no_span(spark):
+    """Nothing but the fixed patterns is found in the given documents."""
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    assert not [t for t in texts if any(k == "novel" for k, _, _ in secrets.secret_spans(t))]
+
+
+def test_time_is_linear_in_assignments():
+    rng = random.Random(1)
+    one = [f'password = "{"".join(rng.choices(string.ascii_letters + string.digits, k=20))}"' for _ in range(16_000)]
+    start = time.perf_counter()
+    assert len(secrets.secret_spans(" ".join(one))) == 16_000
+    assert time.perf_counter() - start < 3
