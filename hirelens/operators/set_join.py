@@ -264,12 +264,14 @@ def shingle_sets(df: DataFrame, keys: DataFrame, shingle: int, words: str = WORD
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (``src, dst`` and more) with ``far``: one minus the Jaccard similarity of the sets.
+    """``pairs`` (``src, dst`` and more) with ``far``: one minus the Jaccard similarity of the sets, one for
+    two empty sets.
 
     Keys of ``sets`` are unique, so a frequent end of pairs is left to the engine's skew split.
     """
     a = sets.select(F.col("key").alias("src"), F.col("shingles").alias("_a"))
     b = sets.select(F.col("key").alias("dst"), F.col("shingles").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
-    far = 1 - both / (F.size("_a") + F.size("_b") - both)
+    all_of = F.size("_a") + F.size("_b") - both
+    far = F.when(all_of > 0, 1 - both / all_of).otherwise(1.0)
     return pairs.join(a, "src").join(b, "dst").select(*pairs.columns, far.alias("far"))
