@@ -1,20 +1,7 @@
 """Small brute-force versions that several tests share."""
 
-from hirelens.llm import simhash
-
 
 def fixed_labels(spark):
     """Labels that teach nothing: every score is the bias of clean documents."""
     rows = [(i, 1, 0) for i in range(1, 13)]
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
-
-
-def components(rows):
-    """Groups of near copies, all pairs looked at."""
-    groups = []
-    for row in rows:
-        fp = simhash.fingerprint(row[1])
-        near = [g for g in groups if any((fp ^ f).bit_count() <= 2 for _, f in g)]
-        merged = [(row, fp)] + [m for g in near for m in g]
-        groups = [g for g in groups if g not in near] + [merged]
-    return [[row for row, _ in g] for g in groups]
