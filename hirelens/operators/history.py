@@ -11,10 +11,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from hirelens.functions.text import hash_content, is_blank
-from hirelens.operators.skew import lookup
 
 
 def first_rows(
@@ -38,7 +38,8 @@ def winning_rows(
     last: bool = False,
 ) -> DataFrame:
     """``first_rows`` with ``more`` aggregates over all rows of the key."""
-    place = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], F.xxhash64(*df.columns).alias("_h"))
+    values = [F.to_json(F.struct(f.name)) if has_map(f.dataType) else F.col(f.name) for f in df.schema]
+    place = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], F.xxhash64(*values).alias("_h"))
     placed = df.withColumn("_place", place)
     best = (F.max if last else F.min)("_place")
     winners = placed.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
@@ -48,9 +49,21 @@ def winning_rows(
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
     picked = placed.join(winners.hint("shuffle_hash"), same)
+    if any(has_map(f.dataType) for f in df.schema):  # what is left of a key are its winner and equal rows
+        picked = picked.dropDuplicates([f"_key_{i}" for i in range(len(keys))])
+        return picked.select(*df.columns, *more)
     return picked.select(*df.columns, *more).distinct()
 
 
+def has_map(kind: T.DataType) -> bool:
+    """Whether a type is a map or holds one; such values have no hash and cannot be compared."""
+    if isinstance(kind, T.ArrayType):
+        return has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType)
+
+
 def dedup_jobs(
     df: DataFrame, key: str = "job_id_raw", order: Sequence[str] = ("page", "position")
 ) -> DataFrame:
@@ -109,21 +122,19 @@ def dedup_companies(companies: DataFrame) -> DataFrame:
 def job_company(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     """Jobs with their company's page fields.
 
-    Companies have one row per id, so the join never multiplies. Jobs without a company and those
-    of the few companies that hold most jobs are kept apart, see ``lookup``.
+    Companies have one row per id, so the join never multiplies, and one that holds many jobs is split
+    by the engine. Jobs without a company take a hash of themselves as key, so they spread.
     """
     job_id = F.col("company_info.company_id_hash")
-    keyed = jobs.withColumn("_company", job_id)
-    right = companies.select(
+    own_hash = F.concat(F.lit("\0"), F.xxhash64("job_identity").cast("string"))
+    keyed = jobs.withColumn("_company", F.coalesce(job_id, own_hash))
+    right = companies.filter("company_identity.company_id_hash is not null").select(
         F.col("company_identity.company_id_hash").alias("_company"),
         F.col("company_identity.company_name_raw").alias("company_name"),
         F.col("company_page_raw.company_industry_raw").alias("company_industry"),
         F.col("company_page_raw.company_size_raw").alias("company_size"),
     )
-    sizes = jobs.filter(job_id.isNotNull()).groupBy(job_id.alias("_company")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    return lookup(keyed, sizes.join(right, "_company"), "_company", "_n").drop("_company", "_n")
+    return keyed.join(right, "_company", "left").drop("_company")
 
 
 def change_history(df: DataFrame, key: str, ts: str, content_hash: str) -> DataFrame:

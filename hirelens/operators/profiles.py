@@ -23,6 +23,7 @@ from hirelens.operators.market import (
     skill_frequency,
     with_all_skills,
 )
+from hirelens.session import shared_dir
 from hirelens.operators.skew import lookup, rank_by_score, top_k
 
 
@@ -241,7 +242,8 @@ def rank_profiles(
 
     ``scored`` has ``profile_id``, the keys and a ``score`` in [0, 1] per pair.
     """
-    means = scored.groupBy(*keys, "profile_id").agg(F.avg("score").alias("score"))
+    shared_dir(scored.sparkSession)
+    means = scored.groupBy(*keys, "profile_id").agg(F.avg("score").alias("score")).checkpoint()
     return rank_by_score(means, keys, "score")
 
 

@@ -30,6 +30,7 @@ BITS = 22  # 2^22 counters: 4 MB as levels
 FEW_KEYS = 10_000  # asked keys that are broadcast, at most
 KEY_BITS = 20  # cells of the bitmap of asked keys
 SHARD = 1 << 16  # counters that travel as one row
+EXTRA = 0.03  # share of a set's shingles that count as early beyond the fewest that must
 BLOCK = 50_000  # postings of a list that meet in one group, about
 WORDS = r"[^\W_]+"  # runs of letters and digits
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -181,45 +182,53 @@ def rows_of(held: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
 
 def room(similarity: float) -> str:
     """SQL condition on two lists of places of one shingle, ``a`` and ``b``: sizes (``least`` to ``most``)
-    and places (``place`` and ``rest`` behind it, the largest of each) leave room for the similarity."""
+    and places (``place`` and ``rest`` behind it, the largest of each) leave room for the similarity, and
+    one that may be the smaller has the shingle ``early``."""
     t = similarity
     return (
-        f"a.most >= {t} * b.least - 1e-9 and b.most >= {t} * a.least - 1e-9 and"
-        " least(a.place, b.place) + least(a.rest, b.rest)"
-        f" >= {t / (1 + t)!r} * (a.least + b.least) - 1e-6"
+        f"a.most >= {t}D * b.least - 1e-9D and b.most >= {t}D * a.least - 1e-9D"
+        " and (a.early and a.least <= b.most or b.early and b.least <= a.most)"
+        " and least(a.place, b.place) + least(a.rest, b.rest)"
+        f" >= {t / (1 + t)!r}D * (a.least + b.least) - 1e-6D"
     )
 
 
+def late(size: str, similarity: float) -> str:
+    """SQL for the shingles of the smaller of two sets that stand behind its early ones."""
+    t = similarity
+    return f"(ceil({2 * t / (1 + t)!r}D * {size} - 1e-9D) - 1 - floor({EXTRA}D * {size}))"
+
+
 def enough(similarity: float) -> str:
-    """SQL condition on two prefixes that share ``n`` shingles, of sets with ``a0`` to ``a1`` and ``b0`` to
-    ``b1`` shingles.
+    """SQL condition on two prefixes that share ``n`` shingles: of sets with ``a0`` and ``b0`` shingles.
 
-    Whatever two sets have in common beyond the end of the prefix that ends first lies in the rest of
-    that set. So they share at most ``n`` and the longer rest; the sizes that ask for least are at
-    the ends of their ranges.
+    Counted are shingles of the prefix of the larger set that are early ones of the smaller. Whatever
+    the sets have in common beyond the one of these that ends first lies in the rest of that set. So
+    they share at most ``n`` and the longer rest. Groups of sets of several sizes (to ``a1``, ``b1``)
+    need only share one.
     """
     t = similarity
-    asks = [
-        f"{t / (1 + t)!r} * ({a} + {b}) - greatest(ceil({t} * {a} - 1e-9), ceil({t} * {b} - 1e-9)) + 1"
-        for a in ("a0", "a1")
-        for b in ("b0", "b1")
-    ]
-    return f"n >= least({', '.join(asks)}) - 1e-6"
+    rest = f"greatest(ceil({t}D * greatest(a0, b0) - 1e-9D) - 1, {late('least(a0, b0)', t)})"
+    return f"a0 < a1 or b0 < b1 or n >= {t / (1 + t)!r}D * (a0 + b0) - {rest} - 1e-6D"
 
 
 def prefix_pairs(posted: DataFrame, name: str, similarity: float) -> DataFrame:
     """``src, dst`` (``src > dst``): values of ``name`` in ``posted`` that share enough postings.
 
     With the key as ``name`` these are sets that may be alike; with a group of sets, groups of which
-    two members may be.
+    two members may be. A larger set must have a shingle in its prefix, of the smaller the early part
+    of the prefix will do, as it leaves out the more frequent ones; ``EXTRA`` of them more are
+    counted, so that alike sets share many and others can be told by their number.
     """
     ends = posted.groupBy("token", F.col(name).alias("name")).agg(
         F.min("size").alias("least"),
         F.max("size").alias("most"),
         F.max("place").alias("place"),
         F.max(F.col("size") - F.col("place")).alias("rest"),
+        F.max(F.expr(f"size - place > {late('size', similarity)}")).alias("early"),
     )
-    a, b = (ends.select("token", F.struct("name", "least", "most", "place", "rest").alias(n)) for n in "ab")
+    fields = ("name", "least", "most", "place", "rest", "early")
+    a, b = (ends.select("token", F.struct(*fields).alias(n)) for n in "ab")
     met = a.join(b, "token").filter("a.name > b.name").filter(room(similarity))
     counted = met.groupBy(F.col("a.name").alias("src"), F.col("b.name").alias("dst")).agg(
         F.count(F.lit(1)).alias("n"),

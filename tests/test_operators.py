@@ -246,6 +246,16 @@ def test_array_file_is_read_by_many_tasks(spark, tmp_path, indent):
     assert [r.file.rsplit("/", 1)[1] for r in bad] == ["torn.json"] and tasks > 50
 
 
+def test_dedup_of_rows_with_maps(spark):
+    """Maps, also within other types, are kept as they are; equal rows leave one."""
+    schema = "id string, ts int, m map<string,string>, deep array<struct<x:map<string,int>>>"
+    rows = [("a", 1, {"k": "1"}, [({"y": 1},)]), ("a", 1, {"k": "1"}, [({"y": 1},)]), ("a", 2, {"k": "2"}, None), ("b", 1, None, []), (None, 5, {}, None)]
+    df = spark.createDataFrame(rows, schema)
+    first = history.first_rows(df, ["id"], [c("ts")]).collect()
+    assert sorted(((r.id, r.ts, r.m) for r in first), key=repr) == [("a", 1, {"k": "1"}), ("b", 1, None), (None, 5, {})]
+    assert {(r.id, r.ts) for r in history.dedup_by_id(df, "id", "ts").collect()} == {("a", 2), ("b", 1), (None, 5)}
+
+
 def test_state_carried_over_five_runs(spark, tmp_path):
     """The same as the window over all runs, also for runs worked over and from a new session's catalog."""
     rng = random.Random(8)
