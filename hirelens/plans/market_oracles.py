@@ -225,6 +225,13 @@ ORACLES = {
     " a.doc_id JOIN sizes b ON c.y = b.doc_id WHERE c.n >= 0.8 * (a.n + b.n - c.n) UNION SELECT a.doc_id,"
     " b.doc_id FROM t a JOIN t b ON a.h = b.h), reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y"
     ' FROM reach r JOIN links l ON r.y = l.x) SELECT x AS doc_id, min(y) AS "group" FROM reach GROUP BY x',
+    "vocab_match_phrases": f"WITH b AS (SELECT {_TOKENS} AS ts FROM benchmark), phrases AS (SELECT DISTINCT"
+    " array_to_string(ts[i:i + n - 1], ' ') AS phrase, n FROM (SELECT ts, n, unnest(range(1, len(ts) - n + 2)) AS i"
+    f" FROM b, (VALUES (2), (3)) l(n))), d AS (SELECT doc_id, {_TOKENS} AS ts FROM documents), runs AS (SELECT"
+    " doc_id, i - 1 AS place, array_to_string(ts[i:i + n - 1], ' ') AS phrase FROM (SELECT doc_id, ts, n,"
+    " unnest(range(1, len(ts) - n + 2)) AS i FROM d, (VALUES (2), (3)) l(n))) SELECT doc_id, count(*) AS hits,"
+    " count(DISTINCT phrase) AS phrases, CAST(sum(place) AS BIGINT) AS places, min(phrase) AS first FROM runs JOIN phrases"
+    " USING (phrase) GROUP BY doc_id",
     "archetypes": over_parsed(
         "SELECT doc_id, cluster FROM parsed LEFT JOIN nearest USING (doc_id)",
         _TERMS,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens import rules
 from hirelens.functions import tokens as tok
-from hirelens.operators import corpus, market, models, near_dup, profiles
+from hirelens.operators import corpus, market, models, near_dup, phrases, profiles
 from hirelens.plans import inputs
 from hirelens.plans.inputs import parsed_table
 
@@ -137,6 +137,20 @@ def boilerplate_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(corpus.boilerplate_share(p, "doc_id", "company", "description", 3), "share")
 
 
+def vocab_match_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of two and three words of the benchmark's texts as phrases, in all documents."""
+    words = inputs.table(spark, sf_dir, "benchmark").select(tok.tokenize(c("text")).alias("ts"))
+    both = F.concat(tok.ngrams(c("ts"), 2), tok.ngrams(c("ts"), 3))
+    vocabulary = words.select(F.explode(both).alias("phrase"))
+    hits = phrases.phrase_hits(_documents(spark, sf_dir), "doc_id", tok.tokenize(c("text")), vocabulary)
+    return hits.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("hits"),
+        F.count_distinct("phrase").alias("phrases"),
+        F.sum("place").alias("places"),
+        F.min("phrase").alias("first"),
+    )
+
+
 def near_dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dup(_documents(spark, sf_dir), "doc_id", c("text"))
 
@@ -277,7 +291,7 @@ QUERIES = {
         lemmatize, language_filter, pii_mask, normalize_units, tfidf, boilerplate_share,
         ideal_profiles, skills_coverage, match_score, best_profiles, explain_match, skill_gap, seniority_fit,
         role_alignment, combo_rarity, rank_profiles, ranking_metrics, calibration, archetypes,
-        role_classifier,
+        role_classifier, vocab_match_phrases,
     )
 }
 QUERIES["near_dup"] = near_dup_groups

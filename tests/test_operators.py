@@ -17,6 +17,7 @@ from pyspark.sql import Row
 from hirelens import schemas
 from hirelens.functions import tokens as tok
 from hirelens.operators import corpus, history, market, models, near_dup, postings, profiles, quality, set_join, skew
+from hirelens.operators import phrases as phrases_op
 from hirelens.plans import inputs
 from hirelens.session import new_path, shared_dir
 from hirelens.sources import archive, array_files, run_state, sinks
@@ -256,6 +257,27 @@ def test_dedup_of_rows_with_maps(spark):
     assert {(r.id, r.ts) for r in history.dedup_by_id(df, "id", "ts").collect()} == {("a", 2), ("b", 1), (None, 5)}
 
 
+def test_phrases_against_the_substring_rule(spark):
+    """100,000 phrases of one to four words; hits overlap, a hot phrase is in every text."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(300)]
+    phrases = {" ".join(rng.choices(words, k=rng.randrange(1, 5))) for _ in range(150_000)} | {"hot", "hot hot", "w1 w1 w1"}
+    texts = [" ".join(["hot", "hot", "hot", *rng.choices(words, k=rng.randrange(0, 60))]) for _ in range(60)] + ["w1 w1 w1 w1 w1", "", None, "xhot hotx"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(3)
+    table = spark.createDataFrame([(p,) for p in [*phrases, "", "hot"]], "phrase string")
+    got = pairs(phrases_op.phrase_hits(df, "id", F.filter(F.split("t", " "), lambda w: w != ""), table), "id", "phrase", "place")
+    want = []
+    for i, t in enumerate(texts):
+        ts = (t or "").split()
+        for at in range(len(ts)):
+            want += [(i, " ".join(ts[at : at + n]), at) for n in range(1, 5) if at + n <= len(ts) and " ".join(ts[at : at + n]) in phrases]
+    assert len(phrases) > 100_000 and got == sorted(want)
+    for i, p, _ in got[:200]:
+        assert f" {p} " in f" {texts[i]} "
+    none = table.limit(0)
+    assert phrases_op.phrase_hits(df, "id", F.split("t", " "), none).count() == 0
+
+
 def test_state_carried_over_five_runs(spark, tmp_path):
     """The same as the window over all runs, also for runs worked over and from a new session's catalog."""
     rng = random.Random(8)
