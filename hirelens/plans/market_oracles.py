@@ -232,6 +232,15 @@ ORACLES = {
     " unnest(range(1, len(ts) - n + 2)) AS i FROM d, (VALUES (2), (3)) l(n))) SELECT doc_id, count(*) AS hits,"
     " count(DISTINCT phrase) AS phrases, CAST(sum(place) AS BIGINT) AS places, min(phrase) AS first FROM runs JOIN phrases"
     " USING (phrase) GROUP BY doc_id",
+    "text_match_top": f"WITH sides AS (SELECT 'd' AS side, doc_id AS id, {_TOKENS} AS ts FROM documents UNION ALL"
+    f" SELECT 'b', item_id, {_TOKENS} FROM benchmark), terms AS (SELECT side, id, term, count(*) AS tf FROM (SELECT"
+    " side, id, unnest(ts) AS term FROM sides) GROUP BY ALL), weighted AS (SELECT side, id, t.term, tf *"
+    " ln((SELECT count(*) FROM sides) / df) AS w FROM terms t JOIN (SELECT term, count(*) AS df FROM terms GROUP BY"
+    " term) d ON t.term = d.term), unit AS (SELECT side, id, term, w / sqrt(sum(w * w) OVER (PARTITION BY side, id))"
+    " AS w FROM weighted WHERE w > 0), scored AS (SELECT a.id AS doc_id, b.id AS item_id, round(sum(a.w * b.w), 9) AS"
+    " score FROM unit a JOIN unit b ON a.term = b.term AND a.side = 'd' AND b.side = 'b' GROUP BY ALL) SELECT doc_id,"
+    " item_id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, item_id) AS"
+    " INTEGER) AS rank FROM scored WHERE score >= 0.2 QUALIFY rank <= 3",
     "archetypes": over_parsed(
         "SELECT doc_id, cluster FROM parsed LEFT JOIN nearest USING (doc_id)",
         _TERMS,

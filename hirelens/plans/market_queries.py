@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens import rules
 from hirelens.functions import tokens as tok
-from hirelens.operators import corpus, market, models, near_dup, phrases, profiles
+from hirelens.operators import corpus, market, models, near_dup, phrases, profiles, text_match
 from hirelens.plans import inputs
 from hirelens.plans.inputs import parsed_table
 
@@ -151,6 +151,14 @@ def vocab_match_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_match_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three benchmark texts that each document's text is most like."""
+    docs = _documents(spark, sf_dir).select("doc_id", tok.tokenize(c("text")).alias("ts"))
+    items = inputs.table(spark, sf_dir, "benchmark").select("item_id", tok.tokenize(c("text")).alias("ts"))
+    found = text_match.text_matches(docs, items, "doc_id", "item_id", c("ts"), k=3, least=0.2)
+    return rounded(found, "score")
+
+
 def near_dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dup(_documents(spark, sf_dir), "doc_id", c("text"))
 
@@ -291,7 +299,7 @@ QUERIES = {
         lemmatize, language_filter, pii_mask, normalize_units, tfidf, boilerplate_share,
         ideal_profiles, skills_coverage, match_score, best_profiles, explain_match, skill_gap, seniority_fit,
         role_alignment, combo_rarity, rank_profiles, ranking_metrics, calibration, archetypes,
-        role_classifier, vocab_match_phrases,
+        role_classifier, vocab_match_phrases, text_match_top,
     )
 }
 QUERIES["near_dup"] = near_dup_groups

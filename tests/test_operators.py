@@ -18,6 +18,7 @@ from hirelens import schemas
 from hirelens.functions import tokens as tok
 from hirelens.operators import corpus, history, market, models, near_dup, postings, profiles, quality, set_join, skew
 from hirelens.operators import phrases as phrases_op
+from hirelens.operators import text_match
 from hirelens.plans import inputs
 from hirelens.session import new_path, shared_dir
 from hirelens.sources import archive, array_files, run_state, sinks
@@ -257,6 +258,34 @@ def test_dedup_of_rows_with_maps(spark):
     assert {(r.id, r.ts) for r in history.dedup_by_id(df, "id", "ts").collect()} == {("a", 2), ("b", 1), (None, 5)}
 
 
+@pytest.mark.parametrize("least", [0.05, 0.3])
+def test_text_matches_against_all_pairs(spark, least):
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(80)]
+    some = lambda n: rng.choices(words[:20], k=n) + rng.choices(words, k=n)
+    left = [(i, ["hot", *some(rng.randrange(0, 9))]) for i in range(60)] + [(60, []), (61, None), (62, ["hot"])]
+    right = [(f"p{i}", ["hot", *some(rng.randrange(0, 6))]) for i in range(25)] + [("none", [])]
+    a, b = (spark.createDataFrame(rows, f"{k}, ts array<string>") for rows, k in ((left, "l int"), (right, "r string")))
+    rows = [(("l", k), ts or []) for k, ts in left] + [(("r", k), ts or []) for k, ts in right]
+    seen = Counter(t for _, ts in rows for t in set(ts))
+    unit = {}
+    for k, ts in rows:
+        w = {t: n * math.log(len(rows) / seen[t]) for t, n in Counter(ts).items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        unit[k] = {t: x / norm for t, x in w.items() if x} if norm else {}
+    want = []
+    for i, _ in left:
+        scores = [(round(sum(x * unit["r", j].get(t, 0) for t, x in unit["l", i].items()), 9), j) for j, _ in right]
+        best = sorted(((-s, j) for s, j in scores if s >= least))[:3]
+        want += [(i, j, pytest.approx(-s), n + 1) for n, (s, j) in enumerate(best)]
+    got = pairs(text_match.text_matches(a, b, "l", "r", c("ts"), 3, least), "l", "r", "score", "rank")
+    assert len(want) > 20 and got == sorted(want, key=lambda r: r[:2])
+    va, vb = text_match.vectors_of(a, b, "l", "r", c("ts"))
+    made = text_match.candidates(va, vb, "l", "r", least).count()
+    everything = sum(bool(set(unit["l", i]) & set(unit["r", j])) for i, _ in left for j, _ in right)
+    assert made < everything * (0.9 if least == 0.3 else 1.01)
+
+
 def test_phrases_against_the_substring_rule(spark):
     """100,000 phrases of one to four words; hits overlap, a hot phrase is in every text."""
     rng = random.Random(12)
