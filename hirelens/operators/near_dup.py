@@ -5,7 +5,8 @@ Texts are linked if their sets of word shingles are as alike as asked; groups ar
 texts are first gathered into stars: MinHash bands propose a hub for a text, the distance decides.
 One minus the Jaccard similarity is a metric, so two stars can hold a linked pair only if their hubs
 are no further apart than the link and both radii allow. Stars that share a posting compare hubs; only
-where that leaves the question open do their members meet. MinHash saves work and decides nothing.
+where that leaves the question open, and no chain of links connects them yet, do their members meet.
+MinHash saves work and decides nothing.
 
 The number of steps is fixed, whatever the data; connecting links takes rounds that grow with the
 logarithm of the longest chain.
@@ -196,6 +197,15 @@ def member_pairs(posted: DataFrame, near: DataFrame, similarity: float) -> DataF
     return left.filter("not (f_src = 0 and f_dst = 0)").select("src", "dst")
 
 
+def apart_still(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """``pairs`` (``src, dst`` and more) whose ends no chain of ``links`` connects yet."""
+    groups = connected_groups(links)
+    a = groups.select(F.col("node").alias("src"), F.col("group").alias("g_src"))
+    b = groups.select(F.col("node").alias("dst"), F.col("group").alias("g_dst"))
+    met = pairs.join(a, "src", "left").join(b, "dst", "left")
+    return met.filter("g_src is null or g_dst is null or g_src <> g_dst").select(*pairs.columns)
+
+
 def alike(
     df: DataFrame,
     similarity: float,
@@ -243,10 +253,11 @@ def alike(
     hubs = written(hubs, "hubs")
     links = linked.select("src", "dst").union(hubs.filter(F.col("far") <= most).select("src", "dst"))
 
-    # members of stars whose hubs leave it open
+    # members of stars whose hubs leave it open and that are not in one group anyway
     near = hubs.filter((F.col("far") > most) & (F.col("room") > 0))
     if near.isEmpty():
         return links
+    near = written(apart_still(near, links), "near")
     pairs = written(member_pairs(placed, near, similarity), "pairs")
     asked = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
     sets = set_join.shingle_sets(df, asked, shingle, words)
