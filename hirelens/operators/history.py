@@ -126,7 +126,8 @@ def job_company(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     by the engine. Jobs without a company take a hash of themselves as key, so they spread.
     """
     job_id = F.col("company_info.company_id_hash")
-    own_hash = F.concat(F.lit("\0"), F.xxhash64("job_identity").cast("string"))
+    hashed = [f.name for f in jobs.schema if not has_map(f.dataType)]
+    own_hash = F.concat(F.lit("\0"), F.xxhash64(*hashed).cast("string"))
     keyed = jobs.withColumn("_company", F.coalesce(job_id, own_hash))
     right = companies.filter("company_identity.company_id_hash is not null").select(
         F.col("company_identity.company_id_hash").alias("_company"),
