@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from hirelens.session import give_back
+
 BITS = 22  # 2^22 counters: 4 MB as levels
+FEW_ROWS = 200  # rows of a batch that are Python objects at once
 FEW_KEYS = 10_000  # asked keys that are broadcast, at most
 KEY_BITS = 20  # cells of the bitmap of asked keys
 SHARD = 1 << 16  # counters that travel as one row
@@ -58,16 +61,22 @@ class Shingler:
 
 
 def texts(batches: Iterable[pa.RecordBatch], once: bool = False) -> Iterator[tuple]:
-    """``(key, text)`` rows of batches; with ``once``, of equal texts of a task the first only."""
+    """``(key, text)`` rows of batches; with ``once``, of equal texts of a task the first only.
+
+    A few rows of a batch are Python objects at a time; a task gives its memory back at its end.
+    """
     seen: set[bytes] = set()
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if once and text is not None:
-                digest = hashlib.blake2b(text.encode(), digest_size=16).digest()
-                if digest in seen:
-                    continue
-                seen.add(digest)
-            yield key, text
+        for start in range(0, batch.num_rows, FEW_ROWS):
+            part = batch.slice(start, FEW_ROWS)
+            for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if once and text is not None:
+                    digest = hashlib.blake2b(text.encode(), digest_size=16).digest()
+                    if digest in seen:
+                        continue
+                    seen.add(digest)
+                yield key, text
+    give_back()
 
 
 class Counters:
@@ -260,11 +269,12 @@ def shingle_sets(df: DataFrame, keys: DataFrame, shingle: int, words: str = WORD
         shingles = Shingler(shingle, words)
         for batch in batches:
             some = batch.filter(pa.array(asked[batch.column(2).to_numpy()]))
-            for start in range(0, some.num_rows, 500):
-                part = some.slice(start, 500)
+            for start in range(0, some.num_rows, FEW_ROWS):
+                part = some.slice(start, FEW_ROWS)
                 sets = [shingles(t).view(np.int64) for t in part.column(1).to_pylist()]
                 lists = pa.array(sets, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "shingles"])
+        give_back()
 
     found = df.select("key", "text", cell).mapInArrow(
         run, f"key {kind}, shingles array<bigint>"

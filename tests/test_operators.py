@@ -10,6 +10,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Row
@@ -860,3 +861,15 @@ def test_writing_a_run_again_replaces_it(spark, sf_dir, tmp_path):
 def test_ranks_follow_the_whole_score(spark):
     df = spark.createDataFrame([("k", 1, 0.71234), ("k", 2, 0.71231), ("k", 3, 0.71234), ("k", 4, 1.0), (None, 5, 0.5)], "g string, i int, s double")
     assert pairs(skew.rank_by_score(df, ["g"], "s"), "i", "rank") == [(1, 2), (2, 4), (3, 2), (4, 1), (5, 1)]
+
+
+def test_texts_of_a_batch_are_not_all_objects_at_once():
+    import tracemalloc
+
+    batch = pa.RecordBatch.from_pydict({"key": range(4000), "text": [f"{i} " * 1500 for i in range(4000)]})
+    want = batch.column(1).to_pylist()
+    tracemalloc.start()
+    places = [key for key, text in set_join.texts([batch], once=True) if text == want[key]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert places == list(range(4000)) and peak < 10_000_000
