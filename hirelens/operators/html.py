@@ -57,7 +57,7 @@ _ARROW_ELEMENT = pa.struct(
         for f in ELEMENT
     ]
 )
-_FLUSH_CHARS = 8_000_000  # output rows are sent on after this much page text
+_FLUSH_CHARS = 1_000_000  # output rows are sent on after this much page text
 
 
 class _PageReader(HTMLParser):
@@ -270,17 +270,24 @@ def parse_pages(
             first, held, out = 0, 0, []
             for i, page in enumerate(batch.column(len(keys))):
                 text = page.as_py()
-                reader = None
+                found = None
                 if text is not None:
-                    reader = _PageReader()
-                    reader.read(text)
+                    found = read_page(text)
                     held += len(text)
-                out.append(reader)
+                out.append(found)
                 if held >= _FLUSH_CHARS:
                     yield assemble(batch, first, out)
                     first, held, out = i + 1, 0, []
             if out:
                 yield assemble(batch, first, out)
+            del batch, out
+            pa.default_memory_pool().release_unused()  # the worker is kept for other batches and tasks
+
+    def read_page(text: str) -> tuple[list[str], list[dict], str | None]:
+        """What is sent on of a page, so that nothing else of it is held."""
+        reader = _PageReader()
+        reader.read(text)
+        return reader.pieces, kept_elements(reader), reader.markup if markup else None
 
     def kept_elements(reader) -> list[dict]:
         """Kept elements with their places; one pass over them in each direction."""
@@ -295,13 +302,13 @@ def parse_pages(
             next_of[e["parent"], e["tag"]] = at
         return kept
 
-    def lists(readers, rows_of, to_array) -> pa.Array:
+    def lists(found, part, to_array) -> pa.Array:
         """One list per page (null for a null page) over flat values."""
         offsets, flat = [], []
-        for reader in readers:
-            offsets.append(None if reader is None else len(flat))
-            if reader is not None:
-                flat.extend(rows_of(reader))
+        for page in found:
+            offsets.append(None if page is None else len(flat))
+            if page is not None:
+                flat.extend(page[part])
         offsets.append(len(flat))
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), to_array(flat))
 
@@ -312,17 +319,11 @@ def parse_pages(
             columns.append(pa.array(values, f.type))
         return pa.StructArray.from_arrays(columns, fields=list(_ARROW_ELEMENT))
 
-    def assemble(batch, first, readers):
-        columns = [batch.column(k).slice(first, len(readers)) for k in range(len(keys))]
-        columns.append(
-            lists(readers, lambda r: r.pieces, lambda flat: pa.array(flat, pa.string()))
-        )
-        columns.append(
-            lists(readers, kept_elements, element_array)
-        )
-        columns.append(
-            pa.array([r.markup if r and markup else None for r in readers], pa.string())
-        )
+    def assemble(batch, first, found):
+        columns = [batch.column(k).slice(first, len(found)) for k in range(len(keys))]
+        columns.append(lists(found, 0, lambda flat: pa.array(flat, pa.string())))
+        columns.append(lists(found, 1, element_array))
+        columns.append(pa.array([page and page[2] for page in found], pa.string()))
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return pages.select(*keys, html).mapInArrow(read_batches, schema)

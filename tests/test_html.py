@@ -1,8 +1,11 @@
 """Element index and selectors on literal pages."""
 
 import time
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens import rules
 from hirelens.operators import extract, html
@@ -180,3 +183,26 @@ def test_descendants_and_followers_are_places(spark):
         assert inside[: e["below"]] == list(range(e["at"] + 1, e["at"] + 1 + e["below"]))
         later = [k["at"] for k in kept if k["tag"] == "dd" and k["parent"] == e["parent"] and k["ord"] > e["ord"]]
         assert e["follower"] == (later[0] if later and e["tag"] == "dt" else -1)
+
+
+class _Pages:
+    """Stands for a table of pages; its ``mapInArrow`` gives the function that tasks would run."""
+
+    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("html", T.StringType())])
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_a_batch_of_pages_is_not_held_as_objects():
+    page = "<div>" + "<i>word</i>" * 2000 + "</div>"
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([page] * 200)], ["page_id", "html"])
+    run = html.parse_pages(_Pages(), ["page_id"], tags=["div"], attrs=[], bare_tags=["div"])
+    tracemalloc.start()
+    counts = [out.num_rows for out in run(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(counts) == 200 and most < 50_000_000  # all elements of 200 pages take some 200 MB
