@@ -873,3 +873,13 @@ def test_texts_of_a_batch_are_not_all_objects_at_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert places == list(range(4000)) and peak < 10_000_000
+
+
+def test_lookup_shuffles_rows_without_a_second_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, word string")
+    table = spark.createDataFrame([("a", 5, 1)], "word string, value int, count int")
+    plan = skew.lookup(df, table, "word", "count")._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert "_probe" not in text
+    left = re.findall(r"Project \[(.*)\]", text)[1]  # what the shuffled join gets of a row
+    assert len(re.findall(r"word#", left)) == 1 and not re.search(r"\b_hot#", left)
