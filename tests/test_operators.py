@@ -883,3 +883,22 @@ def test_lookup_shuffles_rows_without_a_second_key(spark):
     assert "_probe" not in text
     left = re.findall(r"Project \[(.*)\]", text)[1]  # what the shuffled join gets of a row
     assert len(re.findall(r"word#", left)) == 1 and not re.search(r"\b_hot#", left)
+
+
+def test_scores_add_up_hot_terms_by_key_before_they_are_shuffled(spark):
+    vectors = spark.createDataFrame([(k, t, 0.5) for k in range(20) for t in "abcdef"], "k long, term string, w double")
+    weights = spark.createDataFrame(
+        [(n, t, 20, 1.0) for n in (0, 1) for t in "abcdef"], "cluster int, term string, df long, weight double"
+    )
+    found = models.scores(vectors, "k", weights, "cluster", "w")
+    assert {(r.k, r.cluster, r.score) for r in found.collect()} == {(k, n, 3.0) for k in range(20) for n in (0, 1)}
+    assert re.search(r"xxhash64\(k#\d+L?, 42\)", found._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_unit_vectors_have_length_one_and_leave_out_null_keys(spark):
+    df = spark.createDataFrame([(1, "a b b"), (2, "b c"), (2, "c d"), (None, "x")], "k int, t string")
+    found = models.unit_vectors(df, "k", F.split("t", " ")).collect()
+    lengths = Counter()
+    for r in found:
+        lengths[r.k] += r.w * r.w
+    assert set(lengths) == {1, 2} and all(abs(v - 1) < 1e-9 for v in lengths.values())
