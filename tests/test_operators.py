@@ -902,3 +902,17 @@ def test_unit_vectors_have_length_one_and_leave_out_null_keys(spark):
     for r in found:
         lengths[r.k] += r.w * r.w
     assert set(lengths) == {1, 2} and all(abs(v - 1) < 1e-9 for v in lengths.values())
+
+
+def test_a_table_of_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
+    path = f"{tmp_path}/documents.parquet"
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    rows.coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        counts = inputs.table(spark, str(tmp_path), "documents").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(r["count"] for r in counts) == 4000
+    assert max(r["count"] for r in counts) < 1000
