@@ -2,8 +2,8 @@
 
 Shingles are put in one order, rare ones first. If two sets have a Jaccard similarity of ``t``, the
 first ``|x| - ceil(t |x|) + 1`` shingles of each have one in common, at places that leave enough
-common ones behind them. So only these prefixes are posted, a posting that nobody shares is dropped,
-and sets that share one are candidates.
+common ones behind them. So only these prefixes are posted, a posting that no other group
+of sets shares is dropped, and sets that share one are candidates.
 
 The order comes from how often shingles occur: a table of ``2^BITS`` counters, filled from all texts,
 which is small enough to be given to every task. Any order gives the same pairs; counters decide
@@ -132,17 +132,13 @@ def prefix_length(size: int, similarity: float) -> int:
     return size - math.ceil(similarity * size - 1e-9) + 1
 
 
-POSTING = "token bigint, block int, key {kind}, size int, place int"
-
-
-def postings(
+def prefixes(
     df: DataFrame, shingle: int, similarity: float, table: np.ndarray, words: str = WORDS
 ) -> DataFrame:
-    """``token, block, key, size, place``: the prefix of each text of ``df`` (``key, text``), without
-    postings that are alone in their list.
+    """``key, size, tokens, blocks``: the prefix of each text of ``df`` (``key, text``), a row per text.
 
-    A list that its counter shows to be long is dealt to blocks by key; its rows all stay, with
-    ``block`` at least 0. Of equal texts of a task one is posted.
+    A token whose list is long by its counter is dealt to blocks by key, with a block of at least 0; a
+    text without such a token has null ``blocks``. Of equal texts of a task one is taken.
     """
     kind = df.schema["key"].dataType.simpleString()
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
@@ -157,11 +153,11 @@ def postings(
             level = table[counter(hashes)]
             first = np.lexsort((hashes, level))[: prefix_length(len(hashes), similarity)]
             long = level[first].astype(np.int64) - long_level
-            block = np.full(len(first), -1, np.int32)
+            block = None
             if (long > 0).any():
                 own = zlib.crc32(str(key).encode())
                 block = np.where(long > 0, own % (1 << np.clip(long, 0, 30)), -1).astype(np.int32)
-            held.append((hashes[first].view(np.int64), block, key, len(hashes)))
+            held.append((key, len(hashes), hashes[first].view(np.int64), block))
             total += len(first)
             if total > 100_000:
                 yield rows_of(held, arrow)
@@ -169,24 +165,26 @@ def postings(
         if held:
             yield rows_of(held, arrow)
 
-    posted = df.select("key", "text").mapInArrow(run, POSTING.format(kind=kind))
-    alone = Window.partitionBy("token", "block")
-    shared = posted.withColumn("n", F.count(F.lit(1)).over(alone))
-    return shared.filter("n > 1 or block >= 0").drop("n")
+    schema = f"key {kind}, size int, tokens array<bigint>, blocks array<int>"
+    return df.select("key", "text").mapInArrow(run, schema)
 
 
 def rows_of(held: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    lengths = np.array([len(tokens) for tokens, _, _, _ in held])
-    nth = np.repeat(np.arange(len(held)), lengths)
-    places = np.arange(len(nth)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    columns = [
-        pa.array(np.concatenate([tokens for tokens, _, _, _ in held])),
-        pa.array(np.concatenate([block for _, block, _, _ in held])),
-        pa.array([key for _, _, key, _ in held], kind).take(pa.array(nth)),
-        pa.array(np.array([size for _, _, _, size in held], np.int32)[nth]),
-        pa.array(places.astype(np.int32)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["token", "block", "key", "size", "place"])
+    kinds = (kind, pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+    columns = [pa.array(list(values), t) for values, t in zip(zip(*held), kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "size", "tokens", "blocks"])
+
+
+def postings(placed: DataFrame) -> DataFrame:
+    """``token, block, key, hub, size, place``: the prefixes of ``placed`` (``key, hub, size, tokens,
+    blocks``) token by token, without those whose list has one hub only: they make no pair of hubs, nor of
+    members of two. Lists dealt to blocks stay whole."""
+    block = F.coalesce(F.get("blocks", F.col("place")), F.lit(-1))
+    dealt = placed.select("key", "hub", "size", "blocks", F.posexplode("tokens").alias("place", "token"))
+    dealt = dealt.select("token", block.alias("block"), "key", "hub", "size", "place")
+    listed = Window.partitionBy("token", "block")
+    ends = dealt.withColumns({"_least": F.min("hub").over(listed), "_most": F.max("hub").over(listed)})
+    return ends.filter("_least <> _most or block >= 0").drop("_least", "_most")
 
 
 def room(similarity: float) -> str:

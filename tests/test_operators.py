@@ -699,6 +699,38 @@ def test_near_dup_odd_tables(spark):
     assert near_dup.near_dup(spark.createDataFrame([], schema), "id", c("t")).count() == 0
 
 
+def test_postings_of_one_hub_are_left_out(spark):
+    schema = "key long, hub long, size int, tokens array<long>, blocks array<int>"
+    rows = [(1, 1, 3, [7, 8, 9], None), (2, 1, 3, [7, 8], None), (5, 5, 3, [8], None), (6, 6, 2, [4, 7], [0, -1])]
+    got = set_join.postings(spark.createDataFrame(rows, schema)).select("token", "block", "key", "hub", "size", "place")
+    assert sorted(map(tuple, got.collect())) == [
+        (4, 0, 6, 6, 2, 0), (7, -1, 1, 1, 3, 0), (7, -1, 2, 1, 3, 0), (7, -1, 6, 6, 2, 1),
+        (8, -1, 1, 1, 3, 1), (8, -1, 2, 1, 3, 1), (8, -1, 5, 5, 3, 0),
+    ]
+    alone = spark.createDataFrame(rows[:2], schema)
+    assert set_join.postings(alone).count() == 0
+
+
+def test_near_dup_joins_texts_with_their_firsts_and_not_postings(spark, monkeypatch):
+    """Shared postings outgrow the texts, so what is known of a text is joined while it is one row."""
+    seen, as_first = [], near_dup.as_first
+    monkeypatch.setattr(near_dup, "as_first", lambda df, firsts: seen.append(df.columns) or as_first(df, firsts))
+    texts = ["a b c d e f g h i j", "a b c d e f g h i k", "z y x w v u", "a b c d e f g h i j"]
+    assert _near_dup(spark, texts) == _groups(texts)
+    assert seen and not any("token" in columns for columns in seen)
+
+
+def test_connected_groups_of_stars_take_no_round(spark, monkeypatch):
+    looked_up, lookup = [], near_dup.lookup
+    monkeypatch.setattr(near_dup, "lookup", lambda *a: looked_up.append(a) or lookup(*a))
+    stars = spark.createDataFrame([(1, 5), (6, 1), (3, 2), (7, 7)], "src long, dst long")
+    got = {r.node: r.group for r in near_dup.connected_groups(stars).collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 2: 2, 3: 2} and not looked_up
+    chain = spark.createDataFrame([(i + 1, i) for i in range(40)], "src long, dst long")
+    got = {r.node: r.group for r in near_dup.connected_groups(chain).collect()}
+    assert got == dict.fromkeys(range(41), 0) and looked_up
+
+
 def test_near_dup_steps_do_not_grow_with_unlike_members(spark):
     """A common frame puts all texts in common buckets and lists; only connecting links takes rounds."""
     frame = " ".join(f"w{i}" for i in range(30))
