@@ -99,8 +99,9 @@ def links(distinct: DataFrame, fp: str = "fp", bits: int = 2, segments: int = 16
     )
     other = posted.select(F.col("a").alias("b"), F.col("cell").alias("other"))
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    # postings are many times what Spark takes them for, which is the size of the fingerprints
     met = posted.join(
-        other, (F.col("cell") == F.col("other")) & (F.col("a") > F.col("b")) & (differing <= bits)
+        other.hint("merge"), (F.col("cell") == F.col("other")) & (F.col("a") > F.col("b")) & (differing <= bits)
     )
     return met.select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
 
@@ -119,7 +120,7 @@ def near_duplicates(
     rows = fingerprints(df, key, text, shingle).checkpoint()
     distinct = rows.groupBy("fp").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
     groups = connected_groups(links(distinct.select("fp"), bits=bits, segments=segments))
-    placed = distinct.join(groups, F.col("fp") == F.col("node"), "left").select(
+    placed = distinct.join(groups.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", "_n", "_first", "group"
     )
     smallest = (

@@ -64,3 +64,10 @@ def test_long_text_is_counted_in_parts(monkeypatch):
 
 def test_empty(empty):
     assert simhash.near_duplicates(empty, "doc_id", "text").count() == 0
+
+
+def test_postings_are_not_broadcast(spark):
+    """A fingerprint has up to 33 postings, which Spark does not see in the size of the table."""
+    links = simhash.links(spark.range(1000).withColumnRenamed("id", "fp"))
+    links.count()
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
