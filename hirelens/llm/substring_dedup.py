@@ -206,7 +206,7 @@ def count_large_buckets(strings: DataFrame, kind: str, window: int) -> DataFrame
     )
     opened = stored(opened, "windows")
     lows = opened.groupBy("digest").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("_n"))
-    placed = lookup(opened, lows.filter("_n > 1"), "digest", "_n")
+    placed = lookup(opened, lows.filter("_n > 1"), "digest", "_n", grows=True)
     ordered = F.array_sort(
         F.collect_list(F.struct("place", F.coalesce("low", "key").alias("low")))
     )
@@ -222,7 +222,7 @@ def of_minimisers(kmers: DataFrame, shared: DataFrame) -> DataFrame:
     hot = F.broadcast(shared.orderBy(F.desc("_n"), "minimiser").limit(HOT_KEYS).select("minimiser"))
     rest = kmers.join(hot, "minimiser", "left_anti")
     return kmers.join(hot, "minimiser", "left_semi").unionByName(
-        rest.join(shared, "minimiser", "left_semi")
+        rest.join(shared.hint("merge"), "minimiser", "left_semi")
     )
 
 
@@ -250,7 +250,7 @@ def repeated_windows(
     spans = wanted.groupBy("key", "copy").agg(
         F.collect_set(F.struct("minimiser", "first", "n")).alias("spans")
     )
-    packed = stored(pack(rows.join(spans, ["key", "copy"]), kind, window), "packed")
+    packed = stored(pack(rows.join(spans.hint("merge"), ["key", "copy"]), kind, window), "packed")
     strings = packed.groupBy("minimiser", "string").agg(
         F.min("key").alias("key"), F.first("packed").alias("packed")
     )
@@ -260,8 +260,9 @@ def repeated_windows(
     small = count_small_buckets(strings.join(over, "minimiser", "left_anti"), kind, window)
     large = count_large_buckets(strings.join(over, "minimiser", "left_semi"), kind, window)
     met = packed.groupBy("string").agg(F.count(F.lit(1)).alias("_n"))
-    lows = stored(small.unionByName(large).join(met, "string"), "lows")
-    placed = lookup(packed.select("key", "copy", "first", "string"), lows, "string", "_n")
+    lows = stored(small.unionByName(large).join(met.hint("merge"), "string"), "lows")
+    # lists of equal numbers are far smaller as files than as rows
+    placed = lookup(packed.select("key", "copy", "first", "string"), lows, "string", "_n", grows=True)
     starts = F.filter(
         F.transform("lows", lambda low, i: F.when(low < F.col("key"), F.col("first") + i)),
         lambda at: at.isNotNull(),
@@ -286,7 +287,7 @@ def remove_repeats(
     )
     rows = df.withColumn("_row_copy", F.xxhash64(text))
     marked = rows.join(
-        starts, (F.col(key) == F.col("_key")) & (F.col("_row_copy") == F.col("_copy")), "left"
+        starts.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_row_copy") == F.col("_copy")), "left"
     ).drop("_key", "_copy", "_row_copy")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

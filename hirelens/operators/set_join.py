@@ -236,7 +236,7 @@ def prefix_pairs(posted: DataFrame, name: str, similarity: float) -> DataFrame:
     )
     fields = ("name", "least", "most", "place", "rest", "early")
     a, b = (ends.select("token", F.struct(*fields).alias(n)) for n in "ab")
-    met = a.join(b, "token").filter("a.name > b.name").filter(room(similarity))
+    met = a.join(b.hint("merge"), "token").filter("a.name > b.name").filter(room(similarity))
     counted = met.groupBy(F.col("a.name").alias("src"), F.col("b.name").alias("dst")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("a.least").alias("a0"),
@@ -277,18 +277,20 @@ def shingle_sets(df: DataFrame, keys: DataFrame, shingle: int, words: str = WORD
     found = df.select("key", "text", cell).mapInArrow(
         run, f"key {kind}, shingles array<bigint>"
     )
-    return found if few else found.join(keys, "key", "left_semi")
+    return found if few else found.join(keys.hint("merge"), "key", "left_semi")
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (``src, dst`` and more) with ``far``: one minus the Jaccard similarity of the sets, one for
     two empty sets.
 
-    Keys of ``sets`` are unique, so a frequent end of pairs is left to the engine's skew split.
+    Keys of ``sets`` are unique, so a frequent end of pairs is left to the engine's skew split. Neither
+    side is broadcast: files of pairs and the texts that sets are made of say little about their size.
     """
     a = sets.select(F.col("key").alias("src"), F.col("shingles").alias("_a"))
     b = sets.select(F.col("key").alias("dst"), F.col("shingles").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     all_of = F.size("_a") + F.size("_b") - both
     far = F.when(all_of > 0, 1 - both / all_of).otherwise(1.0)
-    return pairs.join(a, "src").join(b, "dst").select(*pairs.columns, far.alias("far"))
+    met = pairs.join(a.hint("merge"), "src").join(b.hint("merge"), "dst")
+    return met.select(*pairs.columns, far.alias("far"))

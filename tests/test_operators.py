@@ -948,3 +948,24 @@ def test_a_table_of_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sum(r["count"] for r in counts) == 4000
     assert max(r["count"] for r in counts) < 1000
+
+
+def test_tables_that_grow_are_not_broadcast(spark):
+    """Pairs, sets and lists are far larger as rows than what Spark takes them for, so no size decides."""
+    keys = spark.range(50).withColumnRenamed("id", "key")
+    sets = keys.withColumn("shingles", F.array("key", F.lit(-1).cast("bigint")))
+    pairs = keys.select((c("key") + 1).alias("src"), c("key").alias("dst")).filter("src < 50")
+    posted = keys.selectExpr("key % 7 as token", "key", "key as hub", "3 as size", "0 as place")
+    groups = pairs.toDF("node", "group")
+    table = keys.withColumn("n", F.lit(1))
+    for df in (
+        set_join.distances(pairs, sets),
+        set_join.prefix_pairs(posted, "key", 0.8),
+        near_dup.as_first(keys, pairs.toDF("key", "first")),
+        near_dup.apart_still(pairs, groups),
+    ):
+        df.count()
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    joins = lambda grows: skew.lookup(keys, table, "key", "n", grows=grows)._jdf.queryExecution().executedPlan().toString()
+    assert joins(True).count("SortMergeJoin") == 1 and joins(True).count("BroadcastHashJoin") == 1  # the hot keys
+    assert sorted(skew.lookup(keys, table, "key", "n", grows=True).collect()) == [(i, 1) for i in range(50)]
