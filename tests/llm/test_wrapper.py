@@ -152,3 +152,35 @@ def test_pages_without_names(spark, n, paragraphs):
     assert {r["page_id"]: r["_text"] for r in got.collect()} == want
     alone = {i: "\n".join(b["text"] for b in wrapper.page_blocks(h, None)) for i, _, h, _ in rows}
     assert all(alone[i] != want[i] for i in want)
+
+
+def test_all_pages_of_a_host_are_folded(spark):
+    """A block that 12 of 412 pages have, whose first line is the same there. The line is not on nine of ten pages
+    with that path, so only a wrapper that knows the block tells it from their own words."""
+    def body(n, more=""):
+        return f"<html><body><div><p>Own words of page {n}.</p></div>{more}</body></html>"
+
+    rows = [(i, body(i)) for i in range(400)]
+    rows += [(i, body(i, f"<section><p>Note to all readers.</p><p>More of page {i}.</p></section>")) for i in range(400, 412)]
+    rows += [(i, body(i, f"<section><p>Only page {i}.</p></section>")) for i in range(412, 420)]
+    df = spark.createDataFrame([(i, "http://late.example/", h) for i, h in rows], "page_id long, url string, html string")
+    found = texts(df.coalesce(1))
+    want = {i: f"Own words of page {i}." for i, _ in rows}
+    want |= {i: f"{want[i]}\nMore of page {i}." for i in range(400, 412)}
+    want |= {i: f"{want[i]}\nOnly page {i}." for i in range(412, 420)}
+    assert found == want
+
+
+def test_wrappers_of_parts_are_folded(spark):
+    """Pages of a host that lie in several tasks give one wrapper, which has the labels of all of them."""
+    pages = [(f"h{i % 2}", f"<div class='c{i}'><p>{i}</p></div><p>same</p>", i) for i in range(20)]
+    df = spark.createDataFrame(pages, "host string, html string, tie long")
+
+    def labels(slot):
+        return {slot.label} | {label for child in slot.children for label in labels(child)}
+
+    for rows in (df.repartition(5), df.coalesce(1)):
+        got = {r.host: wrapper.from_json(r.wrapper) for r in wrapper.wrappers(rows).collect()}
+        assert set(got) == {"h0", "h1"}
+        for h, slot in got.items():
+            assert labels(slot) == {"#page", "p"} | {f"div.c{i}" for i in range(20) if f"h{i % 2}" == h}
