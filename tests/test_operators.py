@@ -969,3 +969,24 @@ def test_tables_that_grow_are_not_broadcast(spark):
     joins = lambda grows: skew.lookup(keys, table, "key", "n", grows=grows)._jdf.queryExecution().executedPlan().toString()
     assert joins(True).count("SortMergeJoin") == 1 and joins(True).count("BroadcastHashJoin") == 1  # the hot keys
     assert sorted(skew.lookup(keys, table, "key", "n", grows=True).collect()) == [(i, 1) for i in range(50)]
+
+
+def test_only_rare_keys_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(skew, "FREQUENT", 2)
+    df = spark.createDataFrame([(i, "abcx"[i % 4]) for i in range(40)] + [(99, None)], "i int, t string")
+    table = spark.createDataFrame([("a", 10, 1.0), ("b", 10, 2.0), ("c", 9, 3.0), ("d", 1, 4.0)], "t string, n int, v double")
+    found = skew.meet(df, table, "t", "n")
+    assert sorted((r.i, r.v) for r in found.collect()) == [(i, float(i % 4 + 1)) for i in range(40) if i % 4 < 3]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 1 and "BroadcastHashJoin" in plan
+
+
+def test_role_scores_are_added_up_by_key_before_they_are_shuffled(spark):
+    rows = [(i, "xyz"[i % 3], [f"w{i % 3}", "all"]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, role string, ts array<string>")
+    model = models.role_classifier(df, "id", c("ts"), "role")
+    found = models.predict_role(model, df, "id", c("ts"))
+    got = {r.id: r.predicted_role for r in found.collect()}
+    assert got == {i: role for i, role, _ in rows}
+    assert "hashpartitioning(id#" in found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(id#\d+, term#", found._jdf.queryExecution().executedPlan().toString())
