@@ -990,3 +990,17 @@ def test_role_scores_are_added_up_by_key_before_they_are_shuffled(spark):
     assert got == {i: role for i, role, _ in rows}
     assert "hashpartitioning(id#" in found._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(id#\d+, term#", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_terms_counted_in_their_rows(spark):
+    """Rows with a key of their own, a repeated key and no key; null terms and no terms; more repeated keys than few."""
+    rows = [(1, ["b", "a", "b"]), (2, ["c"]), (2, ["c", "d"]), (None, ["a"]), (None, ["a", "e"]), (3, []), (4, None), (5, ["f", None, "f"])]
+    df = spark.createDataFrame(rows, "k int, ts array<string>")
+    want = {(1, "a", 1), (1, "b", 2), (2, "c", 2), (2, "d", 1), (None, "a", 2), (None, "e", 1), (5, "f", 2)}
+    for few in (1000, 0):
+        corpus.FEW_REPEATED, before = few, corpus.FEW_REPEATED
+        try:
+            got = [tuple(r) for r in corpus.counts_by_row(df, "k", c("ts")).collect()]
+        finally:
+            corpus.FEW_REPEATED = before
+        assert len(got) == len(want) and set(got) == want
