@@ -971,6 +971,35 @@ def test_tables_that_grow_are_not_broadcast(spark):
     assert sorted(skew.lookup(keys, table, "key", "n", grows=True).collect()) == [(i, 1) for i in range(50)]
 
 
+def test_products_of_text_matches_are_not_shuffled(spark):
+    """The weights of a small second table come to the pairs whatever Spark takes its size for."""
+    a = spark.createDataFrame([(i, [f"w{i % 7}", f"w{i % 5}", "x"]) for i in range(40)], "l int, ts array<string>")
+    b = spark.createDataFrame([(f"p{i}", [f"w{i}", "x"]) for i in range(9)], "r string, ts array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = text_match.text_matches(a, b, "l", "r", c("ts"), 3, 0.1)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows and re.search(r"BroadcastHashJoin \[r#\d+, term#\d+\]", plan)
+
+
+def test_terms_counted_in_their_rows(spark):
+    """Rows with a key of their own, a repeated key and no key; null terms and no terms; more repeated keys than few."""
+    rows = [(1, ["b", "a", "b"]), (2, ["c"]), (2, ["c", "d"]), (None, ["a"]), (None, ["a", "e"]), (3, []), (4, None), (5, ["f", None, "f"])]
+    df = spark.createDataFrame(rows, "k int, ts array<string>")
+    want = {(1, "a", 1), (1, "b", 2), (2, "c", 2), (2, "d", 1), (None, "a", 2), (None, "e", 1), (5, "f", 2)}
+    for few in (1000, 0):
+        corpus.FEW_REPEATED, before = few, corpus.FEW_REPEATED
+        try:
+            got = [tuple(r) for r in corpus.counts_by_row(df, "k", c("ts")).collect()]
+        finally:
+            corpus.FEW_REPEATED = before
+        assert len(got) == len(want) and set(got) == want
+
+
 def test_only_rare_keys_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(skew, "FREQUENT", 2)
     df = spark.createDataFrame([(i, "abcx"[i % 4]) for i in range(40)] + [(99, None)], "i int, t string")
@@ -990,17 +1019,3 @@ def test_role_scores_are_added_up_by_key_before_they_are_shuffled(spark):
     assert got == {i: role for i, role, _ in rows}
     assert "hashpartitioning(id#" in found._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(id#\d+, term#", found._jdf.queryExecution().executedPlan().toString())
-
-
-def test_terms_counted_in_their_rows(spark):
-    """Rows with a key of their own, a repeated key and no key; null terms and no terms; more repeated keys than few."""
-    rows = [(1, ["b", "a", "b"]), (2, ["c"]), (2, ["c", "d"]), (None, ["a"]), (None, ["a", "e"]), (3, []), (4, None), (5, ["f", None, "f"])]
-    df = spark.createDataFrame(rows, "k int, ts array<string>")
-    want = {(1, "a", 1), (1, "b", 2), (2, "c", 2), (2, "d", 1), (None, "a", 2), (None, "e", 1), (5, "f", 2)}
-    for few in (1000, 0):
-        corpus.FEW_REPEATED, before = few, corpus.FEW_REPEATED
-        try:
-            got = [tuple(r) for r in corpus.counts_by_row(df, "k", c("ts")).collect()]
-        finally:
-            corpus.FEW_REPEATED = before
-        assert len(got) == len(want) and set(got) == want
